@@ -61,6 +61,11 @@ def ms_to_ntz(ms: Column) -> Column:
     return F.timestamp_add("MILLISECOND", ms, F.expr(EPOCH_NTZ))
 
 
+def ntz_to_ms(ts: Column) -> Column:
+    """Epoch milliseconds of a naive timestamp taken as UTC, whatever the session zone is."""
+    return F.unix_millis(F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts).cast("timestamp"))
+
+
 def ms_to_instant(ms: Column) -> Column:
     """Epoch milliseconds (possibly a double) to an instant."""
     return F.timestamp_millis(F.round(ms).cast("bigint"))
@@ -83,8 +88,7 @@ def items(v: Column, path: str = "$") -> Column:
 
 def array_size(v: Column, path: str = "$") -> Column:
     """Element count; NULL for anything but an array, 0 for an empty one."""
-    arr = items(v, path)
-    return F.when(arr.isNotNull(), F.size(arr)).cast("bigint")
+    return F.array_size(items(v, path)).cast("bigint")
 
 
 # JSON texts that count as "nothing returned".

@@ -77,17 +77,28 @@ def series_from_staging(staged: DataFrame, strict: bool = True) -> DataFrame:
 
 def malformed(details: DataFrame) -> DataFrame:
     """Landed detail rows whose arrays exist but do not have the expected types."""
-    raw = F.col("raw_data")
-    bad = [
-        F.try_variant_get(raw, path, kind).isNull() & F.try_variant_get(raw, path, "string").isNotNull()
-        for path, kind in (("$.metricDescriptors", DESCRIPTOR_TYPE), ("$.activityDetailMetrics", SAMPLE_TYPE))
-    ]
-    return details.filter(bad[0] | bad[1])
+
+    def bad(path: str, kind: str) -> Column:
+        found = F.try_variant_get("raw_data", path, "variant")
+        present = found.isNotNull() & ~F.is_variant_null(found)
+        return present & F.try_variant_get("raw_data", path, kind).isNull()
+
+    return details.filter(bad("$.metricDescriptors", DESCRIPTOR_TYPE) | bad("$.activityDetailMetrics", SAMPLE_TYPE))
+
+
+def _listed(column: str, kind: str) -> Column:
+    """The array, or an empty one.
+
+    Kept an expression: given a bare column, Spark infers a "not empty" filter
+    and evaluates it below the extraction, parsing every payload once more.
+    """
+    return F.coalesce(F.col(column), F.array().cast(kind))
 
 
 def explode_descriptors(series: DataFrame) -> DataFrame:
     """One row per declared metric: its position, key and unit."""
-    return series.select(*_ids(series), F.explode("descriptors").alias("d")).select(
+    declared = F.explode(_listed("descriptors", DESCRIPTOR_TYPE))
+    return series.select(*_ids(series), declared.alias("d")).select(
         *_ids(series),
         F.col("d.metricsIndex").alias("metrics_index"),
         F.col("d.key").alias("metric_key"),
@@ -97,7 +108,8 @@ def explode_descriptors(series: DataFrame) -> DataFrame:
 
 def explode_samples(series: DataFrame) -> DataFrame:
     """One row per sample: its 0-based index and positional values."""
-    return series.select(*_ids(series), F.posexplode("samples").alias("sample_index", "s")).select(
+    numbered = F.posexplode(_listed("samples", SAMPLE_TYPE))
+    return series.select(*_ids(series), numbered.alias("sample_index", "s")).select(
         *_ids(series), "sample_index", F.col("s.metrics").alias("metrics")
     )
 
@@ -108,14 +120,16 @@ def unpivot(series: DataFrame) -> DataFrame:
     A position past the end of a sample, or a NULL value, keeps its row.
     """
     ids = _ids(series)
-    per_sample = series.select(*ids, "descriptors", F.posexplode("samples").alias("sample_index", "s"))
-    per_metric = per_sample.select(*ids, "sample_index", F.col("s.metrics").alias("metrics"), F.explode("descriptors").alias("d"))
+    numbered = F.posexplode(_listed("samples", SAMPLE_TYPE)).alias("sample_index", "s")
+    per_metric = series.select(*ids, "descriptors", numbered).select(
+        *ids, "sample_index", F.col("s.metrics").alias("metrics"), F.inline(_listed("descriptors", DESCRIPTOR_TYPE))
+    )
     long = per_metric.select(
         *ids,
         "sample_index",
-        F.col("d.key").alias("metric_key"),
-        F.col("d.unit.key").alias("metric_unit"),
-        F.get("metrics", F.col("d.metricsIndex")).alias("metric_value"),
+        F.col("key").alias("metric_key"),
+        F.col("unit.key").alias("metric_unit"),
+        F.get("metrics", F.col("metricsIndex")).alias("metric_value"),
     )
     sk = surrogate_key(*ids, "sample_index", "metric_key").alias("sk")
     return long.select(sk, *long.columns)
@@ -147,29 +161,42 @@ def _positions(key: str) -> Column:
     return F.transform(declared, lambda d: d["metricsIndex"])
 
 
-def _value(slot: str) -> Column:
-    """The sample's value at the declared position; the largest if declared repeatedly."""
-    positions = F.col(slot)
-    single = F.get("metrics", F.get(positions, F.lit(0)))
-    several = F.array_max(F.transform(positions, lambda i: F.get("metrics", i)))
-    return F.when(F.size(positions) > 1, several).otherwise(single)
+def _wide(series: DataFrame, metrics: dict[str, str], keep: Column) -> DataFrame:
+    """One row per sample of the activities in ``keep``, with a column per wanted metric.
 
-
-def _wide(series: DataFrame, metrics: dict[str, str]) -> DataFrame:
-    """One row per sample with a column per wanted metric.
-
-    Positions are found once per activity, before samples are exploded.
+    All array functions run once per activity, before samples are exploded; a
+    sample then costs one generated array access per metric. A metric declared
+    several times takes its largest value, settled per activity as well.
     """
     ids = _ids(series)
     wanted = {"recorded_at_epoch_ms": TIMESTAMP_KEY, **metrics}
-    located = series.filter(F.size("descriptors") > 0).select(
-        *ids, "samples", *[_positions(key).alias(f"_{name}") for name, key in wanted.items()]
-    )
-    slots = [f"_{name}" for name in wanted]
-    exploded = located.select(*ids, *slots, F.posexplode("samples").alias("sample_index", "s")).select(
-        *ids, *slots, "sample_index", F.col("s.metrics").alias("metrics")
+    found = series.select(*ids, "descriptors", "samples", *[_positions(k).alias(f"_{n}") for n, k in wanted.items()])
+
+    def largest(name: str) -> Column:
+        positions = F.col(f"_{name}")
+        per_sample = F.transform(
+            "samples", lambda s: F.array_max(F.transform(positions, lambda i: F.get(s["metrics"], i)))
+        )
+        return F.when(F.size(positions) > 1, per_sample)
+
+    located = found.select(
+        *ids,
+        *[F.get(f"_{n}", F.lit(0)).alias(f"_at_{n}") for n in wanted],
+        *[largest(n).alias(f"_max_{n}") for n in wanted],
+        # Not a filter: it would be evaluated below the extraction, see _listed.
+        F.when(keep, F.col("samples")).alias("samples"),
     )
-    return exploded.select(*ids, "sample_index", *[_value(f"_{n}").alias(n) for n in wanted])
+    numbered = F.posexplode(_listed("samples", SAMPLE_TYPE)).alias("sample_index", "s")
+    slots = [c for c in located.columns if c != "samples"]
+    exploded = located.select(*slots, numbered)
+
+    def value(name: str) -> Column:
+        declared_twice = F.col(f"_max_{name}")
+        return F.when(declared_twice.isNotNull(), F.get(declared_twice, F.col("sample_index"))).otherwise(
+            F.get("s.metrics", F.col(f"_at_{name}"))
+        )
+
+    return exploded.select(*ids, "sample_index", *[value(n).alias(n) for n in wanted])
 
 
 def _finish(wide: DataFrame, metrics: dict[str, str]) -> DataFrame:
@@ -186,9 +213,10 @@ def _finish(wide: DataFrame, metrics: dict[str, str]) -> DataFrame:
 def cardio(series: DataFrame) -> DataFrame:
     """Heart rate, body battery, duration and distance per sample, for every activity.
 
-    Activities without any of these metrics keep their samples, all NULL.
+    Activities without any of these metrics keep their samples, all NULL;
+    activities that declare no metric at all have no rows.
     """
-    return _finish(_wide(series, CARDIO_METRICS), CARDIO_METRICS)
+    return _finish(_wide(series, CARDIO_METRICS, F.size("descriptors") > 0), CARDIO_METRICS)
 
 
 def is_gps_capable() -> Column:
@@ -198,7 +226,7 @@ def is_gps_capable() -> Column:
 
 def gps(series: DataFrame) -> DataFrame:
     """Position, elevation and speed per sample, for GPS-capable activities."""
-    return _finish(_wide(series.filter(is_gps_capable()), GPS_METRICS), GPS_METRICS)
+    return _finish(_wide(series, GPS_METRICS, is_gps_capable()), GPS_METRICS)
 
 
 def gps_capable(series: DataFrame) -> DataFrame:

@@ -11,10 +11,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pulseframe.sources.envelope import BATCH_COLUMN, ORDER_COLUMNS, read_or_empty
+from pulseframe.sources.envelope import BATCH_COLUMN, ENVELOPE_SCHEMA, ORDER_COLUMNS, ROW_COLUMN, read_or_empty
 
 DEFAULT_KEYS = ("natural_key",)
+EMPTY_LOG = T.StructType(
+    [
+        *ENVELOPE_SCHEMA.fields,
+        T.StructField(ROW_COLUMN, T.LongType()),
+        T.StructField("rejected_text", T.StringType()),
+        T.StructField(BATCH_COLUMN, T.LongType()),
+        T.StructField("is_rejected", T.BooleanType()),
+    ]
+)
 
 
 def _position(df: DataFrame, order: Sequence[str] | None) -> Column:
@@ -45,8 +55,9 @@ def upsert(
 
     A batch row replaces the current one only if it is newer. ``current`` is
     read once with payloads and once for its keys; both joins are on unique
-    keys, so neither can skew, and a batch that turns out small is broadcast by
-    adaptive execution, leaving the large table where it is.
+    keys, so neither can skew. A stored batch has a size Spark knows from its
+    files: below the broadcast threshold it travels to the large table, which
+    is then neither shuffled nor sorted; above it both sides meet by key.
     """
     keys = list(keys)
     rest = [c for c in current.columns if c not in keys]
@@ -73,22 +84,46 @@ class LandedTable:
 
     ``append`` overwrites its own batch folder, so a retried batch replaces itself.
     ``compact`` writes a *new* version and never touches a folder being read.
+    ``partition_by`` lays columns such as ``collector_name`` out as folders, so
+    reading one collector reads only its files.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = DEFAULT_KEYS):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), tuple(keys)
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str] = DEFAULT_KEYS,
+        partition_by: Sequence[str] = (),
+    ):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.keys, self.partition_by = tuple(keys), tuple(partition_by)
 
     def append(self, rows: DataFrame, batch_seq: int) -> None:
-        target = f"{self.path}/log/{BATCH_COLUMN}={int(batch_seq)}"
-        rows.drop(BATCH_COLUMN).write.mode("overwrite").parquet(target)
+        """Write a batch; leniently parsed rows put their rejects next to it."""
+        rejected = F.col("rejected_text") if "rejected_text" in rows.columns else F.lit(None).cast("string")
+        (
+            rows.drop(BATCH_COLUMN)
+            .withColumn("rejected_text", rejected)
+            .withColumn("is_rejected", F.col("rejected_text").isNotNull())
+            .write.mode("overwrite")
+            .partitionBy("is_rejected", *self.partition_by)
+            .parquet(f"{self.path}/log/{BATCH_COLUMN}={int(batch_seq)}")
+        )
+
+    def _stored(self) -> DataFrame:
+        extra = [T.StructField(k, T.StringType()) for k in self.keys if k not in EMPTY_LOG.fieldNames()]
+        rows = read_or_empty(self.spark, f"{self.path}/log", T.StructType([*extra, *EMPTY_LOG.fields]))
+        return rows.withColumn(BATCH_COLUMN, F.col(BATCH_COLUMN).cast("bigint"))
 
     def log(self, after: int | None = None) -> DataFrame:
-        rows = read_or_empty(self.spark, f"{self.path}/log")
-        if BATCH_COLUMN not in rows.columns:
-            rows = rows.withColumn(BATCH_COLUMN, F.lit(0))
-        rows = rows.withColumn(BATCH_COLUMN, F.col(BATCH_COLUMN).cast("bigint"))
+        """Landed rows of all batches, or of those after a batch number."""
+        rows = self._stored().filter(~F.col("is_rejected")).drop("rejected_text", "is_rejected")
         return rows if after is None else rows.filter(F.col(BATCH_COLUMN) > after)
 
+    def quarantine(self) -> DataFrame:
+        """Rows whose payload did not parse."""
+        return self._stored().filter("is_rejected").drop("raw_data", "is_rejected")
+
     def snapshot(self, version: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/snapshot/version={int(version)}")
 
@@ -108,5 +143,6 @@ class LandedTable:
             base = self.snapshot(base_version)
             batch = self.log(after=base_version).filter(upto).select(*base.columns)
             rows = upsert(base, batch, self.keys)
-        rows.write.mode("errorifexists").parquet(f"{self.path}/snapshot/version={int(through)}")
+        target = f"{self.path}/snapshot/version={int(through)}"
+        rows.write.mode("errorifexists").partitionBy(*self.partition_by).parquet(target)
         return self.snapshot(through)

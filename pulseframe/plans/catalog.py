@@ -18,7 +18,7 @@ from pulseframe.operators.upsert import LandedTable, existing_keys, latest_by_ke
 from pulseframe.plans import staging
 from pulseframe.session import shared_dir
 from pulseframe.sources import payloads
-from pulseframe.sources.envelope import parse_rows, split_rejected, stage_rows, to_envelope
+from pulseframe.sources.envelope import parse_rows, stage_rows, to_envelope
 from pulseframe.sources.registry import with_collectors
 from pulseframe.streaming.landing import land_stream, payload_stream
 
@@ -92,20 +92,12 @@ def quarantine_split(spark, sf):
         extracted_at=payloads.EXTRACTED_AT,
         payload_is_json=True,
     )
-    good, quarantine = split_rejected(parse_rows(staged, strict=False))
-    kept = good.select(
+    parsed = parse_rows(staged, strict=False)
+    return parsed.select(
         "natural_key",
-        F.lit(False).alias("is_quarantined"),
+        F.col("rejected_text").isNotNull().alias("is_quarantined"),
         paths.as_int(F.col("raw_data"), "$.k").alias("k"),
-        F.lit(None).cast("string").alias("rejected_text"),
-    )
-    return kept.unionByName(
-        quarantine.select(
-            "natural_key",
-            F.lit(True).alias("is_quarantined"),
-            F.lit(None).cast("bigint").alias("k"),
-            "rejected_text",
-        )
+        "rejected_text",
     )
 
 
@@ -485,6 +477,20 @@ def stg_training_readiness(spark, sf):
     return _wall_clock(staged, "recorded_at")
 
 
+@query
+def stg_steps_current(spark, sf):
+    """Steps staged from two landed batches, the second re-fetching from 13 January."""
+    days = payloads.day_payloads(spark, sf, "STEPS")
+    refetched = F.col("requested") >= F.lit("2024-01-13").cast("date")
+    stale = F.col("requested") <= F.lit("2024-01-16").cast("date")
+    # The first run saw the days before they were final.
+    early = days.filter(stale).withColumn("payload", F.lit('{"stepGoal": 1, "totalSteps": 1}'))
+    log = to_envelope(normalize.normalize_daily(early), extracted_at="2024-01-16T10:00:00Z", batch_seq=1).unionByName(
+        to_envelope(normalize.normalize_daily(days.filter(refetched)), extracted_at="2024-02-01T10:00:00Z", batch_seq=2)
+    )
+    return staging.stage_current(log, "steps")
+
+
 # Sample time series
 
 

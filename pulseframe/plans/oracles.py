@@ -334,6 +334,16 @@ SELECT subject_id, {_DAY} AS steps_id, n + 1 AS step_goal, CAST(sum_k AS DOUBLE)
 FROM ud
 """
 
+ORACLES["stg_steps_current"] = f"""
+WITH {_DAYS}
+SELECT subject_id, {_DAY} AS steps_id, CASE WHEN day < DATE '2024-01-13' THEN 1 ELSE n + 1 END AS step_goal,
+       CASE WHEN day >= DATE '2024-01-13' THEN CAST(sum_k AS DOUBLE) * 1.25 END AS total_distance_meters,
+       CASE WHEN day < DATE '2024-01-13' THEN 1 ELSE sum_k END AS total_steps, day AS steps_date,
+       CASE WHEN day < DATE '2024-01-13' THEN TIMESTAMP '2024-01-16 10:00:00' ELSE TIMESTAMP '2024-02-01 10:00:00' END AS extracted_at,
+       'get_daily_steps' AS source_method
+FROM ud
+"""
+
 ORACLES["stg_training_readiness"] = f"""
 WITH {_SYNC}
 SELECT subject_id, natural_key AS training_readiness_id, event_type AS readiness_level,

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.functions import paths
-from pulseframe.sources.envelope import context_columns
+from pulseframe.operators.upsert import latest_by_key
+from pulseframe.sources.envelope import ORDER_COLUMNS, context_columns
 
 
 class Field(NamedTuple):
@@ -157,5 +158,24 @@ def stage(envelope: DataFrame, model: str, zone: str | None = None) -> DataFrame
     )
 
 
+def stage_current(log: DataFrame, model: str, zone: str | None = None) -> DataFrame:
+    """Staging model of the latest row per key, straight from a log of batches.
+
+    Staging is row by row, so it runs *before* rows compete: the scan reads only
+    the named paths and the shuffle carries typed columns, not payloads.
+    """
+    staged = stage(log, model, zone)
+    order = [c for c in ORDER_COLUMNS if c in log.columns]
+    hidden = {c: f"_{c}" for c in order}
+    typed = log.select(
+        *context_columns(log),
+        *[_column(f, zone).alias(f.name) for f in MODELS[model]],
+        *LINEAGE,
+        *[F.col(c).alias(alias) for c, alias in hidden.items()],
+    )
+    keys = [*context_columns(log), primary_key(model)]
+    return latest_by_key(typed, keys, list(hidden.values())).select(*staged.columns)
+
+
 def primary_key(model: str) -> str:
     return next(f.name for f in MODELS[model] if f.kind == "key")

@@ -16,6 +16,7 @@ SESSION_CONF = {
     # Wide payload rows: smaller splits keep one task's explode output in memory.
     "spark.sql.files.maxPartitionBytes": "64m",
     "spark.sql.variant.pushVariantIntoScan": "true",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -78,7 +78,8 @@ def parse_rows(staged: DataFrame, strict: bool = True) -> DataFrame:
     """Turn ``raw_text`` into a VARIANT ``raw_data``.
 
     Strict parsing fails the batch on malformed JSON. Otherwise the bad text is
-    kept in ``rejected_text`` and ``raw_data`` is NULL; see :func:`split_rejected`.
+    kept in ``rejected_text`` and ``raw_data`` is NULL, so one pass serves both
+    the good rows and the quarantine.
     """
     parse = F.parse_json if strict else F.try_parse_json
     raw = parse("raw_text").alias("raw_data")
@@ -92,14 +93,12 @@ def parse_rows(staged: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def split_rejected(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(good, quarantine)`` from a lenient :func:`parse_rows`.
+    """``(good, quarantine)`` of a leniently parsed table.
 
-    Both sides re-run the parse unless ``parsed`` was written first.
+    Meant for stored rows: on an unstored frame either side repeats the parse.
     """
     bad = F.col("rejected_text").isNotNull()
-    good = parsed.filter(~bad).drop("rejected_text")
-    quarantine = parsed.filter(bad).drop("raw_data")
-    return good, quarantine
+    return parsed.filter(~bad).drop("rejected_text"), parsed.filter(bad).drop("raw_data")
 
 
 def to_envelope(
@@ -115,6 +114,7 @@ def to_envelope(
         "source_method",
         seq.cast("bigint").alias(BATCH_COLUMN),
         ROW_COLUMN,
+        *[c for c in df.columns if c == "rejected_text"],
     )
 
 

@@ -35,7 +35,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_type",
         "value",
-        F.timestamp_diff("MILLISECOND", F.expr(paths.EPOCH_NTZ), F.col("ts")).alias("ms"),
+        paths.ntz_to_ms(F.col("ts")).alias("ms"),
         F.to_date("ts").alias("day"),
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     )
