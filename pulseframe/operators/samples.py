@@ -50,8 +50,8 @@ def series_from_envelope(details: DataFrame, strict: bool = True) -> DataFrame:
     """Activity id plus typed descriptor and sample arrays, read straight from the payload.
 
     Typed paths are pushed into a Parquet scan, so nothing else of the payload
-    is read. Strict extraction fails on a non-numeric sample value; lenient
-    extraction gives NULL arrays for such a payload (see :func:`malformed`).
+    is read. Strict extraction fails on a sample value that is no number;
+    lenient extraction reads it as NULL (:func:`malformed` finds such payloads).
     Activity ids must be unique: pass the table through ``latest_by_key`` first
     if it may hold several versions.
     """
@@ -76,14 +76,24 @@ def series_from_staging(staged: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def malformed(details: DataFrame) -> DataFrame:
-    """Landed detail rows whose arrays exist but do not have the expected types."""
+    """Landed detail rows that strict extraction rejects: no arrays, or sample values that are no numbers."""
 
-    def bad(path: str, kind: str) -> Column:
-        found = F.try_variant_get("raw_data", path, "variant")
-        present = found.isNotNull() & ~F.is_variant_null(found)
-        return present & F.try_variant_get("raw_data", path, kind).isNull()
+    def present(v: Column) -> Column:
+        return v.isNotNull() & ~F.is_variant_null(v)
 
-    return details.filter(bad("$.metricDescriptors", DESCRIPTOR_TYPE) | bad("$.activityDetailMetrics", SAMPLE_TYPE))
+    def not_an_array(path: str) -> Column:
+        return present(F.try_variant_get("raw_data", path, "variant")) & paths.items("raw_data", path).isNull()
+
+    def bad_value(v: Column) -> Column:
+        return present(v) & F.try_variant_get(v, "$", "double").isNull()
+
+    bad_sample = F.exists(
+        paths.items("raw_data", "$.activityDetailMetrics"),
+        lambda s: F.coalesce(F.exists(paths.items(s, "$.metrics"), bad_value), F.lit(False)),
+    )
+    return details.filter(
+        not_an_array("$.metricDescriptors") | not_an_array("$.activityDetailMetrics") | F.coalesce(bad_sample, F.lit(False))
+    )
 
 
 def _listed(column: str, kind: str) -> Column:

@@ -113,7 +113,10 @@ class LandedTable:
     def _stored(self) -> DataFrame:
         extra = [T.StructField(k, T.StringType()) for k in self.keys if k not in EMPTY_LOG.fieldNames()]
         rows = read_or_empty(self.spark, f"{self.path}/log", T.StructType([*extra, *EMPTY_LOG.fields]))
-        return rows.withColumn(BATCH_COLUMN, F.col(BATCH_COLUMN).cast("bigint"))
+        # Folder names come back as text or small numbers.
+        return rows.withColumns(
+            {BATCH_COLUMN: F.col(BATCH_COLUMN).cast("bigint"), "is_rejected": F.col("is_rejected").cast("boolean")}
+        )
 
     def log(self, after: int | None = None) -> DataFrame:
         """Landed rows of all batches, or of those after a batch number."""

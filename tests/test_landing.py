@@ -1,0 +1,143 @@
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+from helpers import column, plan, rows
+from pyspark.sql import functions as F
+
+from pulseframe.functions import paths
+from pulseframe.operators import discovery, normalize, watermarks
+from pulseframe.sources import registry
+
+D = dt.date
+
+
+def payload_rows(spark, items, name, kind):
+    data = [(i, p if p is None or isinstance(p, str) else json.dumps(p)) for i, p in items]
+    return spark.createDataFrame(data, f"{name} {kind}, payload string").withColumn("source_method", F.lit("m"))
+
+
+def test_range_payload_shapes_and_keys(spark):
+    a, b = D(2024, 1, 1), D(2024, 1, 28)
+    items = [
+        (a, [{"calendarDate": "2024-01-05", "date": "x"}, {"calendarDate": "", "date": "2024-01-06"}, {"x": 1}, 5, {}]),
+        (b, {"summaryDate": "2024-02-01"}),
+        (b, []),
+        (b, {}),
+        (b, None),
+        (b, "null"),
+        (b, [{"calendarDate": 0, "date": None, "summaryDate": 20240203}]),
+        (b, [{"x": 1}]),
+    ]
+    got = normalize.normalize_range(payload_rows(spark, items, "chunk_start", "date"))
+    want = ["2024-01-05", "2024-01-06", "2024-01-01_2", "2024-01-01_3", "2024-01-01_4", "2024-02-01", "20240203", "2024-01-28_0"]
+    assert column(got, "natural_key") == sorted(want, key=repr)
+
+
+def test_daily_payload_is_keyed_by_the_requested_day(spark):
+    day = D(2024, 1, 5)
+    items = [(day, {"calendarDate": "1999-01-01"}), (D(2024, 1, 6), [1, 2]), (D(2024, 1, 7), []), (D(2024, 1, 8), None)]
+    got = normalize.normalize_daily(payload_rows(spark, items, "requested", "date"))
+    sized = got.select("natural_key", paths.array_size("raw_data"))
+    assert rows(sized) == [("2024-01-05", None), ("2024-01-06", 2)]
+
+
+def test_one_bad_payload_does_not_stop_the_others(spark):
+    items = [(D(2024, 1, 5), "{bad"), (D(2024, 1, 6), {"x": 1}), (D(2024, 1, 7), "{}")]
+    payloads = payload_rows(spark, items, "requested", "date")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        normalize.normalize_daily(payloads).collect()
+    lenient = normalize.normalize_daily(payloads, strict=False).select("natural_key", "rejected_text")
+    assert rows(lenient) == [("2024-01-05", "{bad"), ("2024-01-06", None)]
+    ranged = normalize.normalize_range(payloads.withColumnRenamed("requested", "chunk_start"), strict=False)
+    assert rows(ranged.select("natural_key", "rejected_text")) == [("2024-01-05_0", "{bad"), ("2024-01-06_0", None)]
+
+
+def test_chunks(spark):
+    spans = [
+        ("1", D(2024, 1, 1), D(2024, 1, 1)),
+        ("27", D(2024, 1, 1), D(2024, 1, 27)),
+        ("28", D(2024, 1, 1), D(2024, 1, 28)),
+        ("55", D(2024, 1, 1), D(2024, 2, 24)),
+        ("none", D(2024, 1, 2), D(2024, 1, 1)),
+    ]
+    df = spark.createDataFrame(spans, "k string, start_date date, end_date date")
+    chunks = watermarks.chunk_ranges(df)
+    assert {r[0]: r[1] for r in chunks.groupBy("k").count().collect()} == {"1": 1, "27": 1, "28": 2, "55": 3}
+    assert rows(chunks.filter("k = '55'").select("chunk_start", "chunk_end")) == [
+        (D(2024, 1, 1), D(2024, 1, 27)),
+        (D(2024, 1, 28), D(2024, 2, 23)),
+        (D(2024, 2, 24), D(2024, 2, 24)),
+    ]
+
+
+def state(spark, *items):
+    return spark.createDataFrame(list(items), watermarks.STATE_SCHEMA)
+
+
+def test_windows_from_state_lookback_and_since(spark):
+    subject = spark.range(1).select()
+    st = state(spark, ("STEPS", D(2024, 1, 20), None), ("SLEEP", None, None))
+    got = {r.collector_name: r for r in watermarks.fetch_windows(subject, st, "2024-02-01").collect()}
+    assert len(got) == 20
+    assert got["STEPS"].start_date == D(2024, 1, 17) and got["STEPS"].kind == "range"
+    assert got["SLEEP"].start_date == got["HRV"].start_date == D(2024, 1, 2)
+    since = watermarks.fetch_windows(subject, st, "2024-02-01", since="2023-08-09", only="steps, hrv")
+    assert rows(since.select("collector_name", "start_date")) == [("HRV", D(2023, 8, 9)), ("STEPS", D(2023, 8, 9))]
+
+
+def test_requests_include_both_ends_and_skip_inverted_windows(spark):
+    subject = spark.range(1).select()
+    st = state(spark, ("SLEEP", D(2024, 2, 1), None), ("HRV", D(2024, 3, 1), None))
+    windows = watermarks.fetch_windows(subject, st, "2024-02-01", only="sleep,hrv,steps")
+    assert column(watermarks.daily_requests(windows), "requested") == [D(2024, 1, 29), D(2024, 1, 30), D(2024, 1, 31), D(2024, 2, 1)]
+    assert rows(watermarks.range_requests(windows).select("chunk_start", "chunk_end")) == [
+        (D(2024, 1, 2), D(2024, 1, 28)),
+        (D(2024, 1, 29), D(2024, 2, 1)),
+    ]
+
+
+def test_advance_follows_the_run_even_backwards(spark):
+    before = state(spark, ("STEPS", D(2024, 3, 1), dt.datetime(2024, 3, 1)), ("HRV", D(2024, 1, 1), dt.datetime(2024, 1, 1)))
+    ran = registry.with_collectors(spark.range(1).select(), "steps,sleep")
+    now = F.expr("timestamp_ntz'2024-03-02 00:00:00'")
+    after = watermarks.advance(before, ran, "2024-02-01", now).select("collector_name", "last_extracted_date")
+    assert rows(after) == [("HRV", D(2024, 1, 1)), ("SLEEP", D(2024, 2, 1)), ("STEPS", D(2024, 2, 1))]
+
+
+def test_registry():
+    assert len(registry.COLLECTORS) == 20 and len(registry.LANDED_TABLES) == 22
+    assert [c.table for c in registry.select_collectors(" stats ,Sleep,unknown")] == ["STATS", "SLEEP"]
+    assert len(registry.select_collectors(None)) == len(registry.select_collectors("")) == 20
+
+
+def test_no_collector_selected(spark):
+    assert registry.with_collectors(spark.range(3), "unknown").count() == 0
+
+
+def test_missing_keys(spark):
+    wanted = spark.createDataFrame([("b",), ("a",), ("a",), ("c",)], "natural_key string")
+    present = spark.createDataFrame([("c",), ("c",), ("z",)], "natural_key string")
+    assert column(discovery.missing_keys(wanted, present), "natural_key") == ["a", "b"]
+
+
+@pytest.mark.parametrize(
+    ("known", "kept"),
+    [([], ["5", "4", "3", "2", "1"]), (["5"], []), (["3", "1"], ["5", "4"]), (["99"], ["5", "4", "3", "2", "1"])],
+)
+def test_new_until_known(spark, known, kept):
+    feed = spark.createDataFrame([(str(i), i, "u") for i in range(1, 6)], "id string, pos long, who string")
+    known_df = spark.createDataFrame([(k, "u") for k in known], "id string, who string")
+    assert column(discovery.new_until_known(feed, known_df, "id", "pos"), "id") == sorted(kept)
+    assert column(discovery.new_until_known_by(feed, known_df, "id", "pos", "who"), "id") == sorted(kept)
+
+
+def test_global_numbering_and_batches(spark, tmp_path):
+    ids = spark.range(137).select(F.format_string("%03d", "id").alias("natural_key")).repartition(7)
+    indexed = discovery.number_in_order(ids.orderBy("natural_key"), str(tmp_path / "n"))
+    assert rows(indexed) == [(f"{i:03d}", i) for i in range(137)]
+    batches = discovery.fetch_batches(ids, str(tmp_path / "b"))
+    assert rows(batches) == [(f"{i:03d}", i // 20) for i in range(137)]
+    assert "SinglePartition" not in plan(batches).split("BroadcastExchange")[0]
