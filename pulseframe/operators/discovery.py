@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+SALTS = 16  # join tasks a dominant subject is spread over
 DETAIL_BATCH_SIZE = 20  # fixed value: rows written per flush
 
 
@@ -37,15 +38,26 @@ def new_until_known(feed: DataFrame, known: DataFrame, key: str, newest_first: s
 
 
 def new_until_known_by(
-    feed: DataFrame, known: DataFrame, key: str, newest_first: str, subject: str
+    feed: DataFrame, known: DataFrame, key: str, newest_first: str, subject: str, salts: int = SALTS
 ) -> DataFrame:
-    """:func:`new_until_known` for a feed of many subjects, each with its own cut."""
+    """:func:`new_until_known` for a feed of many subjects, each with its own cut.
+
+    The cuts, one row per subject, are repeated ``salts`` times, so the feed of
+    a dominant subject is spread over that many join tasks. They are few enough
+    next to the feed that adaptive execution often broadcasts them instead.
+    """
     hits = feed.select(subject, key, newest_first).join(
         known.select(subject, key).distinct(), [subject, key], "left_semi"
     )
     cuts = hits.groupBy(subject).agg(F.max(newest_first).alias("_cut"))
+    slices = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+    salted = feed.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
     behind = F.col(newest_first) <= F.col("_cut")
-    return feed.join(cuts, subject, "left").filter(~F.coalesce(behind, F.lit(False))).drop("_cut")
+    return (
+        salted.join(cuts.select("*", slices), [subject, "_salt"], "left")
+        .filter(~F.coalesce(behind, F.lit(False)))
+        .select(*feed.columns)
+    )
 
 
 def number_in_order(sorted_rows: DataFrame, path: str, name: str = "row_index") -> DataFrame:

@@ -16,7 +16,7 @@ from pulseframe.functions.keys import surrogate_key
 from pulseframe.operators import calendar, discovery, normalize, quality, samples, watermarks
 from pulseframe.operators.upsert import LandedTable, existing_keys, latest_by_key, upsert
 from pulseframe.plans import staging
-from pulseframe.session import shared_dir
+from pulseframe.session import shared_dir, spread
 from pulseframe.sources import payloads
 from pulseframe.sources.envelope import parse_rows, stage_rows, to_envelope
 from pulseframe.sources.registry import with_collectors
@@ -46,7 +46,7 @@ def _wall_clock(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _event_payloads(spark: SparkSession, sf: str) -> DataFrame:
-    return payloads.table(spark, sf, "events").select(
+    return spread(payloads.table(spark, sf, "events")).select(
         "event_id",
         "event_type",
         "ts",

@@ -30,10 +30,19 @@ def import_models(refs: Sequence[DataFrame | str], aliases: Sequence[str], spark
     return imported
 
 
-def materialize(model: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:
+def materialize(
+    model: DataFrame,
+    name: str,
+    kind: str = "view",
+    path: str | None = None,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
+) -> DataFrame:
     """Publish a model as a lazy ``view`` or as a Parquet ``table`` at ``path``, and return it.
 
     A table is written to a new folder; a run never overwrites what others read.
+    ``bucket_by=(count, columns)`` stores it in hash buckets: later upserts and
+    joins on those columns move only the other side. Choose at least as many
+    buckets as shuffle partitions, or Spark prefers to move both.
     """
     if kind == "view":
         model.createOrReplaceTempView(name)
@@ -42,7 +51,15 @@ def materialize(model: DataFrame, name: str, kind: str = "view", path: str | Non
         raise ValueError(f"unknown materialization {kind!r}")
     if path is None:
         raise ValueError("a table needs a path")
+    spark = model.sparkSession
+    if bucket_by is not None:
+        count, columns = bucket_by
+        # One task per bucket, so a bucket is one file.
+        placed = model.repartition(count, *columns)
+        writer = placed.write.bucketBy(count, *columns).sortBy(*columns).mode("errorifexists")
+        writer.option("path", path).saveAsTable(name)
+        return spark.table(name)
     model.write.mode("errorifexists").parquet(path)
-    stored = model.sparkSession.read.parquet(path)
+    stored = spark.read.parquet(path)
     stored.createOrReplaceTempView(name)
     return stored

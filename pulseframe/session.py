@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Correctness-relevant or scale-relevant settings; cluster sizing stays with the submitter.
 SESSION_CONF = {
@@ -17,6 +17,8 @@ SESSION_CONF = {
     "spark.sql.files.maxPartitionBytes": "64m",
     "spark.sql.variant.pushVariantIntoScan": "true",
     "spark.ui.showConsoleProgress": "false",
+    # Call-site capture costs a round trip per expression and doubles plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -45,3 +47,22 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="pulseframe-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the source has fewer splits than there are cores.
+
+    For costly per-row work on a small scan, such as parsing payloads out of one
+    file. A scan with enough splits, the normal case on a cluster, is returned as is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's shuffle width, for a repartitioning that must not be coalesced.
+
+    Adaptive execution sizes partitions by bytes; payload work costs far more
+    per byte than it expects.
+    """
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

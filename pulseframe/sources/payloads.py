@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.functions import paths
 from pulseframe.operators.watermarks import MAX_RANGE_DAYS
+from pulseframe.session import shuffle_partitions, spread
 from pulseframe.sources.envelope import parse_rows, stage_rows
 from pulseframe.sources.registry import DAILY_METHODS, KEYED_METHODS, RANGE_METHODS
 
@@ -46,7 +47,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def activity_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One activity per order; fields go missing with the order status."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     price, number = F.col("o_totalprice"), F.col("o_orderkey")
     pending, open_ = F.col("o_orderstatus") == "P", F.col("o_orderstatus") == "O"
     payload = F.struct(
@@ -105,6 +106,7 @@ def activity_detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     heart_rate = F.when(F.col("event_type") != "error", F.col("value")).alias("hr")
     grouped = (
         events(spark, sf_dir)
+        .repartition(shuffle_partitions(spark), block)
         .groupBy(block.alias("block"))
         .agg(F.sort_array(F.collect_list(F.struct("event_id", "ms", heart_rate, "k"))).alias("rows"))
         .withColumn("layout", F.col("block") % 3)
@@ -301,9 +303,10 @@ def sync_payloads(spark: SparkSession, sf_dir: str, collector: str) -> DataFrame
         )
     else:
         raise ValueError(f"{collector} has no list payload")
-    sync = F.expr(f"event_id div {EVENTS_PER_SYNC}").alias("subject_id")
+    sync = F.expr(f"event_id div {EVENTS_PER_SYNC}")
     return (
-        e.groupBy(sync, F.col("day").alias("requested"))
+        e.repartition(shuffle_partitions(spark), sync)
+        .groupBy(sync.alias("subject_id"), F.col("day").alias("requested"))
         .agg(F.sort_array(F.collect_list(entry), asc=False).alias("entries"))
         .select(
             "subject_id",

@@ -8,6 +8,7 @@ from helpers import column, plan, rows
 from pyspark.sql import functions as F
 
 from pulseframe.operators import calendar, quality
+from pulseframe.operators.upsert import upsert
 from pulseframe.plans import staging
 from pulseframe.plans.models import import_models, materialize
 from pulseframe.session import shared_dir
@@ -93,6 +94,30 @@ def test_materialize(spark, tmp_path):
         materialize(df, "a_table", "table", str(tmp_path / "t"))
 
 
+def test_an_upsert_on_a_bucketed_table_moves_only_the_batch(spark, tmp_path):
+    def landed(ids, seq):
+        return ids.select(
+            F.col("id").cast("string").alias("natural_key"), F.lit(seq).alias("raw"), F.lit(seq).alias("batch_seq")
+        )
+
+    stored = materialize(
+        landed(spark.range(200), 1), "landed_buckets", "table", str(tmp_path / "b"), bucket_by=(8, ["natural_key"])
+    )
+    stored_batch = str(tmp_path / "batch")
+    landed(spark.range(150, 250), 2).write.parquet(stored_batch)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = upsert(stored, spark.read.parquet(stored_batch))
+        sides = [part for part in plan(merged).split("SortMergeJoin")[1:]]
+        assert len(sides) == 2
+        current_side = sides[0].split("Bucketed: true")[0]
+        assert "Exchange" not in current_side
+        assert rows(merged.groupBy("raw").count()) == [(1, 150), (2, 100)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def day(spark, text):
     spine = spark.sql(f"select date'{text}' as date_day")
     return calendar.dim_dates(spine, F.lit("2024-02-29").cast("date")).first()
