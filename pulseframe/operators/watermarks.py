@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.functions.dates import day_sequence
-from pulseframe.operators.upsert import upsert
+from pulseframe.operators.upsert import latest_by_key, upsert
+from pulseframe.sources.envelope import read_or_empty
 from pulseframe.sources.registry import with_collectors
 
 # Operating limits of the fetch.
@@ -79,15 +80,39 @@ def range_requests(windows: DataFrame) -> DataFrame:
     return chunk_ranges(windows.filter(F.col("kind") == "range")).drop("kind")
 
 
+def _marks(ran: DataFrame, keys: list[str], run_date: str | Column, updated_at: Column) -> DataFrame:
+    return ran.select(
+        *keys,
+        _date(run_date).alias("last_extracted_date"),
+        updated_at.cast("timestamp_ntz").alias("updated_at"),
+    )
+
+
 def advance(state: DataFrame, ran: DataFrame, run_date: str | Column, updated_at: Column) -> DataFrame:
     """State after a run: every collector that ran is set to the run date.
 
     The mark follows the run even when nothing was fetched, and may move back.
     """
     keys = [c for c in state.columns if c not in ("last_extracted_date", "updated_at")]
-    marks = ran.select(
-        *keys,
-        _date(run_date).alias("last_extracted_date"),
-        updated_at.cast("timestamp_ntz").alias("updated_at"),
-    )
+    marks = _marks(ran, keys, run_date, updated_at)
     return upsert(state, marks, keys, order=["updated_at", "last_extracted_date"])
+
+
+class StateLog:
+    """Stored watermarks: one folder of marks per run, the newest run of a collector counts."""
+
+    def __init__(self, spark: SparkSession, path: str, subject: str | None = None):
+        """``subject`` declares the subject column, e.g. ``"subject_id bigint"``."""
+        self.spark, self.path = spark, path.rstrip("/")
+        self.schema = ", ".join([*([subject] if subject else []), STATE_SCHEMA, "run_seq bigint"])
+        self.keys = [*([subject.split()[0]] if subject else []), "collector_name"]
+
+    def append(self, ran: DataFrame, run_date: str | Column, updated_at: Column, run_seq: int) -> None:
+        """Advance the collectors in ``ran``; a retried run replaces its own marks."""
+        marks = _marks(ran, self.keys, run_date, updated_at)
+        marks.write.mode("overwrite").parquet(f"{self.path}/run_seq={int(run_seq)}")
+
+    def current(self) -> DataFrame:
+        empty = self.spark.createDataFrame([], self.schema).schema
+        stored = read_or_empty(self.spark, self.path, empty)
+        return latest_by_key(stored, self.keys, ["run_seq"]).drop("run_seq")

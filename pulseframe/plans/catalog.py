@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.functions import paths
+from pulseframe.functions.dates import day_sequence
 from pulseframe.functions.keys import surrogate_key
 from pulseframe.operators import calendar, discovery, normalize, quality, samples, watermarks
 from pulseframe.operators.upsert import LandedTable, existing_keys, latest_by_key, upsert
 from pulseframe.plans import staging
+from pulseframe.plans.runs import land_run
 from pulseframe.session import shared_dir, spread
 from pulseframe.sources import payloads
 from pulseframe.sources.envelope import parse_rows, stage_rows, to_envelope
@@ -330,6 +332,53 @@ def late_refetch_upsert(spark, sf):
     )
 
 
+@query
+def collector_runs(spark, sf):
+    """Two stored runs from request to landed row: the second re-opens three days and finds late errors."""
+    root = shared_dir(spark, "collector-runs")
+    table = LandedTable(spark, f"{root}/landed", ("collector_name", *SUBJECT_KEYS), ("collector_name",))
+    state = watermarks.StateLog(spark, f"{root}/state", "subject_id bigint")
+    e = payloads.events(spark, sf).withColumnRenamed("user_id", "subject_id")
+    subjects = e.select("subject_id").distinct()
+
+    def run(rows: DataFrame, run_date: str, run_seq: int) -> None:
+        windows = watermarks.fetch_windows(subjects, state.current(), run_date, only="sleep,hrv,steps")
+        days = rows.groupBy("subject_id", "day").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("sum_k"))
+        daily = watermarks.daily_requests(windows).join(
+            days.withColumnRenamed("day", "requested"), ["subject_id", "requested"]
+        )
+        # Joined day by day: a chunk has 27 of them, and a subject one row for each.
+        chunks = watermarks.range_requests(windows)
+        ranged = (
+            chunks.withColumn("day", F.explode(day_sequence(F.col("chunk_start"), F.col("chunk_end"))))
+            .join(days, ["subject_id", "day"])
+            .groupBy(*[c for c in chunks.columns if c != "chunk_end"])
+            .agg(F.collect_list(F.struct(F.col("day").alias("calendarDate"), "n", "sum_k")).alias("found"))
+        )
+        land_run(
+            table,
+            state,
+            windows,
+            ranged.withColumn("payload", F.to_json("found")).drop("found"),
+            daily.withColumn("payload", F.to_json(F.struct("n", "sum_k"))),
+            run_date,
+            f"{run_date}T10:00:00Z",
+            run_seq,
+        )
+
+    run(e.filter((F.col("event_type") != "error") & (F.col("day") <= F.lit("2024-01-16").cast("date"))), "2024-01-16", 1)
+    run(e, TODAY, 2)
+    raw = F.col("raw_data")
+    return table.current().select(
+        "collector_name",
+        *SUBJECT_KEYS,
+        paths.as_int(raw, "$.n").alias("n"),
+        paths.as_int(raw, "$.sum_k").alias("sum_k"),
+        "extracted_at",
+        "source_method",
+    )
+
+
 @query
 def stream_land(spark, sf):
     """Events landed as a file stream, then read back as the latest row per key."""

@@ -218,6 +218,12 @@ UNION ALL
 SELECT subject_id, CAST(day AS VARCHAR), n, sum_k, TIMESTAMP '2024-02-01 10:00:00' FROM late
 """
 
+ORACLES["collector_runs"] = f"""
+WITH landed AS ({ORACLES["late_refetch_upsert"]}), {_REG}
+SELECT collector_name, landed.*, source_method
+FROM landed, reg WHERE collector_name IN ('SLEEP', 'HRV', 'STEPS')
+"""
+
 # Semi-structured projections
 
 ORACLES["json_paths_typed"] = """

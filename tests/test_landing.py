@@ -141,3 +141,20 @@ def test_global_numbering_and_batches(spark, tmp_path):
     batches = discovery.fetch_batches(ids, str(tmp_path / "b"))
     assert rows(batches) == [(f"{i:03d}", i // 20) for i in range(137)]
     assert "SinglePartition" not in plan(batches).split("BroadcastExchange")[0]
+
+
+def test_stored_state(spark, tmp_path):
+    log = watermarks.StateLog(spark, str(tmp_path / "state"), "subject_id bigint")
+    assert log.current().count() == 0
+    ran = registry.with_collectors(spark.range(2).select(F.col("id").alias("subject_id")), "steps,sleep")
+    now = F.expr("timestamp_ntz'2024-02-01 00:00:00'")
+    log.append(ran, "2024-02-01", now, 1)
+    log.append(ran.filter("subject_id = 0 and collector_name = 'STEPS'"), "2024-01-05", now, 2)
+    log.append(ran.filter("subject_id = 0 and collector_name = 'STEPS'"), "2024-01-05", now, 2)  # retry
+    got = rows(log.current().select("subject_id", "collector_name", "last_extracted_date"))
+    assert got == [
+        (0, "SLEEP", D(2024, 2, 1)),
+        (0, "STEPS", D(2024, 1, 5)),
+        (1, "SLEEP", D(2024, 2, 1)),
+        (1, "STEPS", D(2024, 2, 1)),
+    ]

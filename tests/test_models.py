@@ -7,6 +7,7 @@ import pytest
 from helpers import column, plan, rows
 from pyspark.sql import functions as F
 
+from pulseframe.functions import dates
 from pulseframe.operators import calendar, quality
 from pulseframe.operators.upsert import upsert
 from pulseframe.plans import staging
@@ -150,6 +151,12 @@ def test_dimension_shape_and_bounds(spark):
     assert dim.filter("is_current_date").count() == 1
 
 
+def test_today_follows_the_zone_not_the_session(spark):
+    zones = ["Pacific/Kiritimati", "Pacific/Pago_Pago"]  # 25 hours apart: never the same day
+    row = spark.range(1).select(*[dates.today_in(z).alias(f"z{i}") for i, z in enumerate(zones)]).first()
+    assert (row.z0 - row.z1).days in (1, 2)
+
+
 def test_inverted_bounds_give_no_days(spark):
     bounds = spark.sql("select date'2024-01-02' start_date, date'2024-01-01' end_date")
     assert calendar.date_spine(bounds).count() == 0
