@@ -57,7 +57,7 @@ def normalize_range(payloads: DataFrame, strict: bool = True) -> DataFrame:
     chunk but moves when the chunk grid moves.
     """
     exploded = explode_range_items(payloads, strict)
-    fallback = F.concat_ws("_", F.date_format("chunk_start", "yyyy-MM-dd"), F.col("position"))
+    fallback = F.concat_ws("_", F.col("chunk_start").cast("string"), F.col("position"))
     return exploded.select(
         *context_columns(payloads),
         row_key(F.col("item"), fallback).alias("natural_key"),
@@ -84,4 +84,4 @@ def normalize_keyed(payloads: DataFrame, key: Column, strict: bool = True) -> Da
 
 def normalize_daily(payloads: DataFrame, strict: bool = True) -> DataFrame:
     """Daily payloads to rows keyed by the *requested* day, whatever the payload says."""
-    return normalize_keyed(payloads, F.date_format("requested", "yyyy-MM-dd"), strict)
+    return normalize_keyed(payloads, F.col("requested"), strict)

@@ -99,7 +99,13 @@ class LandedTable:
         self.keys, self.partition_by = tuple(keys), tuple(partition_by)
 
     def append(self, rows: DataFrame, batch_seq: int) -> None:
-        """Write a batch; leniently parsed rows put their rejects next to it."""
+        """Write a batch; leniently parsed rows put their rejects next to it.
+
+        Rows of a partitioned table are rebalanced first: folders get few, even
+        files, and a dominant collector is split over several tasks.
+        """
+        if self.partition_by:
+            rows = rows.hint("rebalance", *self.partition_by)
         rejected = F.col("rejected_text") if "rejected_text" in rows.columns else F.lit(None).cast("string")
         (
             rows.drop(BATCH_COLUMN)

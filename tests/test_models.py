@@ -74,6 +74,16 @@ def test_current_stage_equals_stage_of_current(spark):
     assert rows(current.select("steps_id", "total_steps")) == [("2024-01-01", 1), ("2024-01-02", 20)]
 
 
+def test_current_stage_shuffles_typed_columns_only(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log = envelope(spark, ("2024-01-01", {"totalSteps": 1, "noise": ["x"] * 50}))
+    log.withColumn("batch_seq", F.lit(1)).write.parquet(path)
+    current = staging.stage_current(spark.read.parquet(path), "steps")
+    text = plan(current)
+    assert "variant_get" not in text and "raw_data:struct<0:" in text
+    assert text.count("Exchange") == 1
+
+
 def test_import_models(spark):
     a, b = spark.range(3), spark.range(4)
     got = import_models([a, b], ["left_side", "right_side"])
