@@ -16,7 +16,7 @@ from pulseframe.functions.dates import day_sequence
 from pulseframe.functions.keys import surrogate_key
 from pulseframe.operators import calendar, discovery, normalize, quality, samples, watermarks
 from pulseframe.operators.upsert import LandedTable, existing_keys, latest_by_key, upsert
-from pulseframe.plans import staging
+from pulseframe.plans import project, staging
 from pulseframe.plans.runs import land_run
 from pulseframe.session import shared_dir, spread
 from pulseframe.sources import payloads
@@ -675,22 +675,35 @@ def test_not_null_failures(spark, sf):
 @query
 def data_test_report(spark, sf):
     """Both tests on the key of every model, and on a key known to repeat."""
-    models: dict[str, tuple[DataFrame, list[str]]] = {}
-    for model, rows in (
-        ("activities", payloads.activities(spark, sf)),
-        ("activity_details", payloads.activity_details(spark, sf)),
-        *((m, _day_rows(spark, sf, m.upper())) for m in ("body_battery", "hrv", "resting_heart_rate", "sleep", "steps")),
-        *((m, _sync_rows(spark, sf, m.upper())) for m in ("body_battery_events", "training_readiness")),
-    ):
-        staged = staging.stage(rows, model)
-        subject = ["subject_id"] if "subject_id" in staged.columns else []
-        models[f"stg_{model}"] = (staged, [*subject, staging.primary_key(model)])
-    series = _series(spark, sf)
-    models["activity_samples_unpivoted"] = (samples.unpivot(series), ["sk"])
-    models["cardio_samples"] = (samples.cardio(series), ["sk"])
-    models["gps_samples"] = (samples.gps(series), ["sk"])
-    spine = calendar.date_spine(_order_bounds(spark, sf))
-    models["dates_spine"] = (spine, ["date_day"])
-    models["dim_dates"] = (calendar.dim_dates(spine, F.lit(TODAY).cast("date")), ["date_day"])
-    models["lineitem"] = (payloads.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
-    return quality.data_test_report(models)
+    models = project.build_models(_landed(spark, sf), _order_bounds(spark, sf), F.lit(TODAY).cast("date"))
+    lines = payloads.table(spark, sf, "lineitem")
+    repeated = quality.data_test_report({"lineitem": (lines, ["l_orderkey", "l_linenumber"])})
+    return project.test_models(models).unionByName(repeated)
+
+
+def _landed(spark, sf) -> dict[str, DataFrame]:
+    """An envelope table for every staging model."""
+    return {
+        "activities": payloads.activities(spark, sf),
+        "activity_details": payloads.activity_details(spark, sf),
+        **{m: _day_rows(spark, sf, m.upper()) for m in ("body_battery", "hrv", "resting_heart_rate", "sleep", "steps")},
+        **{m: _sync_rows(spark, sf, m.upper()) for m in ("body_battery_events", "training_readiness")},
+    }
+
+
+@query
+def steps_by_weekday(spark, sf):
+    """SQL over published models: the steps fact on the date dimension."""
+    steps = {"steps": _day_rows(spark, sf, "STEPS")}
+    bounds = payloads.events(spark, sf).agg(
+        F.min("day").alias("start_date"), F.date_add(F.max("day"), calendar.HORIZON_DAYS).alias("end_date")
+    )
+    project.publish(project.build_models(steps, bounds, F.lit(TODAY).cast("date")))
+    return spark.sql(
+        """
+        SELECT month_name, day_of_week_name, is_weekend, count(*) AS num_days,
+               sum(total_steps) AS total_steps, max(step_goal) AS top_goal
+        FROM stg_steps JOIN dim_dates ON steps_date = date_day
+        GROUP BY month_name, day_of_week_name, is_weekend
+        """
+    )

@@ -529,10 +529,10 @@ _MODEL_ROWS = {
     ("stg_steps", "subject_id,steps_id"): "SELECT count(*) FROM ud",
     ("stg_body_battery_events", "subject_id,body_battery_event_id"): "SELECT count(*) FROM sync WHERE newest = 1",
     ("stg_training_readiness", "subject_id,training_readiness_id"): "SELECT count(*) FROM sync WHERE newest = 1",
-    ("activity_samples_unpivoted", "sk"): "SELECT count(*) FROM long",
-    ("cardio_samples", "sk"): "SELECT count(*) FROM events",
-    ("gps_samples", "sk"): "SELECT count(*) FROM smp WHERE layout <> 0",
-    ("dates_spine", "date_day"): "SELECT count(*) FROM spine",
+    ("int_activity_samples_unpivoted", "sk"): "SELECT count(*) FROM long",
+    ("int_activities_cardio_samples_pivoted", "sk"): "SELECT count(*) FROM events",
+    ("int_activities_gps_samples_pivoted", "sk"): "SELECT count(*) FROM smp WHERE layout <> 0",
+    ("int_dates_spine", "date_day"): "SELECT count(*) FROM spine",
     ("dim_dates", "date_day"): "SELECT count(*) FROM spine",
     ("lineitem", "l_orderkey,l_linenumber"): "SELECT count(*) FROM lineitem",
 }
@@ -545,3 +545,10 @@ _REPORT = " UNION ALL ".join(
     for test in ("unique", "not_null")
 )
 ORACLES["data_test_report"] = f"WITH {_LONG}, {_UD}, {_SYNCED}, {_SPINE} {_REPORT}"
+
+ORACLES["steps_by_weekday"] = f"""
+WITH {_DAYS}
+SELECT strftime(day, '%B') AS month_name, strftime(day, '%A') AS day_of_week_name, isodow(day) >= 6 AS is_weekend,
+       count(*) AS num_days, CAST(sum(sum_k) AS BIGINT) AS total_steps, max(n) + 1 AS top_goal
+FROM ud GROUP BY 1, 2, 3
+"""

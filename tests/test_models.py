@@ -8,9 +8,9 @@ from helpers import column, plan, rows
 from pyspark.sql import functions as F
 
 from pulseframe.functions import dates
-from pulseframe.operators import calendar, quality
+from pulseframe.operators import calendar, quality, samples
 from pulseframe.operators.upsert import upsert
-from pulseframe.plans import staging
+from pulseframe.plans import project, staging
 from pulseframe.plans.models import import_models, materialize
 from pulseframe.session import shared_dir
 
@@ -195,3 +195,28 @@ def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = shared_dir(spark, "x"), shared_dir(spark, "x")
     assert a.startswith(f"{root}/x-") and a != b
+
+
+def test_published_project(spark, tmp_path):
+    activity = {
+        "metricDescriptors": [{"metricsIndex": 0, "key": "directLatitude", "unit": {"key": "dd"}}],
+        "activityDetailMetrics": [{"metrics": [1.5]}, {"metrics": [2.5]}],
+    }
+    landed = {
+        "steps": envelope(spark, ("2024-01-01", {"totalSteps": 5}), ("2024-01-02", {"totalSteps": 6})),
+        "activity_details": envelope(spark, ("a", activity)),
+    }
+    stored = str(tmp_path / "series")
+    samples.series_from_envelope(landed["activity_details"]).write.parquet(stored)
+    bounds = calendar.default_bounds(spark, "2024-02-29")
+    models = project.build_models(landed, bounds, F.lit("2024-02-29").cast("date"), series=spark.read.parquet(stored))
+    assert set(models) == {"stg_steps", "stg_activity_details", *project.DERIVED_KEYS}
+    published = project.publish(models, str(tmp_path / "marts"), rename=lambda name: f"proj_{name}")
+    assert "FileScan" in plan(published["proj_dim_dates"])
+    got = spark.sql(
+        "select sum(total_steps) from proj_stg_steps join proj_dim_dates on steps_date = date_day where not is_weekend"
+    )
+    assert got.first()[0] == 11
+    assert spark.table("proj_int_activities_gps_samples_pivoted").count() == 2
+    report = project.test_models(models)
+    assert report.count() == 14 and report.filter("failures > 0").count() == 0
