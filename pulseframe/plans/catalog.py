@@ -18,7 +18,7 @@ from pulseframe.operators import calendar, discovery, normalize, quality, sample
 from pulseframe.operators.upsert import LandedTable, existing_keys, latest_by_key, upsert
 from pulseframe.plans import project, staging
 from pulseframe.plans.runs import land_run
-from pulseframe.session import shared_dir, spread
+from pulseframe.session import shared_dir, shuffle_partitions, spread
 from pulseframe.sources import payloads
 from pulseframe.sources.envelope import parse_rows, stage_rows, to_envelope
 from pulseframe.sources.registry import with_collectors
@@ -138,8 +138,9 @@ def normalize_daily_payload(spark, sf):
 @query
 def landed_tables(spark, sf):
     """All 20 collectors landed and upserted in one job, keyed by collector."""
-    days = with_collectors(payloads.user_days(spark, sf))
-    fetched = days.select(
+    # Each summary row becomes 20 payloads: keep all cores on it.
+    days = payloads.user_days(spark, sf).repartition(shuffle_partitions(spark))
+    fetched = with_collectors(days).select(
         "subject_id",
         "collector_name",
         "kind",
