@@ -92,7 +92,7 @@ SELECT subject_id, natural_key, n AS num_items, event_type AS first_event_type,
 FROM sync WHERE newest = 1
 """
 
-_COLLECTOR_VALUES = ", ".join(f"('{c.table}', '{c.method}', '{c.kind}')" for c in COLLECTORS)
+_COLLECTOR_VALUES = ", ".join(f"('{c.collector_name}', '{c.source_method}', '{c.kind}')" for c in COLLECTORS)
 _REG = f"reg(collector_name, source_method, kind) AS (VALUES {_COLLECTOR_VALUES})"
 
 ORACLES["landed_tables"] = f"""

@@ -3,19 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-
-@dataclass(frozen=True)
-class Collector:
-    table: str
-    method: str
-    kind: str  # "range" fetches windows, "daily" fetches single days
-
-
 # Landed table, source method.
 RANGE_METHODS = {
     "STEPS": "get_daily_steps",
@@ -46,39 +37,30 @@ KEYED_METHODS = {
     "ACTIVITIES": "get_activities",
     "ACTIVITY_DETAILS": "get_activity_details",
 }
-COLLECTORS = tuple(
-    [Collector(t, m, "range") for t, m in RANGE_METHODS.items()]
-    + [Collector(t, m, "daily") for t, m in DAILY_METHODS.items()]
-)
+# A range collector is fetched by window, a daily one by single day.
+COLLECTORS = [
+    Row(collector_name=name, source_method=method, kind=kind)
+    for kind, methods in (("range", RANGE_METHODS), ("daily", DAILY_METHODS))
+    for name, method in methods.items()
+]
 REGISTRY_TYPE = "array<struct<collector_name:string,source_method:string,kind:string>>"
-LANDED_TABLES = (*(c.table for c in COLLECTORS), *KEYED_METHODS)
+LANDED_TABLES = [*RANGE_METHODS, *DAILY_METHODS, *KEYED_METHODS]
 
 
-def parse_only(only: str | None) -> set[str] | None:
-    """``"stats, sleep"`` -> ``{"STATS", "SLEEP"}``; None or blank selects everything."""
+def select_collectors(only: str | Iterable[str] | None = None) -> list[Row]:
+    """All collectors, or those named by a list or a text such as ``"stats, sleep"``."""
     if not only:
-        return None
-    return {name.strip().upper() for name in only.split(",")}
-
-
-def select_collectors(only: str | Iterable[str] | None = None) -> list[Collector]:
-    names = parse_only(only) if only is None or isinstance(only, str) else set(only)
-    return [c for c in COLLECTORS if names is None or c.table in names]
+        return COLLECTORS
+    wanted = only.split(",") if isinstance(only, str) else only
+    names = {name.strip().upper() for name in wanted}
+    return [c for c in COLLECTORS if c.collector_name in names]
 
 
 def with_collectors(subjects: DataFrame, only: str | Iterable[str] | None = None) -> DataFrame:
     """One row per subject and selected collector, without a join.
 
     The registry is a constant of at most 20 entries, so it rides along as an
-    array literal and is exploded in place.
+    array literal and is expanded in place.
     """
-    chosen = F.array(*[_as_struct(c) for c in select_collectors(only)])
-    return subjects.select("*", F.inline(chosen.cast(REGISTRY_TYPE)))
-
-
-def _as_struct(c: Collector) -> Column:
-    return F.struct(
-        F.lit(c.table).alias("collector_name"),
-        F.lit(c.method).alias("source_method"),
-        F.lit(c.kind).alias("kind"),
-    )
+    entries = [F.struct(*[F.lit(v).alias(k) for k, v in c.asDict().items()]) for c in select_collectors(only)]
+    return subjects.select("*", F.inline(F.array(*entries).cast(REGISTRY_TYPE)))

@@ -109,7 +109,7 @@ def test_advance_follows_the_run_even_backwards(spark):
 
 def test_registry():
     assert len(registry.COLLECTORS) == 20 and len(registry.LANDED_TABLES) == 22
-    assert [c.table for c in registry.select_collectors(" stats ,Sleep,unknown")] == ["STATS", "SLEEP"]
+    assert [c.collector_name for c in registry.select_collectors(" sleep ,Stats,unknown")] == ["STATS", "SLEEP"]
     assert len(registry.select_collectors(None)) == len(registry.select_collectors("")) == 20
 
 
