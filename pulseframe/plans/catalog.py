@@ -11,9 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.functions import paths
+from pulseframe.functions import keys, paths
 from pulseframe.functions.dates import day_sequence
-from pulseframe.functions.keys import surrogate_key
 from pulseframe.operators import calendar, discovery, normalize, quality, samples, watermarks
 from pulseframe.operators.upsert import LandedTable, existing_keys, latest_by_key, upsert
 from pulseframe.plans import project, staging
@@ -579,14 +578,14 @@ def samples_unpivoted_join(spark, sf):
 
 
 @query
-def surrogate_keys(spark, sf):
+def surrogate_key(spark, sf):
     """Keys over an id, a NULL-able name and a number."""
     rows = payloads.table(spark, sf, "orders").select(
         "o_orderkey",
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"),
         "o_orderpriority",
     )
-    return rows.select("o_orderkey", surrogate_key("o_orderkey", "status", "o_orderpriority").alias("sk"))
+    return rows.select("o_orderkey", keys.surrogate_key("o_orderkey", "status", "o_orderpriority").alias("sk"))
 
 
 @query

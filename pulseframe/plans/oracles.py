@@ -429,7 +429,7 @@ FROM smp
 
 ORACLES["samples_unpivoted"] = ORACLES["samples_unpivoted_join"] = f"WITH {_LONG} SELECT * FROM long"
 
-ORACLES["surrogate_keys"] = """
+ORACLES["surrogate_key"] = """
 SELECT o_orderkey,
        md5(o_orderkey || '-' || CASE WHEN o_orderstatus = 'P' THEN '_dbt_utils_surrogate_key_null_' ELSE o_orderstatus END
            || '-' || o_orderpriority) AS sk

@@ -15,8 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pulseframe.operators.upsert import LandedTable
-
-FILES_PER_BATCH = 20
+from pulseframe.sources.files import FILES_PER_BATCH
 
 
 def payload_stream(
