@@ -287,8 +287,8 @@ def cardio_long(long: DataFrame) -> DataFrame:
 def heart_rate_by_minute(cardio_samples: DataFrame) -> DataFrame:
     """Average and peak heart rate per activity and elapsed minute.
 
-    The sum is taken in decimals, so it does not depend on the order in which
-    tasks finish; samples are combined per task before the shuffle.
+    The sum is taken over whole millionths, so it does not depend on the order
+    in which tasks finish; samples are combined per task before the shuffle.
     """
     ids = _ids(cardio_samples)
     bpm = F.col("heart_rate_bpm")
@@ -297,14 +297,14 @@ def heart_rate_by_minute(cardio_samples: DataFrame) -> DataFrame:
         .groupBy(*ids, F.floor(F.col("elapsed_seconds") / 60).alias("minute"))
         .agg(
             F.count(bpm).alias("num_samples"),
-            F.sum(bpm.cast("decimal(18,4)")).alias("_sum"),
+            F.sum(paths.round_to_long(bpm * 1_000_000)).alias("_sum"),
             F.max(bpm).alias("max_heart_rate"),
         )
         .select(
             *ids,
             "minute",
             "num_samples",
-            (F.col("_sum").cast("double") / F.col("num_samples")).alias("avg_heart_rate"),
+            (F.col("_sum") / 1_000_000 / F.col("num_samples")).alias("avg_heart_rate"),
             "max_heart_rate",
         )
     )

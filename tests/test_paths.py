@@ -89,3 +89,10 @@ def test_surrogate_key_tells_null_from_empty(spark):
     assert len(set(keys)) == 3
     assert hashlib.md5(b"a-_dbt_utils_surrogate_key_null_").hexdigest() in keys
     assert hashlib.md5(b"a-b").hexdigest() in keys
+
+
+def test_doubles_round_half_away_from_zero(spark):
+    given = [0.4, 0.5, 1.5, 2.5, -0.5, -1.5, -2.4, 1720505553250.5, 0.0, None]
+    df = spark.createDataFrame(list(enumerate(given)), "n int, x double")
+    got = [r[0] for r in df.orderBy("n").select(paths.round_to_long(F.col("x"))).collect()]
+    assert got == [0, 1, 2, 3, -1, -2, -2, 1720505553251, 0, None]
