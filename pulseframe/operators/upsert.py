@@ -124,10 +124,16 @@ class LandedTable:
             {BATCH_COLUMN: F.col(BATCH_COLUMN).cast("bigint"), "is_rejected": F.col("is_rejected").cast("boolean")}
         )
 
-    def log(self, after: int | None = None) -> DataFrame:
-        """Landed rows of all batches, or of those after a batch number."""
+    def log(self, after: int | None = None, before: int | None = None) -> DataFrame:
+        """Landed rows of all batches, or of those after or before a batch number.
+
+        A job that appends batch ``n`` from what is known must read ``before=n``:
+        a retry then sees the same rows and never the folder it replaces.
+        """
         rows = self._stored().filter(~F.col("is_rejected")).drop("rejected_text", "is_rejected")
-        return rows if after is None else rows.filter(F.col(BATCH_COLUMN) > after)
+        if after is not None:
+            rows = rows.filter(F.col(BATCH_COLUMN) > after)
+        return rows if before is None else rows.filter(F.col(BATCH_COLUMN) < before)
 
     def quarantine(self) -> DataFrame:
         """Rows whose payload did not parse."""

@@ -112,7 +112,10 @@ class StateLog:
         marks = _marks(ran, self.keys, run_date, updated_at)
         marks.write.mode("overwrite").parquet(f"{self.path}/run_seq={int(run_seq)}")
 
-    def current(self) -> DataFrame:
+    def current(self, before: int | None = None) -> DataFrame:
+        """Newest marks; a run plans from those ``before`` its own number, so that it can be repeated."""
         empty = self.spark.createDataFrame([], self.schema).schema
         stored = read_or_empty(self.spark, self.path, empty)
+        if before is not None:
+            stored = stored.filter(F.col("run_seq") < before)
         return latest_by_key(stored, self.keys, ["run_seq"]).drop("run_seq")

@@ -16,7 +16,7 @@ from pulseframe.functions.dates import day_sequence
 from pulseframe.operators import calendar, discovery, normalize, quality, samples, watermarks
 from pulseframe.operators.upsert import LandedTable, existing_keys, latest_by_key, upsert
 from pulseframe.plans import project, staging
-from pulseframe.plans.runs import land_run
+from pulseframe.plans.runs import details_to_fetch, land_details, land_new_activities, land_run
 from pulseframe.session import shared_dir, shuffle_partitions, spread
 from pulseframe.sources import payloads
 from pulseframe.sources.envelope import parse_rows, stage_rows, to_envelope
@@ -342,7 +342,9 @@ def collector_runs(spark, sf):
     subjects = e.select("subject_id").distinct()
 
     def run(rows: DataFrame, run_date: str, run_seq: int) -> None:
-        windows = watermarks.fetch_windows(subjects, state.current(), run_date, only="sleep,hrv,steps")
+        windows = watermarks.fetch_windows(
+            subjects, state.current(before=run_seq), run_date, only="sleep,hrv,steps"
+        )
         days = rows.groupBy("subject_id", "day").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("sum_k"))
         daily = watermarks.daily_requests(windows).join(
             days.withColumnRenamed("day", "requested"), ["subject_id", "requested"]
@@ -379,6 +381,36 @@ def collector_runs(spark, sf):
     )
 
 
+@query
+def activity_runs(spark, sf):
+    """Two activity runs and one of details; what is still missing, in write batches.
+
+    The first run sees errors before 28 January. Signups answer with empty
+    details and clicks with broken ones.
+    """
+    root = shared_dir(spark, "activity-runs")
+    table = LandedTable(spark, f"{root}/landed", ("collector_name", "natural_key"), ("collector_name",))
+    payload = F.to_json(F.struct("event_type", "value"))
+    feed = spread(payloads.table(spark, sf, "events")).select(
+        F.col("event_id").cast("string").alias("natural_key"),
+        F.col("event_id").alias("recency"),
+        "event_type",
+        "ts",
+        payload.alias("payload"),
+    )
+    first = feed.filter("event_type = 'error' and ts < timestamp_ntz'2024-01-28 00:00:00'")
+    land_new_activities(table, first, "recency", "2024-01-28T02:00:00Z", 1)
+    land_new_activities(table, feed, "recency", "2024-02-01T02:00:00Z", 2)
+    answer = (
+        F.when(F.col("event_type") == "signup", F.lit("{}"))
+        .when(F.col("event_type") == "click", F.lit("{broken"))
+        .otherwise(F.col("payload"))
+    )
+    fetched = details_to_fetch(table, before=3).join(feed, "natural_key").withColumn("payload", answer)
+    land_details(table, fetched, "2024-02-01T03:00:00Z", 3)
+    return discovery.fetch_batches(details_to_fetch(table), f"{root}/batches")
+
+
 @query
 def stream_land(spark, sf):
     """Events landed as a file stream, then read back as the latest row per key."""

@@ -148,6 +148,15 @@ FROM events e LEFT JOIN cut ON e.user_id = cut.user_id
 WHERE c IS NULL OR event_id > c
 """
 
+ORACLES["activity_runs"] = f"""
+WITH fresh AS (
+  SELECT CAST(event_id AS VARCHAR) AS natural_key FROM events
+  WHERE event_type IN ('signup', 'click')
+    AND event_id > coalesce((SELECT max(event_id) FROM events WHERE {_KNOWN}), -1)
+)
+SELECT natural_key, (row_number() OVER (ORDER BY natural_key) - 1) // 20 AS batch_no FROM fresh
+"""
+
 _STATE_CASES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _STATE_COLLECTORS.items())
 _STATE = f"""{_EV}, {_REG}, subjects AS (SELECT DISTINCT user_id AS subject_id FROM ev), state AS (
   SELECT user_id AS subject_id, CASE event_type {_STATE_CASES} END AS collector_name,

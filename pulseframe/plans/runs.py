@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.functions import paths
-from pulseframe.operators.normalize import normalize_daily, normalize_range
-from pulseframe.operators.upsert import LandedTable
+from pulseframe.operators.discovery import missing_keys, new_until_known
+from pulseframe.operators.normalize import normalize_daily, normalize_keyed, normalize_range
+from pulseframe.operators.upsert import LandedTable, existing_keys
 from pulseframe.operators.watermarks import StateLog
 from pulseframe.sources.envelope import to_envelope
+from pulseframe.sources.registry import KEYED_METHODS
 
 
 def land_run(
@@ -26,8 +28,43 @@ def land_run(
 
     Payloads that do not parse go to the table's quarantine and the rest lands.
     Rows are written before the watermarks, and both under the run's number: a
-    run that dies in between is simply repeated.
+    run that dies anywhere is simply repeated, given windows planned from
+    ``state.current(before=run_seq)``.
     """
     rows = normalize_range(fetched_range, strict=False).unionByName(normalize_daily(fetched_daily, strict=False))
     table.append(to_envelope(rows, extracted_at=extracted_at, batch_seq=run_seq), run_seq)
     state.append(windows, run_date, paths.iso_instant_to_utc_ntz(F.lit(extracted_at)), run_seq)
+
+
+def _keys_of(table: LandedTable, name: str, before: int | None) -> DataFrame:
+    return existing_keys(table.log(before=before).filter(F.col("collector_name") == name))
+
+
+def _land_keyed(table: LandedTable, name: str, fetched: DataFrame, extracted_at: str, run_seq: int) -> None:
+    labelled = fetched.withColumns(
+        {"collector_name": F.lit(name), "source_method": F.lit(KEYED_METHODS[name])}
+    )
+    rows = normalize_keyed(labelled, F.col("natural_key"), strict=False)
+    table.append(to_envelope(rows, extracted_at=extracted_at, batch_seq=run_seq), run_seq)
+
+
+def land_new_activities(
+    table: LandedTable, feed: DataFrame, newest_first: str, extracted_at: str, run_seq: int
+) -> None:
+    """Land the feed's newest activities up to the first one that is known.
+
+    ``feed`` has ``natural_key``, ``payload`` and the position column ``newest_first``.
+    """
+    known = _keys_of(table, "ACTIVITIES", before=run_seq)
+    fresh = new_until_known(feed, known, "natural_key", newest_first)
+    _land_keyed(table, "ACTIVITIES", fresh, extracted_at, run_seq)
+
+
+def details_to_fetch(table: LandedTable, before: int | None = None) -> DataFrame:
+    """Activities that were landed without their details so far."""
+    return missing_keys(_keys_of(table, "ACTIVITIES", before), _keys_of(table, "ACTIVITY_DETAILS", before))
+
+
+def land_details(table: LandedTable, fetched: DataFrame, extracted_at: str, run_seq: int) -> None:
+    """Land fetched details; an empty answer lands nothing and stays missing, a broken one is quarantined."""
+    _land_keyed(table, "ACTIVITY_DETAILS", fetched, extracted_at, run_seq)
