@@ -413,11 +413,16 @@ def activity_runs(spark, sf):
 
 @query
 def stream_land(spark, sf):
-    """Events landed as a file stream, then read back as the latest row per key."""
+    """Events landed as a file stream, then read back as the latest row per key.
+
+    Rows are ordered by their own time, so neither the number of files nor the
+    order in which the stream takes them matters.
+    """
     root = shared_dir(spark, "stream-land")
     table = LandedTable(spark, f"{root}/events", SUBJECT_KEYS)
     schema = payloads.table(spark, sf, "events").schema
-    stream = payload_stream(spark, sf, schema, fmt="parquet", pathGlobFilter="events.parquet")
+    # A pattern, so that the table may be one file or a folder of files.
+    stream = payload_stream(spark, f"{sf}/event[s].parquet", schema, fmt="parquet")
 
     def to_rows(batch: DataFrame, batch_seq: int) -> DataFrame:
         staged = stage_rows(
@@ -425,14 +430,14 @@ def stream_land(spark, sf):
             key=F.col("event_type"),
             payload=F.struct("value", F.get_json_object("props", "$.k").cast("int").alias("k")),
             source_method="get_events",
-            extracted_at=F.col("landed_at"),
+            extracted_at=F.col("ts"),
             batch_seq=batch_seq,
             row_seq=F.col("event_id"),
         )
         return parse_rows(staged)
 
     land_stream(stream, to_rows, table, f"{root}/checkpoint").awaitTermination()
-    return _show_event(table.current()).drop("extracted_at")
+    return _show_event(table.current())
 
 
 # Semi-structured projections

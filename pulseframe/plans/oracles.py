@@ -115,8 +115,8 @@ FROM ev GROUP BY user_id, event_type
 
 ORACLES["stream_land"] = f"""
 WITH {_EV}
-SELECT user_id AS subject_id, event_type AS natural_key, arg_max(value, event_id) AS value, arg_max(k, event_id) AS k,
-       'get_events' AS source_method
+SELECT user_id AS subject_id, event_type AS natural_key, arg_max(value, ts) AS value, arg_max(k, ts) AS k,
+       max(ts) AS extracted_at, 'get_events' AS source_method
 FROM ev GROUP BY user_id, event_type
 """
 

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 import check_oracles
+from helpers import rows
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,14 @@ def test_query_equals_sql(spark, con, sf, name):
     assert check_oracles.compare(spark, con, name, sf) is None
 
 
+def test_stream_reads_a_table_stored_as_a_folder(spark, sf, tmp_path):
+    """As tables are on a cluster: many files, taken in several micro-batches."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartition(30).write.parquet(str(tmp_path / "events.parquet"))
+    query = entry_point.queries()["stream_land"]
+    assert rows(query(spark, str(tmp_path))) == rows(query(spark, sf))
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.columns == ["activity_id", "minute", "num_samples", "avg_heart_rate", "max_heart_rate"]
