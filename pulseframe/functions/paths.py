@@ -96,8 +96,12 @@ def items(v: Column, path: str = "$") -> Column:
 
 
 def array_size(v: Column, path: str = "$") -> Column:
-    """Element count; NULL for anything but an array, 0 for an empty one."""
-    return F.array_size(items(v, path)).cast("bigint")
+    """Element count; NULL for anything but an array, 0 for an empty one.
+
+    Elements are read as booleans, which most are not: they come out NULL, still
+    count, and their contents stay undecoded.
+    """
+    return F.array_size(F.try_variant_get(v, path, "array<boolean>")).cast("bigint")
 
 
 # JSON texts that count as "nothing returned".
