@@ -1,8 +1,8 @@
 """Keyed, replay-safe upserts.
 
 Storage is an append-only log of batches plus versioned snapshots; a row's
-place in time is ``(extracted_at, batch_seq)``, so replaying a batch or landing
-batches out of order cannot change the outcome.
+place in time is ``(extracted_at, batch_seq, row_seq)``, so replaying a batch or
+landing batches out of order cannot change the outcome.
 """
 
 from __future__ import annotations
