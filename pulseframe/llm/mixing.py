@@ -180,5 +180,5 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", *
     """
     own = "_place" + "_" * max([0, *(len(c) for c in docs.columns)])  # no column has this name
     first = mix(docs, id_col=id_col, source_col=source_col, **options).groupBy(F.col(id_col).alias("_id")).agg(F.min("position").alias(own))
-    rows = docs.join(first, docs[id_col].eqNullSafe(first["_id"])).select(*[docs[c] for c in docs.columns], own)
+    rows = docs.join(first.hint("merge"), docs[id_col].eqNullSafe(first["_id"])).select(*[docs[c] for c in docs.columns], own)
     return in_order(rows, F.col(own)).drop(own)

@@ -11,9 +11,9 @@ order in both texts, within the diagonal band outside which the similarity canno
 ``c`` k-mers in the chain the similarity is ``c / (n_a + n_b - c)``.
 
 Equal texts are one text from the start. The texts of one sketch bucket are not paired with each
-other but with a member picked by hash, another one for every sketch, and again within those that
-also agree in the next sketch: as many pairs as rows, whatever the size of the bucket. Buckets that
-are still not one group are then dealt with again, small ones by all pairs across their groups.
+other but with a member picked by hash, and again within those that also agree in the next sketch: as many pairs as rows,
+whatever the size of the bucket. Buckets that are still not one group are then dealt with again:
+small ones by all pairs across their groups, large ones by other picks for every sketch.
 """
 
 from __future__ import annotations
@@ -166,24 +166,20 @@ def _verified(k: int, least: float):
     return run
 
 
-def _picked(rows: DataFrame, keys: list[str], seed: int) -> DataFrame:
-    """Pairs of each text with the one its bucket picks."""
-    picks = rows.groupBy(*keys).agg(F.min_by("g", F.xxhash64("g", F.lit(seed), *keys)).alias("b"), F.count("*").alias("_n")).filter("_n > 1")
-    return rows.join(picks, keys).filter("g <> b").select(F.least("g", "b").alias("a"), F.greatest("g", "b").alias("b"))
+def _picked(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    """Pairs of each of ``rows(g, c, *keys)`` with the one its bucket picks, the least by ``order``, unless both are of group ``c``."""
+    picks = rows.groupBy(*keys).agg(F.min_by(F.struct("g", "c"), order).alias("p"))
+    return rows.join(picks, keys).filter("c <> p.c").select(F.least("g", "p.g").alias("a"), F.greatest("g", "p.g").alias("b"))
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, k: int, least: float) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose texts are similar enough."""
-    ids = pairs.select(F.col("a").alias("g")).union(pairs.select(F.col("b").alias("g"))).distinct()
-    words = store(texts.join(ids, "g", "left_semi").mapInArrow(_word_rows, "g binary, words binary"), "words")
+def _linked(pairs: DataFrame, words: DataFrame, k: int, least: float) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose texts, ``words(g, words)``, are similar enough."""
     sides = (
         pairs.join(words.toDF("a", "wa"), "a")
         .join(words.toDF("b", "wb"), "b")
         .select("a", "b", "wa", "wb")
     )
-    links = store(sides.mapInArrow(_verified(k, least), "a binary, b binary"), "links")
-    drop_stored(words)
-    return links
+    return store(sides.mapInArrow(_verified(k, least), "a binary, b binary"), "links")
 
 
 def text_key(text: Column) -> Column:
@@ -204,7 +200,7 @@ def near_duplicates(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("g", text_key(F.col("text")))
     slim = store(rows.select("id", "g"), "texts")
     classes = store(slim.filter("g is not null").groupBy("g").agg(F.min("id").alias("first")), "classes")
-    # Equal texts have equal sketches; one row of each text goes on.
+    # Equal texts have equal sketches.
     texts = rows.filter("g is not null").select("g", "text", "id")
     sketched = texts.select("g", "text").mapInArrow(_sketch_rows(k, ell, m), "g binary, sketches array<long>")
     sketched = sketched.groupBy("g").agg(F.first("sketches").alias("s"))
@@ -213,26 +209,31 @@ def near_duplicates(
     )
     buckets = store(buckets, "buckets")
     shared = buckets.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    full = store(buckets.join(shared, ["t", "key"]), "shared")
+    full = store(buckets.join(shared, ["t", "key"]).withColumn("c", F.col("g")), "shared")
     drop_stored(buckets)
-    pairs = store(_picked(full, ["t", "key"], 1).union(_picked(full.filter("n > 2"), ["t", "key", "key2"], 2)).distinct(), "pairs")
-    one_each = texts.join(classes.select("g", F.col("first").alias("id")), ["g", "id"], "left_semi").select("g", "text").dropDuplicates(["g"])
-    links = _linked(pairs, one_each, k, least)
+    # The words of one row of each text that has a candidate; every later step reads these.
+    needed = full.select("g").distinct().join(classes, "g").select("g", F.col("first").alias("id"))
+    needed = texts.join(needed.hint("merge"), ["g", "id"], "left_semi").dropDuplicates(["g", "id"])
+    words = store(needed.select("g", "text").mapInArrow(_word_rows, "g binary, words binary"), "words")
+    # First the same few texts are picked in all sketches, so most pairs come up again and again.
+    first = F.xxhash64("g")
+    pairs = store(_picked(full, ["t", "key"], first).union(_picked(full.filter("n > 2"), ["t", "key", "key2"], first)).distinct(), "pairs")
+    links = _linked(pairs, words, k, least)
     groups = components(links)
-    # Buckets whose texts are not one group yet.
-    grouped = full.join(groups.withColumnRenamed("id", "g"), "g", "left").withColumn("c", F.coalesce("component", "g"))
+    # Then the buckets whose texts are not one group yet: pairs across their groups.
+    grouped = full.drop("c").join(groups.select(F.col("id").alias("g"), F.col("component").alias("c")), "g", "left").withColumn("c", F.coalesce("c", "g"))
     split = grouped.groupBy("t", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
     open_rows = store(grouped.join(split.select("t", "key"), ["t", "key"]).select("g", "t", "key", "key2", "n", "c"), "open")
     few, many = open_rows.filter(F.col("n") <= SMALL_BUCKET), open_rows.filter(F.col("n") > SMALL_BUCKET)
     x, y = few.select("t", "key", F.col("g").alias("a"), F.col("c").alias("ca")), few.select("t", "key", F.col("g").alias("b"), F.col("c").alias("cb"))
     across = x.join(y, ["t", "key"]).filter("a < b and ca <> cb").select("a", "b")
-    further = [_picked(many, keys, seed) for seed in (3, 4, 5) for keys in (["t", "key"], ["t", "key", "key2"])]
-    for p in further:
-        across = across.union(p)
+    for seed in (1, 2, 3):
+        for keys in (["t", "key"], ["t", "key", "key2"]):
+            across = across.union(_picked(many, keys, F.xxhash64("g", F.lit(seed), *keys)))
     again = store(across.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-    more = _linked(again, one_each, k, least)
-    drop_stored(full)
-    drop_stored(open_rows)
+    more = _linked(again, words, k, least)
+    for done in (full, open_rows, words):
+        drop_stored(done)
     groups = components(links.union(more))
     named = classes.join(groups.withColumnRenamed("id", "g"), "g", "left").withColumn("c", F.coalesce("component", "g"))
     least_id = named.groupBy("c").agg(F.min("first").alias("cluster_id"))
@@ -248,4 +249,4 @@ def near_duplicates(
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all their columns, of which one document of each group stays."""
     gone = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).filter("not kept").select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns).dropDuplicates([id_col, text_col])
+    return docs.join(gone.hint("merge"), id_col, "left_anti").select(*docs.columns).dropDuplicates([id_col, text_col])
