@@ -37,6 +37,8 @@ TEMPLATES = (
 # Base names of licence files, fixed values.
 LICENSE_FILES = r"(?i)^(license|licence|copying|unlicense)([.-][^/]*)?$"
 _BREAK = "[^a-z0-9]+"
+# Words of ordinary sentences, taken as anchors only where a template is made of little else; fixed values.
+ORDINARY = frozenset("a all and any are by following for form in is of or person that the this to under use with without work".split())
 
 
 def words_of(text: str) -> list[str]:
@@ -73,7 +75,7 @@ def anchors(templates: tuple[tuple[str, str], ...], least: float) -> list[str]:
         by.setdefault(i, []).append((x, w))
     for rows in by.values():
         rest = sum(x * x for x, _ in rows)
-        for x, w in sorted(rows, key=lambda r: (-r[0], r[1])):
+        for x, w in sorted(rows, key=lambda r: (r[1] in ORDINARY, -r[0], r[1])):
             if math.sqrt(max(0.0, rest)) < least - 1e-9:
                 break
             out.add(w)
