@@ -37,8 +37,12 @@ TEMPLATES = (
 # Base names of licence files, fixed values.
 LICENSE_FILES = r"(?i)^(license|licence|copying|unlicense)([.-][^/]*)?$"
 _BREAK = "[^a-z0-9]+"
-# Words of ordinary sentences, taken as anchors only where a template is made of little else; fixed values.
-ORDINARY = frozenset("a all and any are by following for form in is of or person that the this to under use with without work".split())
+# Words of any sentence, which say little about a licence; fixed values.
+ORDINARY = frozenset(
+    "a all an and any are as at be by following for form from has have in is it its not of on or other person some such"
+    " that the their this to under use used was which will with without work".split()
+)
+ORDINARY_RARITY = 0.3
 
 
 def words_of(text: str) -> list[str]:
@@ -50,10 +54,10 @@ def words(line: Column) -> Column:
 
 
 def rarity(templates: tuple[tuple[str, str], ...]) -> tuple[dict[str, float], float]:
-    """Inverse document frequency of the templates' words, and of any other word."""
+    """Inverse document frequency of the templates' words, and of any other word; ordinary words have a low one."""
     seen = Counter(w for _, t in templates for w in set(words_of(t)))
     n = len(templates)
-    return {w: math.log((1 + n) / (1 + c)) + 1 for w, c in seen.items()}, math.log(1 + n) + 1
+    return {w: math.log((1 + n) / (1 + c)) + 1 for w, c in seen.items()} | dict.fromkeys(ORDINARY, ORDINARY_RARITY), math.log(1 + n) + 1
 
 
 def weights(templates: tuple[tuple[str, str], ...]) -> list[tuple[int, str, str, float]]:
@@ -75,7 +79,7 @@ def anchors(templates: tuple[tuple[str, str], ...], least: float) -> list[str]:
         by.setdefault(i, []).append((x, w))
     for rows in by.values():
         rest = sum(x * x for x, _ in rows)
-        for x, w in sorted(rows, key=lambda r: (r[1] in ORDINARY, -r[0], r[1])):
+        for x, w in sorted(rows, key=lambda r: (-r[0], r[1])):
             if math.sqrt(max(0.0, rest)) < least - 1e-9:
                 break
             out.add(w)
@@ -156,16 +160,17 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", templ
 def oracle(table: str, path: str, templates=TEMPLATES, least: float = LEAST) -> str:
     """The scan as SQL over ``table``, whose path is the SQL expression ``path``."""
     rows = ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(templates))
+    ordinary = ", ".join(f"'{w}'" for w in sorted(ORDINARY))
     return f"""
     WITH template(t, licence, body) AS (VALUES {rows}),
     tw AS (SELECT t, licence, w, count(*) AS n FROM (SELECT t, licence, unnest(regexp_split_to_array(lower(body), '{_BREAK}')) AS w FROM template) WHERE w <> '' GROUP BY ALL),
-    idf AS (SELECT w, ln((1.0 + {len(templates)}) / (1 + count(DISTINCT t))) + 1 AS idf FROM tw GROUP BY w),
+    idf AS (SELECT w, CASE WHEN w IN ({ordinary}) THEN {ORDINARY_RARITY} ELSE ln((1.0 + {len(templates)}) / (1 + count(DISTINCT t))) + 1 END AS idf FROM tw GROUP BY w),
     tx AS (SELECT t, licence, w, n * idf AS x FROM tw JOIN idf USING (w)),
     tn AS (SELECT t, sqrt(sum(x * x)) AS norm FROM tx GROUP BY t),
     file AS (SELECT {path} AS path, coalesce(text, '') AS text FROM {table}),
     line AS (SELECT path, unnest(string_split(text, chr(10))) AS content, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM file),
     word AS (SELECT path, line, w, count(*) AS n FROM (SELECT path, line, unnest(regexp_split_to_array(lower(content), '{_BREAK}')) AS w FROM line) WHERE w <> '' GROUP BY ALL),
-    weighed AS (SELECT path, line, w, n * coalesce(idf, ln(1.0 + {len(templates)}) + 1) AS x FROM word LEFT JOIN idf USING (w)),
+    weighed AS (SELECT path, line, w, n * CASE WHEN w IN ({ordinary}) THEN {ORDINARY_RARITY} ELSE coalesce(idf, ln(1.0 + {len(templates)}) + 1) END AS x FROM word LEFT JOIN idf USING (w)),
     norm AS (SELECT path, line, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY ALL),
     hit AS (SELECT path, line, t, licence, round(sum(weighed.x * tx.x / tn.norm) / any_value(norm.norm), 6) AS cosine
             FROM weighed JOIN tx USING (w) JOIN tn USING (t) JOIN norm USING (path, line) GROUP BY path, line, t, licence),
