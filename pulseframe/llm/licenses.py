@@ -96,8 +96,14 @@ def notices(files: DataFrame, path_col: str, text_col: str, templates=TEMPLATES,
         files.filter(F.col(path_col).isNotNull() & F.col(text_col).rlike(pattern))
         .select(F.col(path_col).cast("string").alias("path"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line", "content"))
         .filter(F.col("content").rlike(pattern))
-        .distinct()
     )
+    # What a line's words can add to a product at most, against the least length of a line with so many others.
+    heavy = sorted(set(idf) - ORDINARY)
+    reach = {of: max([idf[w] * x for _, _, w, x in weights(templates) if (w in ORDINARY) == of], default=0.0) for of in (True, False)}
+    said = words(F.col("content"))
+    n_heavy, n_ordinary = (F.size(F.filter(said, lambda w, of=of: w.isin(*of))) for of in (heavy, sorted(ORDINARY)))
+    others = F.size(said) - n_heavy - n_ordinary
+    lines = lines.filter(n_heavy * reach[False] + n_ordinary * reach[True] >= F.sqrt(others) * (least * other) - 1e-9).distinct()
     table = spark.createDataFrame(weights(templates), "template int, licence string, word string, w double")
     rare = spark.createDataFrame(sorted(idf.items()), "word string, idf double")
     counted = lines.select("path", "line", F.xxhash64("content").alias("c"), F.explode(words(F.col("content"))).alias("word")).groupBy("path", "line", "c", "word").agg(F.count("*").alias("n"))
