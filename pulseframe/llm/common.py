@@ -30,16 +30,16 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_in = path
+    return out
 
 
 def drop_stored(df: DataFrame) -> None:
-    """Delete the folders behind a stored table that nothing reads any more."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+    """Delete the folder of a table that ``store`` returned and that nothing reads any more."""
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(df.stored_in)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def width(spark: SparkSession) -> int:
@@ -87,20 +87,21 @@ def components(edges: DataFrame) -> DataFrame:
     sides = store(sides, "edges")
     labels = store(sides.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), "labels")
     while True:
+        now = labels.select("id", "component")
         near = (
-            sides.join(labels.toDF("b", "label"), "b")
+            sides.join(now.toDF("b", "label"), "b")
             .groupBy(F.col("a").alias("id"))
             .agg(F.min("label").alias("near"))
         )
-        closer = labels.join(near, "id").select("id", F.least("component", "near").alias("component"), F.col("component").alias("was"))
-        root = labels.toDF("component", "root")
+        closer = now.join(near, "id").select("id", F.least("component", "near").alias("component"), F.col("component").alias("was"))
+        root = now.toDF("component", "root")
         moved = store(
             closer.join(root, "component").select("id", F.least("component", "root").alias("component"), "was"),
             "labels",
         )
         changed = not moved.filter("component <> was").isEmpty()
         drop_stored(labels)
-        labels = moved.drop("was")
+        labels = moved
         if not changed:
             drop_stored(sides)
-            return labels
+            return labels.select("id", "component")

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 Q = 8
 WINDOW = 80
@@ -83,7 +84,7 @@ class Index:
         self.q, self.ids = q, [i for i, _ in items]
         self.points = [codes(t) for _, t in items]
         self.windows = [min(window, len(p)) for p in self.points]
-        self.edits = [int(edit_rate * w) for w in self.windows]
+        self.edits = [max(0, min(int(edit_rate * w), w // q - 1)) for w in self.windows]  # so many leave a q-gram untouched
         self.needs = [w + 1 - q * (e + 1) for w, e in zip(self.windows, self.edits)]
         grams = [qgrams(p, q) if need > 0 else np.empty(0, np.uint64) for p, need in zip(self.points, self.needs)]
         every = np.concatenate([*grams, np.empty(0, np.uint64)])
@@ -203,13 +204,15 @@ def contamination(
     """``doc_id, item_id, edits, item_start, text_end`` for every row of ``docs`` and item that meet.
 
     ``item_start`` and ``text_end`` are places in the normalised texts of the best window: fewest
-    edits, then first. An item shorter than ``window`` is one window itself; one too short for the
-    lemma (no q-gram must be shared) matches nothing. Null and empty texts match nothing, repeated
+    edits, then first. A window of w characters may have ``edit_rate * w`` edits, but no more than
+    leave one q-gram untouched; an item shorter than ``window`` is one window itself, and one shorter
+    than ``q`` matches nothing. Null and empty texts match nothing, repeated
     rows and items give repeated findings per row and one per distinct item row. An empty benchmark
     or empty table gives an empty result.
     """
     id_type, item_type = docs.schema[id_col].dataType, benchmark.schema[item_col].dataType
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField(item_col, item_type), T.StructField("edits", T.IntegerType()), T.StructField("item_start", T.IntegerType()), T.StructField("text_end", T.IntegerType())])
+    kinds = [to_arrow_type(f.dataType) for f in schema]
     slim = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
 
     def scan(items):
@@ -220,7 +223,7 @@ def contamination(
                 for begin, part in chunks(texts):
                     found = [(ids[begin + d], i, c, s, e) for d, i, c, s, e in index.scan(part)]
                     if found:
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*found)], names=schema.names)
+                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), kinds)], names=schema.names)
 
         return run
 

@@ -101,7 +101,8 @@ def notices(files: DataFrame, path_col: str, text_col: str, templates=TEMPLATES,
     heavy = sorted(set(idf) - ORDINARY)
     reach = {of: max([idf[w] * x for _, _, w, x in weights(templates) if (w in ORDINARY) == of], default=0.0) for of in (True, False)}
     said = words(F.col("content"))
-    n_heavy, n_ordinary = (F.size(F.filter(said, lambda w, of=of: w.isin(*of))) for of in (heavy, sorted(ORDINARY)))
+    n_heavy = F.size(F.filter(said, lambda w: w.isin(*heavy)))
+    n_ordinary = F.size(F.filter(said, lambda w: w.isin(*ORDINARY)))
     others = F.size(said) - n_heavy - n_ordinary
     lines = lines.filter(n_heavy * reach[False] + n_ordinary * reach[True] >= F.sqrt(others) * (least * other) - 1e-9).distinct()
     table = spark.createDataFrame(weights(templates), "template int, licence string, word string, w double")
