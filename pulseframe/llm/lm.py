@@ -195,7 +195,7 @@ def best_class(matrix: np.ndarray, own: int, s: np.ndarray, p: np.ndarray, itsel
     d = np.diag(m)
     corner = _xlogx(d + s + p + itself) - _xlogx(d)
     gain = rows.sum(axis=1) - np.diag(rows) + cols.sum(axis=0) - np.diag(cols) + corner
-    out, inn = m.sum(axis=1), m.sum(axis=0)
+    out, inn = m.sum(axis=1) + p, m.sum(axis=0) + s  # the neighbours stay before and after the unit wherever it goes
     gain -= _xlogx(out + s.sum() + itself) - _xlogx(out) + _xlogx(inn + p.sum() + itself) - _xlogx(inn)
     gain[FIXED] = -np.inf
     to = int(np.argmax(gain))

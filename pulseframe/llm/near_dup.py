@@ -13,7 +13,8 @@ order in both texts, within the diagonal band outside which the similarity canno
 Equal texts are one text from the start. The texts of one sketch bucket are not paired with each
 other but with a member picked by hash, and again within those that also agree in the next sketch: as many pairs as rows,
 whatever the size of the bucket. Buckets that are still not one group are then dealt with again:
-small ones by all pairs across their groups, large ones by other picks for every sketch.
+all pairs across their groups, in large ones block by block, where a block leaves out what its links
+already join. So no candidate pair is lost but those that other links make one group anyway.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 from bisect import bisect_left
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -32,8 +34,9 @@ K = 5
 ELL = 3
 SKETCHES = 16
 SIMILARITY = 0.8
-# A bucket of so few texts is finished by all pairs; each larger one by further picks.
-SMALL_BUCKET = 12
+# A bucket of so few texts is finished by a join with itself, each larger one block by block.
+SMALL_BUCKET = 16
+BLOCK = 200
 _WORDS_KEPT = 200_000
 _U = np.uint64
 
@@ -182,6 +185,71 @@ def _linked(pairs: DataFrame, words: DataFrame, k: int, least: float) -> DataFra
     return store(sides.mapInArrow(_verified(k, least), "a binary, b binary"), "links")
 
 
+def _across(k: int, least: float):
+    """Links of one block of a bucket: ``outs`` against ``ins``, both with their group before."""
+
+    def run(outs: pd.DataFrame, ins: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        if len(outs) and len(ins):
+            parent: dict[bytes, bytes] = {}
+
+            def find(x):
+                while parent.setdefault(x, x) != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            t = int(outs["t"].iloc[0])
+            drawn = np.array(ins["s"].tolist())
+            mers = [labelled(np.frombuffer(w, dtype="<u4"), k) for w in ins["words"]]
+            ids, groups = list(ins["g"]), list(ins["c"])
+            order = list(range(len(ids)))
+            for g, c, s, w in zip(outs["g"], outs["c"], outs["s"], outs["words"]):
+                # Two texts that agree in several sketches are compared in the bucket of the first one.
+                here = (drawn == np.array(s)).argmax(axis=1) == t
+                own = None
+                for i in [i for i in order if here[i]]:
+                    if find(c) == find(groups[i]):
+                        continue  # another link already joins them
+                    if own is None:
+                        own = labelled(np.frombuffer(w, dtype="<u4"), k)
+                    if similarity(own, mers[i], least):
+                        a.append(g), b.append(ids[i])
+                        parent[find(c)] = find(groups[i])
+                        order.remove(i)
+                        order.insert(0, i)  # a text that many link to comes first
+        return pd.DataFrame({"a": pd.Series(a, dtype=object), "b": pd.Series(b, dtype=object)})
+
+    return run
+
+
+def _block_links(rows: DataFrame, words: DataFrame, k: int, least: float) -> DataFrame:
+    """Links across the groups of large buckets, ``rows(t, key, g, c, n, s)``.
+
+    Those outside a bucket's largest group meet all of it, in blocks of ``BLOCK`` by ``BLOCK`` texts.
+    """
+    sizes = rows.groupBy("t", "key", "c").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("t", "key").agg(
+        F.max_by("c", F.struct("n", "c")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("largest")
+    )
+    most = most.select("t", "key", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("ins"), F.ceil((F.col("all") - F.col("largest")) / BLOCK).cast("int").alias("outs"))
+    rows = store(rows.select("t", "key", "g", "c", "s").join(most, ["t", "key"]).join(words, "g"), "members")
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        """Each row in one block of its own side and in every block of the other."""
+        at = {own: F.pmod(F.xxhash64("g"), F.col(own)).cast("int"), other: F.explode(F.sequence(F.lit(0), F.col(other) - 1))}
+        return side.select("t", "key", "g", "c", "s", "words", *[at[x].alias(f"{x}_block") for x in ("ins", "outs")])
+
+    outs = dealt(rows.filter("c <> main"), "outs", "ins")
+    ins = dealt(rows, "ins", "outs")
+    ins = ins.toDF(*ins.columns)  # columns of their own beside those of the other side
+    keys = ["t", "key", "outs_block", "ins_block"]
+    found = outs.groupBy(*keys).cogroup(ins.groupBy(*keys)).applyInPandas(_across(k, least), "a binary, b binary")
+    links = store(found, "links")
+    drop_stored(rows)
+    return links
+
+
 def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.encode(text, "UTF-8")))
 
@@ -203,7 +271,7 @@ def near_duplicates(
     # Equal texts have equal sketches.
     texts = rows.filter("g is not null").select("g", "text", "id")
     sketched = texts.select("g", "text").mapInArrow(_sketch_rows(k, ell, m), "g binary, sketches array<long>")
-    sketched = sketched.groupBy("g").agg(F.first("sketches").alias("s"))
+    sketched = store(sketched.groupBy("g").agg(F.first("sketches").alias("s")), "sketches")
     buckets = sketched.select("g", "s", F.posexplode("s").alias("t", "key")).select(
         "g", "t", "key", F.element_at("s", (F.col("t") + 1) % m + 1).alias("key2")
     )
@@ -227,14 +295,12 @@ def near_duplicates(
     few, many = open_rows.filter(F.col("n") <= SMALL_BUCKET), open_rows.filter(F.col("n") > SMALL_BUCKET)
     x, y = few.select("t", "key", F.col("g").alias("a"), F.col("c").alias("ca")), few.select("t", "key", F.col("g").alias("b"), F.col("c").alias("cb"))
     across = x.join(y, ["t", "key"]).filter("a < b and ca <> cb").select("a", "b")
-    for seed in (1, 2, 3):
-        for keys in (["t", "key"], ["t", "key", "key2"]):
-            across = across.union(_picked(many, keys, F.xxhash64("g", F.lit(seed), *keys)))
     again = store(across.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
     more = _linked(again, words, k, least)
-    for done in (full, open_rows, words):
+    blocks = _block_links(many.join(sketched, "g"), words, k, least)
+    for done in (full, open_rows, words, sketched):
         drop_stored(done)
-    groups = components(links.union(more))
+    groups = components(links.union(more).union(blocks))
     named = classes.join(groups.withColumnRenamed("id", "g"), "g", "left").withColumn("c", F.coalesce("component", "g"))
     least_id = named.groupBy("c").agg(F.min("first").alias("cluster_id"))
     named = named.join(least_id, "c").select("g", F.col("first").alias("class_id"), "cluster_id")

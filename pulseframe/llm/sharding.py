@@ -18,11 +18,11 @@ from pulseframe.llm.common import drop_stored, ranked, store, unit_hash
 def text_hubs(docs: DataFrame, n_shards: int) -> DataFrame:
     """``docs(id, group)`` to ``(id, hub)`` for groups of two or more rows.
 
-    A group that would not fit into half a shard becomes several hubs by a hash of the id, so no
-    hub outgrows a shard and no task sees a whole dominant group.
+    A group that would not fit into nine tenths of a shard becomes several hubs by a hash of the id,
+    so no hub outgrows a shard and no task sees a whole dominant group.
     """
     total = docs.count()
-    piece = max(1, total // (2 * n_shards))
+    piece = max(1, 9 * total // (10 * n_shards))
     sizes = docs.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1")
     return (
         docs.filter("id is not null")
@@ -32,11 +32,26 @@ def text_hubs(docs: DataFrame, n_shards: int) -> DataFrame:
     )
 
 
-def propagate(links: DataFrame, total: int, n_shards: int, rounds: int = 8) -> DataFrame:
-    """``links(id, hub)`` to ``(id, label)``: a shard for every linked document.
+def _wishes(links: DataFrame, state: DataFrame) -> DataFrame:
+    """``id, want``: the label most weight of a document's hubs holds, a hub's being that of most of its members."""
+    votes = links.join(state, "id").groupBy("hub", "label").agg(F.count("*").alias("n"))
+    tie = F.xxhash64("hub", "label")
+    hubs = votes.groupBy("hub").agg(F.max_by(F.struct("label", "n"), F.struct("n", tie.alias("t"))).alias("top"))
+    return (
+        links.join(hubs, "hub")
+        .groupBy("id", F.col("top.label").alias("want"))
+        .agg(F.sum("top.n").alias("n"))
+        .groupBy("id")
+        .agg(F.max_by("want", F.struct("n", F.xxhash64("id", "want").alias("t"))).alias("want"))
+    )
+
+
+def propagate(links: DataFrame, total: int, n_shards: int, rounds: int = 8, settle: bool = True) -> DataFrame:
+    """``links(id, hub)`` to ``(id, unit, label)``: a shard for every linked document.
 
     ``total`` counts all documents, linked or not; ``total / n_shards`` is the quota of a shard.
-    Ends when no document wants to move, or after ``rounds``.
+    Ends when no document wants to move, or after ``rounds``; then, with ``settle``, all that still
+    want to move do, and it is left to the evening out to move whole units out of full shards.
     """
     quota = total / n_shards
     links = store(links, "links")
@@ -47,20 +62,11 @@ def propagate(links: DataFrame, total: int, n_shards: int, rounds: int = 8) -> D
         "shards",
     )
     for turn in range(rounds):
-        votes = links.join(state, "id").groupBy("hub", "label").agg(F.count("*").alias("n"))
-        tie = F.xxhash64("hub", "label")
-        hubs = votes.groupBy("hub").agg(F.max_by(F.struct("label", "n"), F.struct("n", tie.alias("t"))).alias("top"))
-        wishes = (
-            links.join(hubs, "hub")
-            .groupBy("id", F.col("top.label").alias("want"))
-            .agg(F.sum("top.n").alias("n"))
-            .groupBy("id")
-            .agg(F.max_by("want", F.struct("n", F.xxhash64("id", "want").alias("t"))).alias("want"))
-        )
-        wanted = store(state.join(wishes, "id"), "wishes")
+        wanted = store(state.join(_wishes(links, state), "id"), "wishes")
         moves = wanted.filter("want <> label")
         if moves.isEmpty():
             drop_stored(wanted)
+            settle = False
             break
         flows = moves.groupBy(F.col("label").alias("s"), F.col("want").alias("t")).agg(F.count("*").alias("n"))
         back = flows.select(F.col("s").alias("t"), F.col("t").alias("s"), F.col("n").alias("back"))
@@ -89,6 +95,8 @@ def propagate(links: DataFrame, total: int, n_shards: int, rounds: int = 8) -> D
         drop_stored(wanted)
         drop_stored(state)
         state = after
+    if settle:
+        state = store(state.join(_wishes(links, state), "id").select("id", "unit", F.col("want").alias("label")), "shards")
     drop_stored(links)
     return state.select("id", "unit", "label")
 
