@@ -55,9 +55,9 @@ def day_flags(today: Column) -> dict[str, Column]:
     }
 
 
-def today_in(zone: str) -> Column:
-    """Today's date in ``zone`` (the session's own zone plays no part)."""
-    wall_clock = F.current_timestamp().cast("timestamp_ntz")
+def today_in(zone: str, now: Column | None = None) -> Column:
+    """Today's date in ``zone`` (the session's own zone plays no part), or the date of the instant ``now``."""
+    wall_clock = (F.current_timestamp() if now is None else now).cast("timestamp_ntz")
     return F.convert_timezone(None, F.lit(zone), wall_clock).cast("date")
 
 

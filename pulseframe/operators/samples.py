@@ -19,6 +19,8 @@ from pulseframe.functions import paths
 from pulseframe.functions.keys import surrogate_key
 
 DESCRIPTOR_TYPE = "array<struct<metricsIndex:int,key:string,unit:struct<key:string>>>"
+# As read: a position is rounded like every other integer before it becomes one.
+READ_DESCRIPTOR_TYPE = DESCRIPTOR_TYPE.replace("metricsIndex:int", "metricsIndex:decimal(38,0)")
 SAMPLE_TYPE = "array<struct<metrics:array<double>>>"
 
 # Metric keys behind the wide columns.
@@ -60,7 +62,7 @@ def series_from_envelope(details: DataFrame, strict: bool = True) -> DataFrame:
     return details.select(
         *subject,
         F.col("natural_key").alias("activity_id"),
-        get("raw_data", "$.metricDescriptors", DESCRIPTOR_TYPE).alias("descriptors"),
+        get("raw_data", "$.metricDescriptors", READ_DESCRIPTOR_TYPE).cast(DESCRIPTOR_TYPE).alias("descriptors"),
         get("raw_data", "$.activityDetailMetrics", SAMPLE_TYPE).alias("samples"),
     )
 
@@ -70,7 +72,7 @@ def series_from_staging(staged: DataFrame, strict: bool = True) -> DataFrame:
     get = F.variant_get if strict else F.try_variant_get
     return staged.select(
         *_ids(staged),
-        get("metric_descriptors", "$", DESCRIPTOR_TYPE).alias("descriptors"),
+        get("metric_descriptors", "$", READ_DESCRIPTOR_TYPE).cast(DESCRIPTOR_TYPE).alias("descriptors"),
         get("activity_detail_metrics", "$", SAMPLE_TYPE).alias("samples"),
     )
 
@@ -240,8 +242,13 @@ def gps(series: DataFrame) -> DataFrame:
 
 
 def gps_capable(series: DataFrame) -> DataFrame:
-    """Ids of activities that declare latitude and have samples."""
-    return series.filter(is_gps_capable() & (F.size("samples") > 0)).select(*_ids(series))
+    """Ids of activities that declare latitude and have samples.
+
+    Marked by expression: a filter would sink below the extraction and parse each payload again.
+    """
+    row = F.array(F.struct(*_ids(series)))
+    capable = F.coalesce(is_gps_capable() & (F.size("samples") > 0), F.lit(False))
+    return series.select(F.inline(F.when(capable, row).otherwise(F.slice(row, 2, 1))))
 
 
 # Forms over the long table.

@@ -7,7 +7,9 @@ landing batches out of order cannot change the outcome.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +18,13 @@ from pyspark.sql import types as T
 from pulseframe.sources.envelope import BATCH_COLUMN, ENVELOPE_SCHEMA, ORDER_COLUMNS, ROW_COLUMN, read_or_empty
 
 DEFAULT_KEYS = ("natural_key",)
+WRITER_COLUMN = "writer"
 EMPTY_LOG = T.StructType(
     [
         *ENVELOPE_SCHEMA.fields,
         T.StructField(ROW_COLUMN, T.LongType()),
         T.StructField("rejected_text", T.StringType()),
+        T.StructField(WRITER_COLUMN, T.StringType()),
         T.StructField(BATCH_COLUMN, T.LongType()),
         T.StructField("is_rejected", T.BooleanType()),
     ]
@@ -28,8 +32,8 @@ EMPTY_LOG = T.StructType(
 
 
 def _position(df: DataFrame, order: Sequence[str] | None) -> Column:
-    """A comparable struct that places a row in time."""
-    return F.struct(*[F.col(c) for c in order or ORDER_COLUMNS if order or c in df.columns])
+    """A comparable struct that places a row in time; between writers at one time the name decides."""
+    return F.struct(*[F.col(c) for c in order or [*ORDER_COLUMNS, WRITER_COLUMN] if order or c in df.columns])
 
 
 def latest_by_key(
@@ -80,10 +84,13 @@ def existing_keys(table: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataF
 
 
 class LandedTable:
-    """A landed table kept as ``log/batch_seq=N`` folders and ``snapshot/version=N`` folders.
+    """A landed table kept as ``log/writer=W/batch_seq=N`` folders and ``snapshot/version=N`` folders.
 
-    ``append`` overwrites its own batch folder, so a retried batch replaces itself.
-    ``compact`` writes a *new* version and never touches a folder being read.
+    ``append`` overwrites its own batch folder, so a retried batch replaces itself. Each writer (a
+    run's collectors, its activities, a stream) numbers its own batches, so none can replace
+    another's. A writer lands its batches in order.
+    ``compact`` writes a *new* version and never touches a folder being read; the version notes how
+    far each writer had come, so batches that land later are always read on top of it.
     ``partition_by`` lays columns such as ``collector_name`` out as folders, so
     reading one collector reads only its files.
     """
@@ -94,16 +101,21 @@ class LandedTable:
         path: str,
         keys: Sequence[str] = DEFAULT_KEYS,
         partition_by: Sequence[str] = (),
+        subject: str = "subject_id bigint",
     ):
+        """``subject`` declares the subject column's type, for a table that holds nothing yet."""
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.partition_by = tuple(keys), tuple(partition_by)
+        self.subject = dict([subject.split()])
 
-    def append(self, rows: DataFrame, batch_seq: int) -> None:
-        """Write a batch; leniently parsed rows put their rejects next to it.
+    def append(self, rows: DataFrame, batch_seq: int, writer: str = "main") -> None:
+        """Write a batch of a writer; leniently parsed rows put their rejects next to it.
 
         Rows of a partitioned table are rebalanced first: folders get few, even
         files, and a dominant collector is split over several tasks.
         """
+        if not re.fullmatch(r"[A-Za-z][A-Za-z0-9_.-]*", writer):
+            raise ValueError(f"a writer's name is a letter, then letters, digits, _ . or -: {writer!r}")
         if self.partition_by:
             rows = rows.hint("rebalance", *self.partition_by)
         rejected = F.col("rejected_text") if "rejected_text" in rows.columns else F.lit(None).cast("string")
@@ -113,51 +125,67 @@ class LandedTable:
             .withColumn("is_rejected", F.col("rejected_text").isNotNull())
             .write.mode("overwrite")
             .partitionBy("is_rejected", *self.partition_by)
-            .parquet(f"{self.path}/log/{BATCH_COLUMN}={int(batch_seq)}")
+            .parquet(f"{self.path}/log/{WRITER_COLUMN}={writer}/{BATCH_COLUMN}={int(batch_seq)}")
         )
 
     def _stored(self) -> DataFrame:
-        extra = [T.StructField(k, T.StringType()) for k in self.keys if k not in EMPTY_LOG.fieldNames()]
+        kinds = T.StructType.fromDDL(", ".join(f"{k} {self.subject.get(k, 'string')}" for k in self.keys))
+        extra = [f for f in kinds.fields if f.name not in EMPTY_LOG.fieldNames()]
         rows = read_or_empty(self.spark, f"{self.path}/log", T.StructType([*extra, *EMPTY_LOG.fields]))
         # Folder names come back as text or small numbers.
         return rows.withColumns(
             {BATCH_COLUMN: F.col(BATCH_COLUMN).cast("bigint"), "is_rejected": F.col("is_rejected").cast("boolean")}
         )
 
+    def _landed(self) -> DataFrame:
+        return self._stored().filter(~F.col("is_rejected")).drop("rejected_text", "is_rejected")
+
     def log(self, after: int | None = None, before: int | None = None) -> DataFrame:
         """Landed rows of all batches, or of those after or before a batch number.
 
         A job that appends batch ``n`` from what is known must read ``before=n``:
         a retry then sees the same rows and never the folder it replaces.
         """
-        rows = self._stored().filter(~F.col("is_rejected")).drop("rejected_text", "is_rejected")
+        rows = self._landed().drop(WRITER_COLUMN)
         if after is not None:
             rows = rows.filter(F.col(BATCH_COLUMN) > after)
         return rows if before is None else rows.filter(F.col(BATCH_COLUMN) < before)
 
     def quarantine(self) -> DataFrame:
         """Rows whose payload did not parse."""
-        return self._stored().filter("is_rejected").drop("raw_data", "is_rejected")
+        return self._stored().filter("is_rejected").drop("raw_data", "is_rejected", WRITER_COLUMN)
 
     def snapshot(self, version: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/snapshot/version={int(version)}")
 
+    def _beyond(self, version: int) -> Column:
+        """Rows of batches that snapshot ``version`` does not hold."""
+        marks = self.spark.read.parquet(f"{self.path}/marks/version={int(version)}").collect()  # a row a writer
+        held = [(F.col(WRITER_COLUMN) == m[WRITER_COLUMN]) & (F.col(BATCH_COLUMN) <= m["through"]) for m in marks]
+        return ~reduce(lambda a, b: a | b, held, F.lit(False))
+
     def current(self, version: int | None = None) -> DataFrame:
-        """Latest rows: the whole log, or snapshot ``version`` plus the batches after it."""
+        """Latest rows: the whole log, or snapshot ``version`` plus the batches it does not hold."""
         if version is None:
-            return latest_by_key(self.log(), self.keys)
+            return latest_by_key(self._landed(), self.keys).drop(WRITER_COLUMN)
         base = self.snapshot(version)
-        return upsert(base, self.log(after=version).select(*base.columns), self.keys)
+        tail = latest_by_key(self._landed().filter(self._beyond(version)), self.keys)
+        return upsert(base, tail.select(*base.columns), self.keys)
 
     def compact(self, through: int, base_version: int | None = None) -> DataFrame:
-        """Write snapshot ``through`` from batches up to it, on top of ``base_version``."""
+        """Write snapshot ``through`` from the batches numbered up to it, on top of ``base_version``."""
         upto = F.col(BATCH_COLUMN) <= through
-        if base_version is None:
-            rows = latest_by_key(self.log().filter(upto), self.keys)
-        else:
+        marks = self._stored().filter(upto).groupBy(WRITER_COLUMN).agg(F.max(BATCH_COLUMN).alias("through"))
+        marks = self.spark.createDataFrame(marks.collect(), f"{WRITER_COLUMN} string, through bigint")  # fixed before rows are read
+        seen = [(F.col(WRITER_COLUMN) == m[WRITER_COLUMN]) & (F.col(BATCH_COLUMN) <= m["through"]) for m in marks.collect()]
+        rows = latest_by_key(self._landed().filter(reduce(lambda a, b: a | b, seen, F.lit(False))), self.keys).drop(WRITER_COLUMN)
+        if base_version is not None:
             base = self.snapshot(base_version)
-            batch = self.log(after=base_version).filter(upto).select(*base.columns)
-            rows = upsert(base, batch, self.keys)
+            tail = self._landed().filter(upto).filter(self._beyond(base_version))
+            rows = upsert(base, latest_by_key(tail, self.keys).select(*base.columns), self.keys)
+        if self.partition_by:
+            rows = rows.hint("rebalance", *self.partition_by)
         target = f"{self.path}/snapshot/version={int(through)}"
         rows.write.mode("errorifexists").partitionBy(*self.partition_by).parquet(target)
+        marks.write.mode("overwrite").parquet(f"{self.path}/marks/version={int(through)}")
         return self.snapshot(through)

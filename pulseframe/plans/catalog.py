@@ -6,18 +6,20 @@ UTC wall clock, local readings as the wall clock they were written in.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.functions import keys, paths
-from pulseframe.functions.dates import day_sequence
+from pulseframe.functions.dates import day_sequence, today_in
 from pulseframe.operators import calendar, discovery, normalize, quality, samples, watermarks
 from pulseframe.operators.upsert import LandedTable, existing_keys, latest_by_key, upsert
 from pulseframe.plans import project, staging
-from pulseframe.plans.runs import details_to_fetch, land_details, land_new_activities, land_run
-from pulseframe.session import shared_dir, shuffle_partitions, spread
+from pulseframe.plans.models import import_models
+from pulseframe.plans.runs import details_to_fetch, full_run as run_all, land_details, land_new_activities, land_run
+from pulseframe.session import shared_dir, shuffle_partitions
 from pulseframe.sources import payloads
 from pulseframe.sources.envelope import parse_rows, stage_rows, to_envelope
 from pulseframe.sources.registry import with_collectors
@@ -47,7 +49,7 @@ def _wall_clock(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _event_payloads(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(payloads.table(spark, sf, "events")).select(
+    return payloads.table(spark, sf, "events").repartition(shuffle_partitions(spark)).select(
         "event_id",
         "event_type",
         "ts",
@@ -391,7 +393,7 @@ def activity_runs(spark, sf):
     root = shared_dir(spark, "activity-runs")
     table = LandedTable(spark, f"{root}/landed", ("collector_name", "natural_key"), ("collector_name",))
     payload = F.to_json(F.struct("event_type", "value"))
-    feed = spread(payloads.table(spark, sf, "events")).select(
+    feed = payloads.table(spark, sf, "events").repartition(shuffle_partitions(spark)).select(
         F.col("event_id").cast("string").alias("natural_key"),
         F.col("event_id").alias("recency"),
         "event_type",
@@ -411,6 +413,113 @@ def activity_runs(spark, sf):
     return discovery.fetch_batches(details_to_fetch(table), f"{root}/batches")
 
 
+def _events_of_subjects(spark, sf) -> DataFrame:
+    return payloads.table(spark, sf, "events").repartition(shuffle_partitions(spark)).select(
+        F.col("user_id").alias("subject_id"),
+        F.col("event_id").cast("string").alias("natural_key"),
+        F.col("event_id").alias("recency"),
+        "event_type",
+        "ts",
+        F.to_json(F.struct("event_type", "value")).alias("payload"),
+    )
+
+
+def _subject_table(spark, root: str) -> LandedTable:
+    return LandedTable(spark, f"{root}/landed", ("collector_name", *SUBJECT_KEYS), ("collector_name",))
+
+
+@query
+def activity_runs_by_subject(spark, sf):
+    """As ``activity_runs``, for many subjects: each has its own cut and its own ids."""
+    root = shared_dir(spark, "activity-runs-by-subject")
+    table, feed = _subject_table(spark, root), _events_of_subjects(spark, sf)
+    first = feed.filter("event_type = 'error' and ts < timestamp_ntz'2024-01-28 00:00:00'")
+    land_new_activities(table, first, "recency", "2024-01-28T02:00:00Z", 1)
+    land_new_activities(table, feed, "recency", "2024-02-01T02:00:00Z", 2)
+    answer = (
+        F.when(F.col("event_type") == "signup", F.lit("{}"))
+        .when(F.col("event_type") == "click", F.lit("{broken"))
+        .otherwise(F.col("payload"))
+    )
+    fetched = details_to_fetch(table, before=3).join(feed, list(SUBJECT_KEYS)).withColumn("payload", answer)
+    land_details(table, fetched, "2024-02-01T03:00:00Z", 3)
+    return details_to_fetch(table)
+
+
+def _landed_counts(table: LandedTable) -> DataFrame:
+    return table.current().groupBy("collector_name").agg(
+        F.count(F.lit(1)).alias("num_rows"), F.countDistinct("subject_id").alias("num_subjects")
+    )
+
+
+def _days_of_subjects(spark, sf) -> DataFrame:
+    e = payloads.events(spark, sf).withColumnRenamed("user_id", "subject_id")
+    days = e.groupBy("subject_id", F.col("day").alias("requested")).agg(F.sum("k").alias("sum_k"))
+    return days.withColumn("payload", F.to_json(F.struct("sum_k")))
+
+
+@query
+def mixed_writers(spark, sf):
+    """Collectors, activities and details landed under one run number, and the collectors once more."""
+    root = shared_dir(spark, "mixed-writers")
+    table, feed = _subject_table(spark, root), _events_of_subjects(spark, sf)
+    state = watermarks.StateLog(spark, f"{root}/state", "subject_id bigint")
+    days, at = _days_of_subjects(spark, sf), "2024-02-01T10:00:00Z"
+    subjects = feed.select("subject_id").distinct()
+    windows = watermarks.fetch_windows(subjects, state.current(before=1), TODAY, since="2023-12-01", only="sleep")
+    daily = watermarks.daily_requests(windows).join(days, ["subject_id", "requested"])
+    none = daily.limit(0).withColumnRenamed("requested", "chunk_start")
+    land_run(table, state, windows, none, daily, TODAY, at, 1)
+    land_new_activities(table, feed, "recency", at, 1)
+    land_details(table, feed, at, 1)
+    land_run(table, state, windows, none, daily, TODAY, at, 1)
+    return _landed_counts(table)
+
+
+@query
+def full_run(spark, sf):
+    """A whole run for some tables since a day, then one for details alone."""
+    root = shared_dir(spark, "full-run")
+    table, feed = _subject_table(spark, root), _events_of_subjects(spark, sf)
+    state = watermarks.StateLog(spark, f"{root}/state", "subject_id bigint")
+    days = _days_of_subjects(spark, sf)
+    late = F.when(F.col("event_type") == "signup", F.lit("{}")).otherwise(F.col("payload"))
+
+    def fetch(answer):
+        return {
+            "activities": lambda: feed,
+            "details": lambda missing: missing.join(feed, list(SUBJECT_KEYS)).withColumn("payload", answer),
+            "range": lambda requests: requests.join(days, "subject_id").limit(0),
+            "daily": lambda requests: requests.join(days, ["subject_id", "requested"]),
+        }
+
+    subjects = feed.select("subject_id").distinct()
+    run_all(table, state, subjects, fetch(late), TODAY, "2024-02-01T10:00:00Z", 1, only="Activities, activity_details,sleep", since="2024-01-10")
+    run_all(table, state, subjects, fetch(F.col("payload")), TODAY, "2024-02-01T11:00:00Z", 2, only="activity_details")
+    return _landed_counts(table)
+
+
+@query
+def import_models_join(spark, sf):
+    """Two imported relations, joined in SQL under their aliases."""
+    names = [f"{n}_{uuid.uuid4().hex}" for n in ("orders", "customer")]
+    import_models([payloads.table(spark, sf, "orders"), payloads.table(spark, sf, "customer")], names, spark)
+    return spark.sql(
+        f"""
+        SELECT c.c_nationkey, count(*) AS num_orders, min(o.o_orderkey) AS first_order
+        FROM {names[0]} o JOIN {names[1]} c ON o.o_custkey = c.c_custkey GROUP BY c.c_nationkey
+        """
+    )
+
+
+@query
+def today_in_zone(spark, sf):
+    """The date in three zones at the instant of every event, read as UTC."""
+    at = F.convert_timezone(F.lit("UTC"), F.expr("current_timezone()"), F.col("ts")).cast("timestamp")
+    zones = {"los_angeles": "America/Los_Angeles", "kolkata": "Asia/Kolkata", "utc": "UTC"}
+    return payloads.table(spark, sf, "events").select("event_id", *[today_in(z, at).alias(n) for n, z in zones.items()])
+
+
 @query
 def stream_land(spark, sf):
     """Events landed as a file stream, then read back as the latest row per key.
@@ -712,7 +821,14 @@ def test_not_null_failures(spark, sf):
 @query
 def data_test_report(spark, sf):
     """Both tests on the key of every model, and on a key known to repeat."""
-    models = project.build_models(_landed(spark, sf), _order_bounds(spark, sf), F.lit(TODAY).cast("date"))
+    root = shared_dir(spark, "data-test-report")
+    landed = _landed(spark, sf)
+    for name in ("activities", "activity_details"):  # read by several tests each
+        landed[name].write.parquet(f"{root}/{name}")
+        landed[name] = spark.read.parquet(f"{root}/{name}")
+    samples.series_from_envelope(landed["activity_details"]).write.parquet(f"{root}/series")
+    series = spark.read.parquet(f"{root}/series")
+    models = project.build_models(landed, _order_bounds(spark, sf), F.lit(TODAY).cast("date"), series=series)
     lines = payloads.table(spark, sf, "lineitem")
     repeated = quality.data_test_report({"lineitem": (lines, ["l_orderkey", "l_linenumber"])})
     return project.test_models(models).unionByName(repeated)
@@ -735,12 +851,13 @@ def steps_by_weekday(spark, sf):
     bounds = payloads.events(spark, sf).agg(
         F.min("day").alias("start_date"), F.date_add(F.max("day"), calendar.HORIZON_DAYS).alias("end_date")
     )
-    project.publish(project.build_models(steps, bounds, F.lit(TODAY).cast("date")))
+    own = uuid.uuid4().hex  # views of this call alone
+    project.publish(project.build_models(steps, bounds, F.lit(TODAY).cast("date")), rename=lambda name: f"{name}_{own}")
     return spark.sql(
-        """
+        f"""
         SELECT month_name, day_of_week_name, is_weekend, count(*) AS num_days,
                sum(total_steps) AS total_steps, max(step_goal) AS top_goal
-        FROM stg_steps JOIN dim_dates ON steps_date = date_day
+        FROM stg_steps_{own} JOIN dim_dates_{own} ON steps_date = date_day
         GROUP BY month_name, day_of_week_name, is_weekend
         """
     )

@@ -6,9 +6,7 @@ the payloads were made of.
 
 from __future__ import annotations
 
-from pulseframe.plans.catalog import _STATE_COLLECTORS, TODAY
-from pulseframe.sources.registry import COLLECTORS
-
+TODAY = "2024-02-01"
 ORACLES: dict[str, str] = {}
 
 _EV = """ev AS (
@@ -57,8 +55,7 @@ _DAYS = f"{_EV}, {_UD}"
 _CHUNKS = f"""{_DAYS}, chunked AS (
   SELECT *, DATE '2024-01-01' + CAST((day - DATE '2024-01-01') // 27 * 27 AS INTEGER) AS chunk_start FROM ud
 ), items AS (
-  SELECT *, max(n) OVER (PARTITION BY subject_id, chunk_start) AS busiest,
-         row_number() OVER (PARTITION BY subject_id, chunk_start ORDER BY day) - 1 AS pos
+  SELECT *, row_number() OVER (PARTITION BY subject_id, chunk_start ORDER BY day) - 1 AS pos
   FROM chunked
 )"""
 
@@ -67,14 +64,14 @@ WITH {_CHUNKS}
 SELECT subject_id,
        CASE WHEN n > 1 THEN CAST(day AS VARCHAR) ELSE CAST(chunk_start AS VARCHAR) || '_' || pos END AS natural_key,
        sum_k AS total_steps, 'get_daily_steps' AS source_method
-FROM items WHERE busiest > 1
+FROM items
 """
 
 ORACLES["derive_row_key"] = f"""
 WITH {_CHUNKS}
 SELECT subject_id, chunk_start, CAST(pos AS INTEGER) AS position,
        CASE WHEN n > 1 THEN CAST(day AS VARCHAR) END AS date_key
-FROM items WHERE busiest > 1
+FROM items
 """
 
 _SYNCED = """sync AS (
@@ -92,7 +89,18 @@ SELECT subject_id, natural_key, n AS num_items, event_type AS first_event_type,
 FROM sync WHERE newest = 1
 """
 
-_COLLECTOR_VALUES = ", ".join(f"('{c.collector_name}', '{c.source_method}', '{c.kind}')" for c in COLLECTORS)
+# Collectors as they must be: landed table, source method, kind.
+_COLLECTOR_VALUES = """
+  ('STEPS', 'get_daily_steps', 'range'), ('BODY_BATTERY', 'get_body_battery', 'range'),
+  ('BODY_COMPOSITION', 'get_body_composition', 'range'), ('WEIGH_INS', 'get_weigh_ins', 'range'),
+  ('ENDURANCE_SCORE', 'get_endurance_score', 'range'), ('HILL_SCORE', 'get_hill_score', 'range'),
+  ('STATS', 'get_stats', 'daily'), ('RESTING_HEART_RATE', 'get_rhr_day', 'daily'),
+  ('SLEEP', 'get_sleep_data', 'daily'), ('HRV', 'get_hrv_data', 'daily'),
+  ('BODY_BATTERY_EVENTS', 'get_body_battery_events', 'daily'), ('ALL_DAY_STRESS', 'get_all_day_stress', 'daily'),
+  ('TRAINING_READINESS', 'get_training_readiness', 'daily'), ('TRAINING_STATUS', 'get_training_status', 'daily'),
+  ('FLOORS', 'get_floors', 'daily'), ('RESPIRATION', 'get_respiration_data', 'daily'),
+  ('SPO2', 'get_spo2_data', 'daily'), ('INTENSITY_MINUTES', 'get_intensity_minutes_data', 'daily'),
+  ('MAX_METRICS', 'get_max_metrics', 'daily'), ('HYDRATION', 'get_hydration_data', 'daily')"""
 _REG = f"reg(collector_name, source_method, kind) AS (VALUES {_COLLECTOR_VALUES})"
 
 ORACLES["landed_tables"] = f"""
@@ -157,7 +165,38 @@ WITH fresh AS (
 SELECT natural_key, (row_number() OVER (ORDER BY natural_key) - 1) // 20 AS batch_no FROM fresh
 """
 
-_STATE_CASES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _STATE_COLLECTORS.items())
+ORACLES["activity_runs_by_subject"] = f"""
+WITH cut AS (SELECT user_id, max(event_id) AS c FROM events WHERE {_KNOWN} GROUP BY user_id)
+SELECT e.user_id AS subject_id, CAST(event_id AS VARCHAR) AS natural_key
+FROM events e LEFT JOIN cut ON e.user_id = cut.user_id
+WHERE (c IS NULL OR event_id > c) AND event_type IN ('signup', 'click')
+"""
+
+
+def _counts_by_table(days: str) -> str:
+    return f"""
+SELECT 'SLEEP' AS collector_name, count(DISTINCT (user_id, CAST(ts AS DATE))) AS num_rows, count(DISTINCT user_id) AS num_subjects
+FROM events WHERE {days} HAVING count(*) > 0
+UNION ALL SELECT name, count(*), count(DISTINCT user_id) FROM events, (VALUES ('ACTIVITIES'), ('ACTIVITY_DETAILS')) t(name) GROUP BY name
+"""
+
+
+ORACLES["mixed_writers"] = _counts_by_table("ts >= TIMESTAMP '2023-12-01' AND ts < TIMESTAMP '2024-02-02'")
+ORACLES["full_run"] = _counts_by_table("ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-02-02'")
+
+ORACLES["import_models_join"] = """
+SELECT c_nationkey, count(*) AS num_orders, min(o_orderkey) AS first_order
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey
+"""
+
+# January: the zones are 8 hours behind and 5:30 ahead of UTC.
+ORACLES["today_in_zone"] = """
+SELECT event_id, CAST(ts - INTERVAL 8 HOUR AS DATE) AS los_angeles,
+       CAST(ts + INTERVAL 330 MINUTE AS DATE) AS kolkata, CAST(ts AS DATE) AS utc
+FROM events
+"""
+
+_STATE_CASES = "WHEN 'click' THEN 'STEPS' WHEN 'view' THEN 'SLEEP' WHEN 'signup' THEN 'HRV' WHEN 'error' THEN 'BODY_BATTERY'"
 _STATE = f"""{_EV}, {_REG}, subjects AS (SELECT DISTINCT user_id AS subject_id FROM ev), state AS (
   SELECT user_id AS subject_id, CASE event_type {_STATE_CASES} END AS collector_name,
          max(day) AS last_extracted_date, {_ms('max(ms)')} AS updated_at

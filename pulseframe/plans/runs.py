@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.functions import paths
-from pulseframe.operators.discovery import missing_keys, new_until_known
+from pulseframe.operators.discovery import missing_keys, new_until_known, new_until_known_by
 from pulseframe.operators.normalize import normalize_daily, normalize_keyed, normalize_range
 from pulseframe.operators.upsert import LandedTable, existing_keys
-from pulseframe.operators.watermarks import StateLog
+from pulseframe.operators.watermarks import StateLog, daily_requests, fetch_windows, range_requests
 from pulseframe.sources.envelope import to_envelope
-from pulseframe.sources.registry import KEYED_METHODS
+from pulseframe.sources.registry import KEYED_METHODS, select_collectors, selected_tables
 
 
 def land_run(
@@ -32,12 +34,14 @@ def land_run(
     ``state.current(before=run_seq)``.
     """
     rows = normalize_range(fetched_range, strict=False).unionByName(normalize_daily(fetched_daily, strict=False))
-    table.append(to_envelope(rows, extracted_at=extracted_at, batch_seq=run_seq), run_seq)
+    table.append(to_envelope(rows, extracted_at=extracted_at, batch_seq=run_seq), run_seq, "collectors")
     state.append(windows, run_date, paths.iso_instant_to_utc_ntz(F.lit(extracted_at)), run_seq)
 
 
 def _keys_of(table: LandedTable, name: str, before: int | None) -> DataFrame:
-    return existing_keys(table.log(before=before).filter(F.col("collector_name") == name))
+    """Keys of one landed table: the natural key, led by the subject if there are many."""
+    keys = [k for k in table.keys if k != "collector_name"]
+    return existing_keys(table.log(before=before).filter(F.col("collector_name") == name), keys)
 
 
 def _land_keyed(table: LandedTable, name: str, fetched: DataFrame, extracted_at: str, run_seq: int) -> None:
@@ -45,26 +49,66 @@ def _land_keyed(table: LandedTable, name: str, fetched: DataFrame, extracted_at:
         {"collector_name": F.lit(name), "source_method": F.lit(KEYED_METHODS[name])}
     )
     rows = normalize_keyed(labelled, F.col("natural_key"), strict=False)
-    table.append(to_envelope(rows, extracted_at=extracted_at, batch_seq=run_seq), run_seq)
+    table.append(to_envelope(rows, extracted_at=extracted_at, batch_seq=run_seq), run_seq, name.lower())
 
 
 def land_new_activities(
     table: LandedTable, feed: DataFrame, newest_first: str, extracted_at: str, run_seq: int
 ) -> None:
-    """Land the feed's newest activities up to the first one that is known.
+    """Land the feed's newest activities up to the first one that is known, for every subject by itself.
 
-    ``feed`` has ``natural_key``, ``payload`` and the position column ``newest_first``.
+    ``feed`` has ``natural_key``, ``payload`` and the position column ``newest_first``; with a
+    ``subject_id`` each subject has its own cut, and an id is known only under its subject.
     """
     known = _keys_of(table, "ACTIVITIES", before=run_seq)
-    fresh = new_until_known(feed, known, "natural_key", newest_first)
+    if "subject_id" in table.keys:
+        fresh = new_until_known_by(feed, known, "natural_key", newest_first, "subject_id")
+    else:
+        fresh = new_until_known(feed, known, "natural_key", newest_first)
     _land_keyed(table, "ACTIVITIES", fresh, extracted_at, run_seq)
 
 
-def details_to_fetch(table: LandedTable, before: int | None = None) -> DataFrame:
-    """Activities that were landed without their details so far."""
-    return missing_keys(_keys_of(table, "ACTIVITIES", before), _keys_of(table, "ACTIVITY_DETAILS", before))
+def details_to_fetch(table: LandedTable, before: int | None = None, details_before: int | None = None) -> DataFrame:
+    """Activities, with their subject, that were landed without their details so far.
+
+    Runs numbered ``before`` count, for the details those ``details_before`` if it is given.
+    """
+    keys = [k for k in table.keys if k != "collector_name"]
+    have = _keys_of(table, "ACTIVITY_DETAILS", before if details_before is None else details_before)
+    return missing_keys(_keys_of(table, "ACTIVITIES", before), have, keys)
 
 
 def land_details(table: LandedTable, fetched: DataFrame, extracted_at: str, run_seq: int) -> None:
     """Land fetched details; an empty answer lands nothing and stays missing, a broken one is quarantined."""
     _land_keyed(table, "ACTIVITY_DETAILS", fetched, extracted_at, run_seq)
+
+
+def full_run(
+    table: LandedTable,
+    state: StateLog,
+    subjects: DataFrame,
+    fetch: Mapping[str, Callable[..., DataFrame]],
+    run_date: str,
+    extracted_at: str,
+    run_seq: int,
+    newest_first: str = "recency",
+    only: str | None = None,
+    since: str | None = None,
+) -> None:
+    """One whole run under one number: activities, their details, then all collectors.
+
+    ``fetch`` answers requests: ``activities()`` with the feed, ``details(missing)``,
+    ``range(requests)`` and ``daily(requests)`` with payloads. ``only`` names any of the landed
+    tables; ``since`` moves the collectors' windows and leaves activities alone. A run that died
+    is repeated with its number.
+    """
+    names = selected_tables(only)
+    if "ACTIVITIES" in names:
+        land_new_activities(table, fetch["activities"](), newest_first, extracted_at, run_seq)
+    if "ACTIVITY_DETAILS" in names:
+        missing = details_to_fetch(table, before=run_seq + 1, details_before=run_seq)
+        land_details(table, fetch["details"](missing), extracted_at, run_seq)
+    if select_collectors(only):
+        windows = fetch_windows(subjects, state.current(before=run_seq), run_date, since, only)
+        ranged, daily = fetch["range"](range_requests(windows)), fetch["daily"](daily_requests(windows))
+        land_run(table, state, windows, ranged, daily, run_date, extracted_at, run_seq)

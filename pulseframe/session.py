@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Correctness-relevant or scale-relevant settings; cluster sizing stays with the submitter.
 SESSION_CONF = {
@@ -35,30 +34,11 @@ def build_session(app: str = "pulseframe", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``, the folder every executor can reach.
-
-    Only a local master may fall back to a temporary folder of its own; on a
-    cluster a machine-local folder would vanish with the machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="pulseframe-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    """A fresh folder every executor can reach: below ``spark.checkpoint.dir``, else below the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the source has fewer splits than there are cores.
-
-    For costly per-row work on a small scan, such as parsing payloads out of one
-    file. A scan with enough splits, the normal case on a cluster, is returned as is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     """The session's shuffle width, for a repartitioning that must not be coalesced.
 

@@ -14,7 +14,6 @@ from pulseframe.sources.registry import COLLECTORS, KEYED_METHODS
 
 DAILY_FOLDERS = "collector_name string, requested date"
 RANGE_FOLDERS = "collector_name string, chunk_start date"
-FILES_PER_BATCH = 20
 
 
 def payload_files(
@@ -22,7 +21,7 @@ def payload_files(
     path: str,
     folders: str = DAILY_FOLDERS,
     stream: bool = False,
-    files_per_batch: int = FILES_PER_BATCH,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """One row per file: the folder columns, the whole document, its method and landing time.
 
@@ -31,7 +30,7 @@ def payload_files(
     own time, equal on every retry.
     """
     reader = (spark.readStream if stream else spark.read).format("text").option("wholetext", "true")
-    if stream:
+    if stream and files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     methods = {**{c.collector_name: c.source_method for c in COLLECTORS}, **KEYED_METHODS}
     by_name = F.create_map(*[F.lit(x) for pair in methods.items() for x in pair])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.functions import paths
 from pulseframe.operators.watermarks import MAX_RANGE_DAYS
-from pulseframe.session import shuffle_partitions, spread
+from pulseframe.session import shuffle_partitions
 from pulseframe.sources.envelope import parse_rows, stage_rows
 from pulseframe.sources.registry import DAILY_METHODS, KEYED_METHODS, RANGE_METHODS
 
@@ -47,7 +47,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def activity_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One activity per order; fields go missing with the order status."""
-    o = spread(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders").repartition(shuffle_partitions(spark))
     price, number = F.col("o_totalprice"), F.col("o_orderkey")
     pending, open_ = F.col("o_orderstatus") == "P", F.col("o_orderstatus") == "O"
     payload = F.struct(
@@ -320,8 +320,9 @@ def sync_payloads(spark: SparkSession, sf_dir: str, collector: str) -> DataFrame
 def range_payloads(spark: SparkSession, sf_dir: str, first_day: str = "2024-01-01") -> DataFrame:
     """A payload per user and 27-day chunk: a list of at most 27 day items.
 
-    One-day chunks come as a bare object, chunks without a busy day as an empty
-    list. Which date field an item carries depends on its event count.
+    One-day chunks come as a bare object. Chunks without a busy day are answered
+    twice, once with an empty list. Which date field an item carries depends on
+    its event count.
     """
     origin = F.lit(first_day).cast("date")
     chunk = F.floor(F.datediff("day", origin) / MAX_RANGE_DAYS).cast("int")
@@ -333,17 +334,18 @@ def range_payloads(spark: SparkSession, sf_dir: str, first_day: str = "2024-01-0
         F.when(n == 3, day).alias("summaryDate"),
         F.col("sum_k").alias("totalSteps"),
     )
-    return (
+    chunks = (
         user_days(spark, sf_dir)
         .groupBy("subject_id", F.date_add(origin, chunk * MAX_RANGE_DAYS).alias("chunk_start"))
         .agg(F.sort_array(F.collect_list(item)).alias("items"), F.max("n").alias("busiest"))
         .select(
             "subject_id",
             "chunk_start",
-            F.when(F.col("busiest") == 1, F.lit("[]"))
-            .when(F.size("items") == 1, F.to_json(F.element_at("items", 1)))
+            F.when(F.size("items") == 1, F.to_json(F.element_at("items", 1)))
             .otherwise(F.to_json("items"))
-            .alias("payload"),
-            _method("STEPS").alias("source_method"),
+            .alias("found"),
+            (F.col("busiest") == 1).alias("quiet"),
         )
     )
+    answers = F.when(F.col("quiet"), F.array("found", F.lit("[]"))).otherwise(F.array("found"))
+    return chunks.select("subject_id", "chunk_start", F.explode(answers).alias("payload"), _method("STEPS").alias("source_method"))

@@ -56,6 +56,14 @@ def select_collectors(only: str | Iterable[str] | None = None) -> list[Row]:
     return [c for c in COLLECTORS if c.collector_name in names]
 
 
+def selected_tables(only: str | Iterable[str] | None = None) -> set[str]:
+    """All landed tables, or those named, activities and their details among them."""
+    if not only:
+        return set(LANDED_TABLES)
+    wanted = only.split(",") if isinstance(only, str) else only
+    return {name.strip().upper() for name in wanted} & set(LANDED_TABLES)
+
+
 def with_collectors(subjects: DataFrame, only: str | Iterable[str] | None = None) -> DataFrame:
     """One row per subject and selected collector, without a join.
 

@@ -7,6 +7,7 @@ the keyed upsert when the table is read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pulseframe.operators.upsert import LandedTable
-from pulseframe.sources.files import FILES_PER_BATCH
 
 
 def payload_stream(
@@ -23,11 +23,16 @@ def payload_stream(
     path: str,
     schema: T.StructType | str,
     fmt: str = "json",
-    files_per_batch: int = FILES_PER_BATCH,
+    files_per_batch: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """Landed files as a stream; ``landed_at`` is the file's own time, equal on every retry."""
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    """Landed files as a stream; ``landed_at`` is the file's own time, equal on every retry.
+
+    All new files make one micro-batch unless ``files_per_batch`` limits it.
+    """
+    reader = spark.readStream.format(fmt).schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     for key, value in options.items():
         reader = reader.option(key, value)
     return reader.load(path).select("*", F.col("_metadata.file_modification_time").alias("landed_at"))
@@ -39,17 +44,21 @@ def land_stream(
     table: LandedTable,
     checkpoint: str,
     available_now: bool = True,
+    writer: str | None = None,
 ) -> StreamingQuery:
     """Append every micro-batch of ``payloads`` to ``table`` as its own batch.
 
     ``to_rows(batch, batch_seq)`` builds landed rows. A replayed micro-batch has
-    the same id and overwrites its own folder, so landing is exactly-once.
+    the same id and overwrites its own folder, so landing is exactly-once. The
+    stream is a writer of its own, named after its checkpoint if not given, so
+    other streams and runs on the table keep their batches.
     """
+    name = writer or f"stream-{hashlib.md5(checkpoint.rstrip('/').encode()).hexdigest()}"
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        table.append(to_rows(batch, batch_id), batch_id)
+        table.append(to_rows(batch, batch_id), batch_id, name)
 
-    writer = payloads.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    sink = payloads.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+        sink = sink.trigger(availableNow=True)
+    return sink.start()
