@@ -209,10 +209,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least_s
 
 def scored(docs: DataFrame, model: Model, id_col: str, text_col: str, *also: str) -> DataFrame:
     """``id, [also], lang_pred, score, entropy, chars, rejected`` and ``entropies`` of every row."""
-    spread = docs.sparkSession.sparkContext.broadcast(model)
-
     def run(batches):
-        table, m = letter_table(), spread.value
+        table, m = letter_table(), model
         for batch in batches:
             langs, scores, lowest, chars, out, every = [], [], [], [], [], []
             for text in batch.column(0):

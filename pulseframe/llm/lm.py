@@ -101,11 +101,9 @@ class Model:
 
 def unit_rows(docs: DataFrame, units: Units) -> DataFrame:
     """``unit, before, n_before, after, n_after, itself``: each unit's neighbours and how often they stand there."""
-    spread = docs.sparkSession.sparkContext.broadcast(units)
     many = max(units.known.values(), default=1) + 1
 
     def pairs(batches):
-        own = spread.value
         cache: dict[bytes, int] = {}
         parts, size = [], 0
 
@@ -123,7 +121,7 @@ def unit_rows(docs: DataFrame, units: Units) -> DataFrame:
                     if u is None:
                         if len(cache) > 200_000:
                             cache.clear()
-                        u = cache[w] = own.of(w)
+                        u = cache[w] = units.of(w)
                     row.append(u)
                 row.append(0)
                 row = np.array(row, dtype=np.int64)
@@ -275,10 +273,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", many:
     train = rows.filter("_train").select("_text")
     words = store(train.mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     model = fit(train, words, many, rounds)
-    spread = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m = spread.value
+        m = model
         head = {w: (int(m.classes[m.units.of(w)]), float(np.log10(n + 1))) for w, n in m.head.items()}
         tails: dict[bytes, int] = {}  # class of a word that is not in the head
         held: dict[bytes, list[int]] = {}

@@ -174,10 +174,9 @@ def block_links(least: float):
 def linked(rows: DataFrame, count: int, dim: int, least: float) -> DataFrame:
     """``id, n, head`` of blocks over ``rows(id, v, times)`` of ``dim`` components."""
     grid = fitted(rows, count, dim, least)
-    spread = rows.sparkSession.sparkContext.broadcast(grid)
 
     def placed(batches):
-        g = spread.value
+        g = grid
         for batch in batches:
             x = units(batch.column(1))
             probes = g.walks(x, g.probes)  # the vector's own cell comes first
