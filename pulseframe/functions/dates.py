@@ -45,6 +45,29 @@ def day_parts(d: Column) -> dict[str, Column]:
     }
 
 
+def year_ago_parts(d: Column) -> dict[str, Column]:
+    """The 11 columns that complete :func:`day_parts` to the whole date dimension.
+
+    Assumed from the public package's documentation: weeks of a year ago are those of the day 52
+    weeks back, months those of the same calendar day one year back.
+    """
+    weeks_back, year_back = F.date_sub(d, 52 * 7), F.add_months(d, -12)
+    week_start = F.date_sub(weeks_back, F.dayofweek(weeks_back) - 1)
+    return {
+        "prior_year_week_start_date": week_start,
+        "prior_year_week_end_date": F.date_add(week_start, 6),
+        "iso_week_start_date": F.trunc(d, "week"),
+        "iso_week_end_date": F.date_add(F.trunc(d, "week"), 6),
+        "prior_year_iso_week_start_date": F.trunc(weeks_back, "week"),
+        "prior_year_iso_week_end_date": F.date_add(F.trunc(weeks_back, "week"), 6),
+        "iso_week_of_year": F.weekofyear(d),
+        "prior_year_week_of_year": F.weekofyear(weeks_back),
+        "prior_year_iso_week_of_year": F.weekofyear(weeks_back),
+        "prior_year_month_start_date": F.trunc(year_back, "month"),
+        "prior_year_month_end_date": F.last_day(year_back),
+    }
+
+
 def day_flags(today: Column) -> dict[str, Column]:
     """Reporting flags over the columns of :func:`day_parts`."""
     return {

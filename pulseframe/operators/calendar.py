@@ -25,6 +25,12 @@ def describe_days(spine: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return spine.select(*keep, *[c.alias(n) for n, c in dates.day_parts(F.col("date_day")).items()])
 
 
+def describe_all(spine: DataFrame) -> DataFrame:
+    """The whole date dimension: the columns the mart shows, and ISO weeks, and weeks and months a year ago."""
+    more = dates.year_ago_parts(F.col("date_day"))
+    return describe_days(spine).select("*", *[c.alias(n) for n, c in more.items()])
+
+
 def dim_dates(spine: DataFrame, today: Column, keep: Sequence[str] = ()) -> DataFrame:
     """Date dimension: descriptive columns plus reporting flags as of ``today``."""
     described = describe_days(spine, keep)

@@ -31,6 +31,9 @@ EMPTY_LOG = T.StructType(
 )
 
 
+MARKS = T.StructType([T.StructField(c, k) for c, k in ((WRITER_COLUMN, T.StringType()), ("through", T.LongType()), ("version", T.LongType()))])
+
+
 def _position(df: DataFrame, order: Sequence[str] | None) -> Column:
     """A comparable struct that places a row in time; between writers at one time the name decides."""
     return F.struct(*[F.col(c) for c in order or [*ORDER_COLUMNS, WRITER_COLUMN] if order or c in df.columns])
@@ -57,25 +60,18 @@ def upsert(
 ) -> DataFrame:
     """``current`` (one row per key) after landing ``batch``.
 
-    A batch row replaces the current one only if it is newer. ``current`` is
-    read once with payloads and once for its keys; both joins are on unique
-    keys, so neither can skew. A stored batch has a size Spark knows from its
-    files: below the broadcast threshold it travels to the large table, which
-    is then neither shuffled nor sorted; above it both sides meet by key.
+    A batch row replaces the current one only if it is newer. The batch's keys are looked up in
+    ``current`` by key and time alone; then ``current`` is read once with payloads, less the keys
+    that are replaced. ``current`` meets nothing but the batch's keys: below the broadcast threshold
+    Spark sends these to it, and it is neither shuffled nor sorted; above, both sides meet by key.
     """
     keys = list(keys)
-    rest = [c for c in current.columns if c not in keys]
     newest = latest_by_key(batch.select(*current.columns), keys, order)
-    incoming = newest.select(
-        *keys, F.struct(*rest).alias("_new"), _position(newest, order).alias("_new_at")
-    )
-    replaced = current.withColumn("_at", _position(current, order)).join(incoming, keys, "left")
-    is_newer = F.col("_new_at").isNotNull() & (F.col("_new_at") > F.col("_at"))
-    resolved = replaced.select(
-        *keys, F.when(is_newer, F.col("_new")).otherwise(F.struct(*rest)).alias("_w")
-    ).select(*keys, "_w.*")
-    added = newest.join(current.select(*keys), keys, "left_anti")
-    return resolved.unionByName(added).select(*current.columns)
+    held = current.select(*keys, _position(current, order).alias("_at")).join(newest.select(*keys), keys)
+    newer = F.col("_at").isNull() | (_position(newest, order) > F.col("_at"))
+    winners = newest.join(held, keys, "left").filter(newer).select(*current.columns)
+    untouched = current.join(winners.select(*keys), keys, "left_anti").select(*current.columns)
+    return untouched.unionByName(winners)
 
 
 def existing_keys(table: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
@@ -158,34 +154,82 @@ class LandedTable:
     def snapshot(self, version: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/snapshot/version={int(version)}")
 
+    def newest_version(self, before: int | None = None) -> int | None:
+        """The latest finished snapshot, of those below ``before`` if given; None without one."""
+        marks = read_or_empty(self.spark, f"{self.path}/marks", MARKS).withColumn("version", F.col("version").cast("bigint"))
+        return marks.filter(F.lit(True) if before is None else F.col("version") < before).agg(F.max("version")).first()[0]
+
+    def _held(self, version: int) -> list[tuple[str, int]]:
+        """How far each writer had come in snapshot ``version``."""
+        marks = self.spark.read.parquet(f"{self.path}/marks/version={int(version)}").collect()  # a row a writer
+        return [(m[WRITER_COLUMN], m["through"]) for m in marks]
+
     def _beyond(self, version: int) -> Column:
         """Rows of batches that snapshot ``version`` does not hold."""
-        marks = self.spark.read.parquet(f"{self.path}/marks/version={int(version)}").collect()  # a row a writer
-        held = [(F.col(WRITER_COLUMN) == m[WRITER_COLUMN]) & (F.col(BATCH_COLUMN) <= m["through"]) for m in marks]
+        held = [(F.col(WRITER_COLUMN) == w) & (F.col(BATCH_COLUMN) <= n) for w, n in self._held(version)]
         return ~reduce(lambda a, b: a | b, held, F.lit(False))
 
     def current(self, version: int | None = None) -> DataFrame:
-        """Latest rows: the whole log, or snapshot ``version`` plus the batches it does not hold."""
+        """Latest rows: snapshot ``version``, else the newest, plus the batches it does not hold.
+
+        A table without a snapshot is read from its whole log.
+        """
+        version = self.newest_version() if version is None else version
         if version is None:
             return latest_by_key(self._landed(), self.keys).drop(WRITER_COLUMN)
         base = self.snapshot(version)
         tail = latest_by_key(self._landed().filter(self._beyond(version)), self.keys)
         return upsert(base, tail.select(*base.columns), self.keys)
 
+    def known_keys(self, where: Column | None = None, keys: Sequence[str] = (), before: int | None = None) -> DataFrame:
+        """Distinct keys of the rows ``where`` holds, landed so far or before a batch number.
+
+        Read from the newest snapshot below that number, which keeps one row a key, and the batches after it.
+        """
+        where, keys = F.lit(True) if where is None else where, list(keys or self.keys)
+        version = self.newest_version(before)
+        rows = self._landed() if before is None else self._landed().filter(F.col(BATCH_COLUMN) < before)
+        if version is None:
+            return existing_keys(rows.filter(where), keys)
+        tail = rows.filter(self._beyond(version)).filter(where).select(*keys)
+        return existing_keys(self.snapshot(version).filter(where).select(*keys).unionByName(tail), keys)
+
+    def retire(self, version: int) -> None:
+        """Delete the landed rows of the batches that snapshot ``version`` holds; the quarantine stays.
+
+        From then on these batches cannot be landed again, and ``log`` has only what came after them.
+        Call it when no job reads older versions any more.
+        """
+        context = self.spark.sparkContext
+        hadoop = context._jvm.org.apache.hadoop.fs.Path
+        for writer, through in self._held(version):
+            folder = hadoop(f"{self.path}/log/{WRITER_COLUMN}={writer}")
+            store = folder.getFileSystem(context._jsc.hadoopConfiguration())
+            for batch in store.listStatus(folder):
+                name = batch.getPath().getName()
+                if name.startswith(f"{BATCH_COLUMN}=") and int(name.split("=")[1]) <= through:
+                    store.delete(hadoop(batch.getPath(), "is_rejected=false"), True)
+
     def compact(self, through: int, base_version: int | None = None) -> DataFrame:
         """Write snapshot ``through`` from the batches numbered up to it, on top of ``base_version``."""
         upto = F.col(BATCH_COLUMN) <= through
-        marks = self._stored().filter(upto).groupBy(WRITER_COLUMN).agg(F.max(BATCH_COLUMN).alias("through"))
-        marks = self.spark.createDataFrame(marks.collect(), f"{WRITER_COLUMN} string, through bigint")  # fixed before rows are read
-        seen = [(F.col(WRITER_COLUMN) == m[WRITER_COLUMN]) & (F.col(BATCH_COLUMN) <= m["through"]) for m in marks.collect()]
-        rows = latest_by_key(self._landed().filter(reduce(lambda a, b: a | b, seen, F.lit(False))), self.keys).drop(WRITER_COLUMN)
+        found = self._stored().filter(upto).groupBy(WRITER_COLUMN).agg(F.max(BATCH_COLUMN).alias("through")).collect()  # a row a writer
+        marks = {r[WRITER_COLUMN]: r["through"] for r in found}  # fixed before rows are read
         if base_version is not None:
+            for writer, n in self._held(base_version):
+                marks[writer] = max(n, marks.get(writer, n))
+        seen = [(F.col(WRITER_COLUMN) == w) & (F.col(BATCH_COLUMN) <= n) for w, n in marks.items()]
+        landed = self._landed().filter(reduce(lambda a, b: a | b, seen, F.lit(False)))
+        if base_version is None:
+            rows = latest_by_key(landed, self.keys).drop(WRITER_COLUMN)
+        else:
             base = self.snapshot(base_version)
-            tail = self._landed().filter(upto).filter(self._beyond(base_version))
+            tail = landed.filter(self._beyond(base_version))
             rows = upsert(base, latest_by_key(tail, self.keys).select(*base.columns), self.keys)
         if self.partition_by:
             rows = rows.hint("rebalance", *self.partition_by)
         target = f"{self.path}/snapshot/version={int(through)}"
         rows.write.mode("errorifexists").partitionBy(*self.partition_by).parquet(target)
-        marks.write.mode("overwrite").parquet(f"{self.path}/marks/version={int(through)}")
+        noted = self.spark.createDataFrame(list(marks.items()), f"{WRITER_COLUMN} string, through bigint")
+        noted.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/marks/version={int(through)}")
         return self.snapshot(through)

@@ -203,6 +203,18 @@ def upsert_merge(spark, sf):
     return _show_event(upsert(latest_by_key(base, SUBJECT_KEYS), update, SUBJECT_KEYS))
 
 
+@query
+def snapshot_upsert(spark, sf):
+    """The same once more from storage: a snapshot of the first batch, whose rows are retired, and the second."""
+    base, update = _two_batches(spark, sf)
+    table = LandedTable(spark, f"{shared_dir(spark, 'snapshot-upsert')}/events", SUBJECT_KEYS)
+    table.append(base, 1)
+    table.compact(1)
+    table.retire(1)
+    table.append(update, 2)
+    return _show_event(table.current())
+
+
 @query
 def existing_keys_orders(spark, sf):
     lines = payloads.table(spark, sf, "lineitem")
@@ -635,6 +647,18 @@ def stg_activity_details(spark, sf):
     return staged.drop("metric_descriptors", "activity_detail_metrics")
 
 
+@query
+def subtree_passthrough(spark, sf):
+    """The sub-trees that staged details carry on, as JSON text."""
+    staged = staging.stage(payloads.activity_details(spark, sf), "activity_details")
+    return staged.select(
+        "activity_id",
+        F.to_json("metric_descriptors").alias("metric_descriptors"),
+        paths.as_float(F.col("activity_detail_metrics"), "$[0].metrics[0]").alias("first_value"),
+        paths.array_size(F.col("activity_detail_metrics")).alias("num_samples"),
+    )
+
+
 @query
 def stg_body_battery(spark, sf):
     staged = staging.stage(_day_rows(spark, sf, "BODY_BATTERY"), "body_battery")
@@ -794,6 +818,12 @@ def dim_dates(spark, sf):
     return calendar.dim_dates(calendar.date_spine(bounds), bounds.select("today").scalar())
 
 
+@query
+def dates_spine_full(spark, sf):
+    """Every column of the date dimension, of the days in the orders' calendar."""
+    return calendar.describe_all(calendar.date_spine(_order_bounds(spark, sf)))
+
+
 @query
 def calendar_gap_days(spark, sf):
     """Days without an event between each user's first and last, with their calendar flags."""

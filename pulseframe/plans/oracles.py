@@ -112,7 +112,7 @@ FROM ud, reg GROUP BY collector_name
 
 # Incremental load
 
-ORACLES["upsert_latest"] = ORACLES["upsert_merge"] = f"""
+ORACLES["upsert_latest"] = ORACLES["upsert_merge"] = ORACLES["snapshot_upsert"] = f"""
 WITH {_EV}
 SELECT user_id AS subject_id, event_type AS natural_key, arg_max(value, event_id) AS value, arg_max(k, event_id) AS k,
        CASE WHEN max(ts) < TIMESTAMP '2024-01-16' THEN TIMESTAMP '2024-01-16 02:00:00'
@@ -468,6 +468,18 @@ SELECT CAST(block AS VARCHAR) AS activity_id, metrics_index, metric_key, metric_
 FROM acts JOIN declared ON block % 3 = layout
 """
 
+ORACLES["subtree_passthrough"] = f"""
+WITH {_SAMPLES}, declared(layout, metrics_index, metric_key, metric_unit) AS (VALUES {_DESCRIPTOR_VALUES}),
+texts AS (
+  SELECT layout, '[' || string_agg('{{"key":"' || metric_key || '","metricsIndex":' || metrics_index || ',"unit":{{"key":"' || metric_unit || '"}}}}', ',' ORDER BY metrics_index) || ']' AS t
+  FROM declared GROUP BY layout
+)
+SELECT activity_id, any_value(t) AS metric_descriptors,
+       max(CASE WHEN sample_index = 0 THEN CASE layout WHEN 0 THEN hr WHEN 1 THEN ms ELSE elapsed END END) AS first_value,
+       count(*) AS num_samples
+FROM smp JOIN texts USING (layout) GROUP BY activity_id
+"""
+
 ORACLES["explode_samples"] = f"""
 WITH {_SAMPLES}
 SELECT activity_id, sample_index, CASE layout WHEN 0 THEN 3 ELSE 7 END AS num_metrics,
@@ -530,9 +542,7 @@ _SPINE = """spine AS (
 
 ORACLES["date_spine"] = f"WITH {_SPINE} SELECT d AS date_day FROM spine"
 
-ORACLES["dim_dates"] = f"""
-WITH {_SPINE}
-SELECT d AS date_day, CAST(d - 1 AS DATE) AS prior_date_day, CAST(d + 1 AS DATE) AS next_date_day,
+_DAY_COLUMNS = """d AS date_day, CAST(d - 1 AS DATE) AS prior_date_day, CAST(d + 1 AS DATE) AS next_date_day,
        CAST(d - INTERVAL 1 YEAR AS DATE) AS prior_year_date_day, CAST(d - 364 AS DATE) AS prior_year_over_year_date_day,
        CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, CAST(isodow(d) AS INTEGER) AS day_of_week_iso,
        strftime(d, '%A') AS day_of_week_name, strftime(d, '%a') AS day_of_week_name_short,
@@ -544,12 +554,31 @@ SELECT d AS date_day, CAST(d - 1 AS DATE) AS prior_date_day, CAST(d + 1 AS DATE)
        CAST(quarter(d) AS INTEGER) AS quarter_of_year, CAST(date_trunc('quarter', d) AS DATE) AS quarter_start_date,
        CAST(date_trunc('quarter', d) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS quarter_end_date,
        CAST(year(d) AS INTEGER) AS year_number, CAST(date_trunc('year', d) AS DATE) AS year_start_date,
-       make_date(year(d), 12, 31) AS year_end_date,
+       make_date(year(d), 12, 31) AS year_end_date"""
+
+ORACLES["dim_dates"] = f"""
+WITH {_SPINE}
+SELECT {_DAY_COLUMNS},
        isodow(d) >= 6 AS is_weekend, d = (SELECT CAST(max(o_orderdate) AS DATE) FROM orders) AS is_current_date,
        day(d) = 1 AS is_first_day_of_month, d = last_day(d) AS is_last_day_of_month
 FROM spine
 """
 
+ORACLES["dates_spine_full"] = f"""
+WITH {_SPINE}, days AS (SELECT d, CAST(d - 364 AS DATE) AS p, CAST(d - INTERVAL 1 YEAR AS DATE) AS y FROM spine)
+SELECT {_DAY_COLUMNS},
+       CAST(p - CAST(dayofweek(p) AS INTEGER) AS DATE) AS prior_year_week_start_date,
+       CAST(p - CAST(dayofweek(p) AS INTEGER) + 6 AS DATE) AS prior_year_week_end_date,
+       CAST(d - CAST(isodow(d) AS INTEGER) + 1 AS DATE) AS iso_week_start_date,
+       CAST(d - CAST(isodow(d) AS INTEGER) + 7 AS DATE) AS iso_week_end_date,
+       CAST(p - CAST(isodow(p) AS INTEGER) + 1 AS DATE) AS prior_year_iso_week_start_date,
+       CAST(p - CAST(isodow(p) AS INTEGER) + 7 AS DATE) AS prior_year_iso_week_end_date,
+       CAST(weekofyear(d) AS INTEGER) AS iso_week_of_year, CAST(weekofyear(p) AS INTEGER) AS prior_year_week_of_year,
+       CAST(weekofyear(p) AS INTEGER) AS prior_year_iso_week_of_year,
+       CAST(date_trunc('month', y) AS DATE) AS prior_year_month_start_date, last_day(y) AS prior_year_month_end_date
+FROM days
+"""
+
 ORACLES["calendar_gap_days"] = f"""
 WITH {_EV}, expected AS (
   SELECT user_id, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS d FROM ev GROUP BY user_id

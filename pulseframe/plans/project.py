@@ -43,7 +43,7 @@ def build_models(
         models["int_activities_cardio_samples_pivoted"] = samples.cardio(series)
         models["int_activities_gps_samples_pivoted"] = samples.gps(series)
     spine = calendar.date_spine(bounds)
-    models["int_dates_spine"] = calendar.describe_days(spine)
+    models["int_dates_spine"] = calendar.describe_all(spine)
     models["dim_dates"] = calendar.dim_dates(spine, today)
     return models
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pulseframe.functions import paths
 from pulseframe.operators.discovery import missing_keys, new_until_known, new_until_known_by
 from pulseframe.operators.normalize import normalize_daily, normalize_keyed, normalize_range
-from pulseframe.operators.upsert import LandedTable, existing_keys
+from pulseframe.operators.upsert import LandedTable
 from pulseframe.operators.watermarks import StateLog, daily_requests, fetch_windows, range_requests
 from pulseframe.sources.envelope import to_envelope
 from pulseframe.sources.registry import KEYED_METHODS, select_collectors, selected_tables
@@ -41,7 +41,7 @@ def land_run(
 def _keys_of(table: LandedTable, name: str, before: int | None) -> DataFrame:
     """Keys of one landed table: the natural key, led by the subject if there are many."""
     keys = [k for k in table.keys if k != "collector_name"]
-    return existing_keys(table.log(before=before).filter(F.col("collector_name") == name), keys)
+    return table.known_keys(F.col("collector_name") == name, keys, before)
 
 
 def _land_keyed(table: LandedTable, name: str, fetched: DataFrame, extracted_at: str, run_seq: int) -> None:

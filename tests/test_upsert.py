@@ -141,3 +141,29 @@ def test_a_small_stored_batch_leaves_the_snapshot_in_place(spark, tmp_path):
     for line in text.split("Union")[1].split("BroadcastHashJoin")[1:2]:
         assert "hashpartitioning" not in line.split("BroadcastExchange")[0]
     assert merged.count() == 5001
+
+
+def test_retired_batches_live_on_in_the_snapshot(spark, tmp_path):
+    table = LandedTable(spark, str(tmp_path / "t"))
+    assert table.newest_version() is None and table.known_keys().count() == 0
+    table.append(batch(spark, [("a", {"x": 1}), ("b", {"x": 2}), ("bad", "{")], T1, 1, strict=False), 1)
+    table.append(batch(spark, [("b", {"x": 20})], T2, 2), 2, "other")
+    table.compact(2)
+    table.retire(2)
+    assert table.log().count() == 0 and rows(table.quarantine().select("natural_key")) == [("bad",)]
+    assert shown(table.current()) == [("a", 1, "m"), ("b", 20, "m")]
+    table.append(batch(spark, [("a", {"x": 3}), ("c", {"x": 4})], T3, 3), 3)
+    want = [("a", 3, "m"), ("b", 20, "m"), ("c", 4, "m")]
+    assert table.newest_version() == 2 and shown(table.current()) == want
+    assert rows(table.known_keys()) == [("a",), ("b",), ("c",)] and rows(table.known_keys(before=3)) == [("a",), ("b",)]
+    table.compact(3, base_version=2)
+    table.retire(3)
+    assert shown(table.current()) == want and (table.newest_version(), table.newest_version(before=3)) == (3, 2)
+
+
+def test_a_late_batch_does_not_replace_what_the_snapshot_has(spark, tmp_path):
+    table = LandedTable(spark, str(tmp_path / "t"))
+    table.append(batch(spark, [("a", {"x": 2}), ("b", {"x": 2})], T2, 2), 2)
+    table.compact(2)
+    table.append(batch(spark, [("a", {"x": 1}), ("c", {"x": 1})], T1, 1), 1, "late")
+    assert shown(table.current()) == [("a", 2, "m"), ("b", 2, "m"), ("c", 1, "m")]
