@@ -60,13 +60,35 @@ def upsert(
 ) -> DataFrame:
     """``current`` (one row per key) after landing ``batch``.
 
-    A batch row replaces the current one only if it is newer. The batch's keys are looked up in
-    ``current`` by key and time alone; then ``current`` is read once with payloads, less the keys
-    that are replaced. ``current`` meets nothing but the batch's keys: below the broadcast threshold
-    Spark sends these to it, and it is neither shuffled nor sorted; above, both sides meet by key.
+    A batch row replaces the current one only if it is newer. ``current`` is
+    read once with payloads and once for its keys; both joins are on unique
+    keys, so neither can skew. A stored batch has a size Spark knows from its
+    files: below the broadcast threshold it travels to the large table, which
+    is then neither shuffled nor sorted; above it both sides meet by key.
     """
     keys = list(keys)
+    rest = [c for c in current.columns if c not in keys]
     newest = latest_by_key(batch.select(*current.columns), keys, order)
+    incoming = newest.select(
+        *keys, F.struct(*rest).alias("_new"), _position(newest, order).alias("_new_at")
+    )
+    replaced = current.withColumn("_at", _position(current, order)).join(incoming, keys, "left")
+    is_newer = F.col("_new_at").isNotNull() & (F.col("_new_at") > F.col("_at"))
+    resolved = replaced.select(
+        *keys, F.when(is_newer, F.col("_new")).otherwise(F.struct(*rest)).alias("_w")
+    ).select(*keys, "_w.*")
+    added = newest.join(current.select(*keys), keys, "left_anti")
+    return resolved.unionByName(added).select(*current.columns)
+
+
+def replace_keys(current: DataFrame, newest: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """:func:`upsert` of a stored batch that already has one row per key.
+
+    The batch's keys are looked up in ``current`` by key and time alone; then ``current`` is read
+    once with payloads, less the keys that are replaced. It meets nothing but these keys: below the
+    broadcast threshold it is neither shuffled nor sorted, its keys no more than its payloads.
+    """
+    keys = list(keys)
     held = current.select(*keys, _position(current, order).alias("_at")).join(newest.select(*keys), keys)
     newer = F.col("_at").isNull() | (_position(newest, order) > F.col("_at"))
     winners = newest.join(held, keys, "left").filter(newer).select(*current.columns)
@@ -179,7 +201,7 @@ class LandedTable:
             return latest_by_key(self._landed(), self.keys).drop(WRITER_COLUMN)
         base = self.snapshot(version)
         tail = latest_by_key(self._landed().filter(self._beyond(version)), self.keys)
-        return upsert(base, tail.select(*base.columns), self.keys)
+        return replace_keys(base, tail.select(*base.columns), self.keys)
 
     def known_keys(self, where: Column | None = None, keys: Sequence[str] = (), before: int | None = None) -> DataFrame:
         """Distinct keys of the rows ``where`` holds, landed so far or before a batch number.
@@ -225,7 +247,7 @@ class LandedTable:
         else:
             base = self.snapshot(base_version)
             tail = landed.filter(self._beyond(base_version))
-            rows = upsert(base, latest_by_key(tail, self.keys).select(*base.columns), self.keys)
+            rows = replace_keys(base, latest_by_key(tail, self.keys).select(*base.columns), self.keys)
         if self.partition_by:
             rows = rows.hint("rebalance", *self.partition_by)
         target = f"{self.path}/snapshot/version={int(through)}"

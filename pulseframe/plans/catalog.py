@@ -589,9 +589,9 @@ def _sync_rows(spark, sf, collector: str) -> DataFrame:
     )
 
 
-def _day_rows(spark, sf, collector: str) -> DataFrame:
+def _day_rows(spark, sf, collector: str, days: DataFrame | None = None) -> DataFrame:
     return to_envelope(
-        normalize.normalize_daily(payloads.day_payloads(spark, sf, collector)),
+        normalize.normalize_daily(payloads.day_payloads(spark, sf, collector, days)),
         extracted_at=payloads.EXTRACTED_AT,
     )
 
@@ -852,10 +852,10 @@ def test_not_null_failures(spark, sf):
 def data_test_report(spark, sf):
     """Both tests on the key of every model, and on a key known to repeat."""
     root = shared_dir(spark, "data-test-report")
-    landed = _landed(spark, sf)
-    for name in ("activities", "activity_details"):  # read by several tests each
-        landed[name].write.parquet(f"{root}/{name}")
-        landed[name] = spark.read.parquet(f"{root}/{name}")
+    payloads.user_days(spark, sf).write.parquet(f"{root}/days")
+    landed = _landed(spark, sf, spark.read.parquet(f"{root}/days"))
+    landed["activity_details"].write.parquet(f"{root}/activity_details")  # read by a model and the series
+    landed["activity_details"] = spark.read.parquet(f"{root}/activity_details")
     samples.series_from_envelope(landed["activity_details"]).write.parquet(f"{root}/series")
     series = spark.read.parquet(f"{root}/series")
     models = project.build_models(landed, _order_bounds(spark, sf), F.lit(TODAY).cast("date"), series=series)
@@ -864,12 +864,12 @@ def data_test_report(spark, sf):
     return project.test_models(models).unionByName(repeated)
 
 
-def _landed(spark, sf) -> dict[str, DataFrame]:
-    """An envelope table for every staging model."""
+def _landed(spark, sf, days: DataFrame) -> dict[str, DataFrame]:
+    """An envelope table for every staging model; those of days share the stored summaries."""
     return {
         "activities": payloads.activities(spark, sf),
         "activity_details": payloads.activity_details(spark, sf),
-        **{m: _day_rows(spark, sf, m.upper()) for m in ("body_battery", "hrv", "resting_heart_rate", "sleep", "steps")},
+        **{m: _day_rows(spark, sf, m.upper(), days) for m in ("body_battery", "hrv", "resting_heart_rate", "sleep", "steps")},
         **{m: _sync_rows(spark, sf, m.upper()) for m in ("body_battery_events", "training_readiness")},
     }
 

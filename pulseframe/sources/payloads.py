@@ -272,9 +272,12 @@ def _method(name: str) -> Column:
     return F.lit({**RANGE_METHODS, **DAILY_METHODS}[name])
 
 
-def day_payloads(spark: SparkSession, sf_dir: str, collector: str) -> DataFrame:
-    """A payload per user and day: ``(subject_id, requested, payload, source_method)``."""
-    return user_days(spark, sf_dir).select(
+def day_payloads(spark: SparkSession, sf_dir: str, collector: str, days: DataFrame | None = None) -> DataFrame:
+    """A payload per user and day: ``(subject_id, requested, payload, source_method)``.
+
+    ``days`` may be stored :func:`user_days` that several collectors share.
+    """
+    return (user_days(spark, sf_dir) if days is None else days).select(
         "subject_id",
         F.col("day").alias("requested"),
         F.to_json(_DAY_PAYLOADS[collector]()).alias("payload"),
