@@ -4,8 +4,10 @@ A unit vector is cut into halves, each half has a codebook of its own, and the p
 codes are the cells of a product grid. A vector looks into cells in order of distance (the sum of its
 halves' distances to the two codes, walked by the multi-sequence algorithm) until it has seen
 ``probes`` of them; how many are needed is measured: for a sample of vectors, at which step of the
-walk the cells of all their true neighbours come. Candidates are verified by the cosine in double
-precision.
+walk the cells of all their true neighbours come. Sampled vectors that link with each other count
+as one, so a large group of near copies does not outvote the small ones; sampling goes on until
+``PROBE_GROUPS`` linked ones are met. Where fewer are, vectors planted at the bound itself decide.
+Candidates are verified by the cosine in double precision.
 
 Equal vectors are one vector that counts several times. A cell's rows are dealt into blocks of a
 fixed size, and queries meet rows block by block as matrices, so a cell with a third of all vectors
@@ -28,9 +30,14 @@ from pulseframe.llm.common import components, drop_stored, store
 
 SIMILARITY = 0.9
 TARGET_RECALL = 0.995
-# Vectors that fit the codebooks and vectors whose neighbours set the number of probes, at most.
+# Vectors that fit the codebooks, at most.
 FIT_SAMPLE = 20_000
+# Vectors whose neighbours set the number of probes: at first, at most, and the linked groups among them that are enough.
 PROBE_SAMPLE = 400
+MOST_PROBE_SAMPLE = 2400
+PROBE_GROUPS = 200
+# Distances are counted in steps of this size, rounded up.
+DISTANCE_STEP = 1 / 4096
 PER_CELL = 50
 MOST_CODES = 1024
 BLOCK = 1500
@@ -109,32 +116,103 @@ def fitted(rows: DataFrame, count: int, dim: int, least: float) -> Grid:
     codes = min(codes, len(x))
     cut = max(1, dim // 2)
     grid = Grid(codebook(x[:, :cut], codes), codebook(x[:, cut:], codes) if dim > 1 else np.zeros((codes, 0)))
-    ids = np.array(sample.column("id").to_pylist())[:PROBE_SAMPLE]
-    queries = x[:PROBE_SAMPLE]
+    grid.probes = probes_of(grid, rows, count, np.array(sample.column("id").to_pylist()), x, least)
+    return grid
+
+
+def neighbours(grid: Grid, rows: DataFrame, ids: np.ndarray, queries: np.ndarray, least: float) -> pd.DataFrame:
+    """``query, step, n``: how many links of a query lie in cells that its walk has seen by that step."""
 
-    def steps(batches):
+    def far(batches):
         da, db = grid.distances(queries)
         for batch in batches:
-            y = units(batch.column(1))
-            q, r = np.nonzero((queries @ y.T >= least) & (ids[:, None] != np.array(batch.column(0).to_pylist())[None, :]))
-            if not len(q):
-                continue
-            ya, yb = grid.distances(y)
-            far = da[q, ya.argmin(1)[r]] + db[q, yb.argmin(1)[r]]
-            step = np.empty(len(q), dtype=np.int64)
-            for i in np.unique(q):
-                every = np.sort((da[i][:, None] + db[i][None, :]).ravel())
-                step[q == i] = np.searchsorted(every, far[q == i] * (1 + 1e-9), "right")
-            found, n = np.unique(step, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["step", "n"])
-
-    seen = rows.select("id", "v").mapInArrow(steps, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).toPandas().sort_values("step")
+            every, other = units(batch.column(1)), np.array(batch.column(0).to_pylist())
+            for at in range(0, len(every), 1000):
+                y = every[at : at + 1000]
+                q, r = np.nonzero((queries @ y.T >= least) & (ids[:, None] != other[None, at : at + 1000]))
+                if not len(q):
+                    continue
+                ya, yb = grid.distances(y)
+                d = da[q, ya.argmin(1)[r]] + db[q, yb.argmin(1)[r]]
+                found, n = np.unique(np.stack([q, np.ceil(d / DISTANCE_STEP).astype(np.int64)]), axis=1, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1]), pa.array(n.astype(np.int64))], names=["query", "far", "n"])
+
+    seen = rows.select("id", "v").mapInArrow(far, "query long, far long, n long").groupBy("query", "far").agg(F.sum("n").alias("n")).toPandas()
+    da, db = (np.sort(d, axis=1) for d in grid.distances(queries))
+    seen["step"] = [
+        int(np.searchsorted(db[q], f * DISTANCE_STEP * (1 + 1e-9) - da[q], "right").sum()) for q, f in zip(seen["query"], seen["far"])
+    ]
+    return seen[["query", "step", "n"]]
+
+
+def planted_steps(grid: Grid, x: np.ndarray, least: float) -> np.ndarray:
+    """Steps at which the walks of ``x`` come to neighbours planted at the bound: one towards another row, one anywhere."""
+    rng = np.random.default_rng(1)
+    out = []
+    for towards in (x[rng.permutation(len(x))], rng.normal(size=x.shape)):
+        side = towards - (towards * x).sum(1)[:, None] * x
+        length = np.sqrt((side * side).sum(1))[:, None]
+        side = np.divide(side, length, out=np.zeros_like(side), where=length > 1e-9)
+        y = least * x + np.sqrt(1 - least * least) * side
+        (da, db), (ya, yb) = grid.distances(x), grid.distances(y / np.sqrt((y * y).sum(1))[:, None])
+        at = np.arange(len(x))
+        far = (da[at, ya.argmin(1)] + db[at, yb.argmin(1)]) * (1 + 1e-9)
+        out += [int(np.searchsorted(np.sort(b), f - a, "right").sum()) for a, b, f in zip(da, db, far)]
+    return np.array(out)
+
+
+def reached(steps: np.ndarray, weights: np.ndarray) -> int:
+    """The step by which the target share of the weights has come."""
+    order = np.argsort(steps, kind="stable")
+    share = np.cumsum(weights[order]) / weights.sum()
+    return int(steps[order][min(len(steps) - 1, np.searchsorted(share, TARGET_RECALL))])
+
+
+def probes_of(grid: Grid, rows: DataFrame, count: int, ids: np.ndarray, x: np.ndarray, least: float) -> int:
+    """The number of probes by which links and groups alike reach the target recall.
+
+    The first sample is taken as it comes. Later ones leave out vectors that link with one sampled
+    before, whose group has been measured. A group's links share one vote; counted singly, they must
+    reach the target too.
+    """
+    taken = fresh = np.arange(min(PROBE_SAMPLE, len(x)))
+    known = np.zeros(len(x), dtype=bool)
+    seen = neighbours(grid, rows, ids[taken], x[taken], least)
+    while True:
+        groups = groups_of(x[taken] @ x[taken].T >= least)
+        met = len(np.unique(groups[seen["query"].to_numpy()]))
+        more = min(MOST_PROBE_SAMPLE - len(taken), max(PROBE_SAMPLE, -(-len(taken) * (PROBE_GROUPS - met) // max(1, met))))
+        for at in range(0, len(fresh), 100):
+            known |= (x @ x[fresh[at : at + 100]].T >= least).any(1)
+        known[fresh] = True
+        fresh = np.nonzero(~known)[0][: max(0, more)]
+        if met >= PROBE_GROUPS or not len(fresh):
+            break
+        found = neighbours(grid, rows, ids[fresh], x[fresh], least)
+        found["query"] += len(taken)
+        seen, taken = pd.concat([seen, found], ignore_index=True), np.concatenate([taken, fresh])
     enough = 4
     if len(seen):
-        share = seen["n"].cumsum() / seen["n"].sum()
-        enough = int(seen["step"][share >= TARGET_RECALL].iloc[0])
-    grid.probes = int(min(len(grid.first) * len(grid.second), max(4, -(-enough * 3 // 2))))
-    return grid
+        steps, n = seen["step"].to_numpy(), seen["n"].to_numpy(dtype=float)
+        group = groups[seen["query"].to_numpy()]
+        first = (seen["query"] < PROBE_SAMPLE).to_numpy()
+        enough = reached(steps, n / np.bincount(group, n)[group])
+        if first.any():
+            enough = max(enough, reached(steps[first], n[first]))
+    if met < PROBE_GROUPS and len(taken) < count:  # too few links to go by
+        planted = planted_steps(grid, x[taken], least)
+        enough = max(enough, reached(planted, np.ones(len(planted))))
+    return int(min(len(grid.first) * len(grid.second), max(4, -(-enough * 3 // 2))))
+
+
+def groups_of(links: np.ndarray) -> np.ndarray:
+    """The smallest row that links reach, for each row of a symmetric matrix that links rows with themselves."""
+    head = np.arange(len(links))
+    while True:
+        low = np.where(links, head[None, :], len(links)).min(1)
+        if (low == head).all():
+            return head
+        head = low
 
 
 def block_links(least: float):

@@ -78,3 +78,34 @@ def test_awkward_rows(spark):
     want = {i: (0, i, True) for i in (1, 2, 3, 4, 5, 6, 11)} | {7: (1, 7, True), 8: (1, 7, False), 9: (1, 9, True), 10: (1, 9, False)}
     assert got == want
     assert results(spark.createDataFrame([], SCHEMA)) == {}
+
+
+def planted(rng, n, hot, dim=64, size=3):
+    """``hot`` near copies of one vector, and small groups at cosines of 0.90 to 0.95; links are known."""
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    base = unit(rng.normal(size=((n - hot) // size, dim)))
+    side = rng.normal(size=(len(base), size - 1, dim))
+    side = unit(side - (side * base[:, None]).sum(2, keepdims=True) * base[:, None])
+    c = rng.uniform(0.905, 0.95, (len(base), size - 1, 1))
+    small = np.concatenate([base[:, None], c * base[:, None] + np.sqrt(1 - c * c) * side], axis=1).reshape(-1, dim)
+    return unit(rng.normal(size=dim) + 0.01 * rng.normal(size=(hot, dim))), small
+
+
+def test_small_groups_beside_a_hot_third_reach_the_target(spark):
+    hot, small = planted(np.random.default_rng(11), 9000, 3000)
+    x = np.concatenate([small, hot]).astype(np.float32)
+    want = (small @ small.T >= 0.9).sum() - len(small)
+    got = results(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA))
+    found = sum(got[i][0] for i in range(len(small)))
+    assert 0.995 * want <= found <= want + 2 and want > 8000
+    assert all(got[i][0] == len(hot) - 1 for i in range(len(small), len(x)))
+
+
+def test_links_the_sample_does_not_meet_are_found(spark):
+    rng = np.random.default_rng(12)
+    far = rng.normal(size=(12000, 64))
+    _, small = planted(rng, 90, 0)
+    x = np.concatenate([small, far]).astype(np.float32)
+    got = results(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA))
+    want = (small @ small.T >= 0.9).sum() - len(small)
+    assert sum(got[i][0] for i in range(len(small))) >= 0.97 * want
