@@ -1,20 +1,24 @@
 """Interleave sources at target weights: Pfair windows, earliest deadline first.
 
-A source's documents are cut into blocks of equal row counts. With weight ``a`` of a period of ``W``
-slots, its i-th block (from 1) may run from slot ``floor((i-1)W/a)`` and must have run before slot
+A source's documents are cut into blocks of equal row counts. With weight ``a`` of a total of ``W``,
+its i-th block (from 1) may run from slot ``floor((i-1)W/a)`` and must have run before slot
 ``ceil(iW/a)``; of the blocks that may run, the one with the earliest deadline gets the slot. The
-weights of a period sum to its slots, so every window is met and no source is ever a whole block
-ahead of or behind its share. When a source runs out, the others go on with a new phase at their
-own weights, so every document gets a position and none is dropped or repeated.
-
-Only the timetable of one period per phase is computed in one place (sources times period, both
-bounded by parameters); ranks within sources are a distributed sort, and a document's position is
-arithmetic on its rank.
+weights are the targets themselves, as whole numbers of any length, so every window is met and no
+source is ever a whole block ahead of or behind its target, however long the input. When a source
+runs out, the others go on with a new phase at their own weights, so every document gets a position
+and none is dropped or repeated.
+
+One place walks the timetable and keeps only where it stood every ``SEGMENT`` slots; tasks walk the
+segments from there and make the blocks' slots a table. Ranks within sources are a distributed sort,
+and documents meet their block's slot in a join by source and block.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +28,8 @@ from pyspark.sql import functions as F
 
 from pulseframe.llm.common import ranked
 
-MAX_SOURCES = 1000
+# Slots between two states that are kept of the timetable.
+SEGMENT = 20_000
 
 
 @dataclass
@@ -106,11 +111,56 @@ def phases_of(parts: dict[str, int], blocks: dict[str, int]) -> list[Phase]:
     return out
 
 
+def exact(weights: dict[str, float]) -> dict[str, int]:
+    """The weights as whole numbers in exactly the same proportions."""
+    ratios = {s: w.as_integer_ratio() for s, w in weights.items()}
+    common = math.lcm(*[d for _, d in ratios.values()])
+    parts = {s: n * (common // d) for s, (n, d) in ratios.items()}
+    least = math.gcd(*parts.values())
+    return {s: a // least for s, a in parts.items()}
+
+
+class Timetable:
+    """``slot, source, block, release, deadline`` of every block in order of slots, from ``state`` on."""
+
+    def __init__(self, parts: dict[str, int], blocks: dict[str, int], state: tuple | None = None):
+        self.parts, self.blocks = parts, blocks
+        # The slot a phase starts at, the blocks done before it, and all blocks done.
+        self.first, self.before, self.done = state or (0, dict.fromkeys(blocks, 0), dict.fromkeys(blocks, 0))
+
+    def state(self) -> tuple:
+        """What the slot given out last started from."""
+        return self.first, dict(self.before), dict(self.done)
+
+    def __iter__(self) -> Iterator[tuple[int, str, int, int, int]]:
+        parts, blocks, done = self.parts, self.blocks, self.done
+        left = {s for s, n in blocks.items() if done[s] < n}
+        slot = sum(done.values())
+        while left:
+            before, first, total = self.before, self.first, sum(parts[s] for s in left)
+            waiting = [((done[s] - before[s]) * total // parts[s], s) for s in left]
+            heapq.heapify(waiting)
+            ready: list[tuple[int, int, str]] = []
+            while True:
+                while waiting and waiting[0][0] <= slot - first:
+                    release, s = heapq.heappop(waiting)
+                    heapq.heappush(ready, (-(-(done[s] - before[s] + 1) * total // parts[s]), release, s))
+                deadline, release, s = heapq.heappop(ready)
+                yield slot, s, done[s], first + release, first + deadline
+                done[s] += 1
+                slot += 1
+                if done[s] == blocks[s]:
+                    break
+                heapq.heappush(waiting, ((done[s] - before[s]) * total // parts[s], s))
+            left.remove(s)
+            self.first, self.before = slot, dict(done)
+
+
 def mix(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
     block_rows: int = 16,
-    period: int = 200,
+    period: int | None = None,
     smoothing: float = 0.5,
     id_col: str = "doc_id",
     source_col: str = "source",
@@ -121,51 +171,48 @@ def mix(
     (``smoothing``) relative to the rest. ``position`` runs from 0 without gaps. ``slot``,
     ``release`` and ``deadline`` are places of the block on the common timetable. A null source is
     a source named ``""``. Within a source the order is a hash of the id; repeated rows are rows of
-    their own. Weights are rounded to whole parts of ``period``. An empty table gives an empty result.
+    their own. With a ``period``, weights are rounded to whole parts of it. An empty table gives an empty result.
     """
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"))
     order = [F.col("source"), F.xxhash64("id"), F.col("id")]
     places = ranked(slim, order, "mixing")
-    rows = {r["source"]: r["n"] for r in places.groupBy("source").agg(F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()}
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; give {source_col} fewer values")
+    rows = {r["source"]: r["n"] for r in places.groupBy("source").agg(F.count("*").alias("n")).collect()}  # a row a source
     names = sorted(rows, key=lambda s: s.encode())
     targets = {s: float((weights or {}).get(s, rows[s] ** smoothing)) for s in names}
-    if any(w <= 0 for w in targets.values()):
+    if any(not 0 < w < math.inf for w in targets.values()):
         raise ValueError("weights must be positive")
-    parts = parts_of(targets, period) if names else {}
-    phases = phases_of(parts, {s: -(-rows[s] // block_rows) for s in names})
-    starts = dict(zip(names, np.cumsum([0, *[rows[s] for s in names]]).tolist()))
-    # A source's last block may be short; it ends a phase, so later positions move up by what it lacks.
+    parts = parts_of(targets, period) if names and period else exact(targets)
+    blocks = {s: -(-rows[s] // block_rows) for s in names}
+    # A source's last block may be short; later positions move up by what it lacks.
     lacks = {s: -rows[s] % block_rows for s in names}
-    moved, shift = [], 0
-    for p in phases:
-        moved.append(shift)
-        ended = [s for s in p.places if p.first_block[s] + p.repeats * len(p.places[s]) == -(-rows[s] // block_rows)]
-        shift += sum(lacks[s] for s in ended)
+    way = Timetable(parts, blocks)
+    marks = [json.dumps(way.state()) for slot, *_ in way if slot % SEGMENT == 0]
 
-    def positions(batches):
+    def slots(batches):
         for frame in batches:
-            out = []
-            for s, g in frame.groupby("source"):
-                place = g["rank"].to_numpy() - starts[s]
-                block, offset = place // block_rows, place % block_rows
-                own = [i for i, p in enumerate(phases) if s in p.places]
-                which = np.searchsorted([phases[i].first_block[s] for i in own], block, "right") - 1
-                cols = {k: np.empty(len(g), dtype="int64") for k in ("slot", "release", "deadline", "position")}
-                for k in np.unique(which):
-                    p, at = phases[own[k]], which == k
-                    turn, i = np.divmod(block[at] - p.first_block[s], len(p.places[s]))
-                    base = p.first_slot + turn * p.slots
-                    for name, within in (("slot", p.places[s]), ("release", p.releases[s]), ("deadline", p.deadlines[s])):
-                        cols[name][at] = base + within[i]
-                    cols["position"][at] = cols["slot"][at] * block_rows + offset[at] - moved[own[k]]
-                out.append(pd.DataFrame({"id": g["id"], "source": s, "weight": parts[s] / sum(parts.values()), "block": block, **cols}))
-            if out:
-                yield pd.concat(out)
-
-    schema = f"id {slim.schema['id'].dataType.simpleString()}, source string, weight double, block long, slot long, release long, deadline long, position long"
-    return places.select("id", "source", "rank").mapInPandas(positions, schema).withColumnRenamed("id", id_col)
+            for mark in frame["state"]:
+                first, before, done = json.loads(mark)
+                moved = sum(lacks[s] for s, n in done.items() if n == blocks[s])
+                out = []
+                for slot, s, block, release, deadline in Timetable(parts, blocks, (first, before, done)):
+                    if out and slot % SEGMENT == 0:
+                        break
+                    out.append((s, block, slot, release, deadline, slot * block_rows - moved))
+                    if block + 1 == blocks[s]:
+                        moved += lacks[s]
+                yield pd.DataFrame(out, columns=["source", "block", "slot", "release", "deadline", "base"])
+
+    spark = docs.sparkSession
+    states = spark.createDataFrame([(i, m) for i, m in enumerate(marks)], "segment long, state string").repartition(max(1, len(marks)))
+    timetable = states.mapInPandas(slots, "source string, block long, slot long, release long, deadline long, base long")
+    total = sum(parts.values())
+    starts = np.cumsum([0, *[rows[s] for s in names]]).tolist()
+    sources = spark.createDataFrame([(s, i, parts[s] / total) for s, i in zip(names, starts)], "source string, start long, weight double")
+    place = F.col("rank") - F.col("start")
+    placed = places.select("id", "source", "rank").join(sources, "source").withColumn("block", F.floor(place / block_rows)).withColumn("offset", place % block_rows)
+    return placed.join(timetable, ["source", "block"]).select(
+        F.col("id").alias(id_col), "source", "weight", "block", "slot", "release", "deadline", (F.col("base") + F.col("offset")).alias("position")
+    )
 
 
 def in_order(docs: DataFrame, position: Column) -> DataFrame:

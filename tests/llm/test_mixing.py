@@ -83,3 +83,49 @@ def test_awkward_rows(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
     with pytest.raises(ValueError):
         mixing.mix(documents(spark, AWKWARD), {"a": 0.0})
+
+
+@pytest.mark.parametrize("rows", [[40_000, *[4_200] * 19], [100_000, 100, 7, 1]])
+def test_no_source_is_a_block_off_its_exact_target(rows):
+    targets = {f"s{i}": n**0.5 for i, n in enumerate(rows)}
+    blocks = {f"s{i}": -(-n // 16) for i, n in enumerate(rows)}
+    done, total = dict.fromkeys(targets, 0), sum(targets.values())
+    for slot, s, block, release, deadline in mixing.Timetable(mixing.exact(targets), blocks):
+        assert block == done[s] and release <= slot < deadline
+        done[s] += 1
+        assert all(abs(done[x] - (slot + 1) * w / total) < 1 + 1e-9 for x, w in targets.items())
+        if done[s] == blocks[s]:
+            break
+
+
+def test_mix_keeps_given_weights_however_small_and_long(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SEGMENT", 50)
+    docs = spark.range(12_000).selectExpr("id AS doc_id", "CASE WHEN id < 30 THEN 'rare' WHEN id % 2 = 0 THEN 'a' ELSE 'b' END AS source")
+    weights = {"a": 0.55, "b": 0.449, "rare": 0.001}
+    rows = sorted(mixing.mix(docs, weights, block_rows=1).collect(), key=lambda r: r["position"])
+    assert [r["position"] for r in rows] == list(range(12_000)) == [r["slot"] for r in rows]
+    done = dict.fromkeys(weights, 0)
+    for i, r in enumerate(rows):
+        done[r["source"]] += 1
+        assert all(abs(done[s] - (i + 1) * w) < 1 + 1e-9 for s, w in weights.items())
+        assert r["weight"] == pytest.approx(weights[r["source"]], rel=1e-12)
+        if done[r["source"]] == {"a": 5985, "b": 5985, "rare": 30}[r["source"]]:
+            break
+    assert i > 10_000
+
+
+def test_segments_go_on_where_the_timetable_stood():
+    rng = random.Random(3)
+    blocks = {f"s{i}": rng.choice([0, 1, 2, 9, 50, 400]) for i in range(9)}
+    parts = mixing.exact({s: rng.random() + 0.001 for s in blocks})
+    whole = list(mixing.Timetable(parts, blocks))
+    assert [x[0] for x in whole] == list(range(sum(blocks.values())))
+    way = mixing.Timetable(parts, blocks)
+    for slot, *_ in way:
+        if slot % 13 == 0:
+            assert list(mixing.Timetable(parts, blocks, way.state())) == whole[slot:]
+
+
+def test_more_than_a_thousand_sources(spark):
+    docs = spark.range(2400).selectExpr("id AS doc_id", "concat('s', id % 1200) AS source")
+    assert sorted(r["position"] for r in mixing.mix(docs).collect()) == list(range(2400))
