@@ -174,7 +174,8 @@ def mix(
     their own. With a ``period``, weights are rounded to whole parts of it. An empty table gives an empty result.
     """
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"))
-    order = [F.col("source"), F.xxhash64("id"), F.col("id")]
+    # A hash of its own: shards are ranges of the plain one, and each should hold all of the mix.
+    order = [F.col("source"), F.xxhash64(F.lit("mix"), "id"), F.col("id")]
     places = ranked(slim, order, "mixing")
     rows = {r["source"]: r["n"] for r in places.groupBy("source").agg(F.count("*").alias("n")).collect()}  # a row a source
     names = sorted(rows, key=lambda s: s.encode())

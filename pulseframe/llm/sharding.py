@@ -143,11 +143,23 @@ def even_out(nodes: DataFrame, n_shards: int) -> DataFrame:
     )
 
 
-def shard(docs: DataFrame, n_shards: int = 40, rounds: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def in_order(placed: DataFrame, places: DataFrame, n_shards: int) -> DataFrame:
+    """``placed(id, size, text_crc32, shard)`` with ``slot``s by the position of ``places(id, position)`` within each shard."""
+    first = places.select("id", "position").groupBy(F.col("id").alias("_id")).agg(F.min("position").alias("position"))
+    rows = placed.join(first.hint("merge"), F.col("id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    rows = ranked(rows, [F.col("shard"), F.col("position").asc_nulls_last(), F.xxhash64("id"), F.col("id"), F.col("text_crc32"), F.col("size")], "ordered")
+    counts = rows.groupBy("shard").agg(F.count("*").alias("n")).collect()  # n_shards rows
+    starts = [sum(r["n"] for r in counts if r["shard"] < s) for s in range(n_shards)]
+    start = F.element_at(F.array(*[F.lit(v).cast("long") for v in starts]), F.col("shard") + 1)
+    return rows.withColumn("slot", F.col("rank") - start).drop("rank", "position")
+
+
+def shard(docs: DataFrame, n_shards: int = 40, rounds: int = 8, id_col: str = "doc_id", text_col: str = "text", places: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, size, text_crc32, shard, slot``; equal texts are linked.
 
     Null texts have size 16 and the checksum of nothing, and link with nothing. Repeated rows are
-    rows of their own; a null id is never linked. An empty table gives an empty result.
+    rows of their own; a null id is never linked. With ``places(id, position)``, a shard's slots are in
+    the order of the position. An empty table gives an empty result.
     """
     raw = F.encode(F.col(text_col), "UTF-8")
     slim = store(
@@ -163,4 +175,7 @@ def shard(docs: DataFrame, n_shards: int = 40, rounds: int = 8, id_col: str = "d
     hubs = text_hubs(slim.filter("group is not null").select("id", "group"), n_shards)
     labels = propagate(hubs, total, n_shards, rounds)
     nodes = slim.drop("group").join(labels, "id", "left")
-    return even_out(nodes, n_shards).select(F.col("id").alias(id_col), "size", "text_crc32", "shard", "slot")
+    placed = even_out(nodes, n_shards)
+    if places is not None:
+        placed = in_order(placed.select("id", "size", "text_crc32", "shard"), places, n_shards)
+    return placed.select(F.col("id").alias(id_col), "size", "text_crc32", "shard", "slot")

@@ -4,7 +4,7 @@ from collections import Counter
 
 import corpus_pipeline
 from helpers_llm import AWKWARD, documents
-from pulseframe.llm import decontaminate, near_dup, resample
+from pulseframe.llm import decontaminate, mixing, near_dup, resample
 from pulseframe.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -40,3 +40,28 @@ def test_stages_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_slots_of_a_shard_follow_the_mix(spark):
+    rows = corpus_pipeline.run(spark, SF).collect()
+    ids = [r["doc_id"] for r in rows]
+    docs = table(spark, SF, "documents")
+    kept = docs.filter(docs["doc_id"].isin(ids))
+    position = {r["doc_id"]: r["position"] for r in mixing.mix(kept).collect()}
+    shards = {}
+    for r in sorted(rows, key=lambda r: (r["shard"], r["slot"])):
+        shards.setdefault(r["shard"], []).append((r["slot"], position[r["doc_id"]]))
+    for slots in shards.values():
+        assert [s for s, _ in slots] == list(range(len(slots)))
+        assert [p for _, p in slots] == sorted(p for _, p in slots)
+
+
+def test_every_shard_is_interleaved_at_the_target_weights(spark):
+    rows = [(i, f"clean text number {i}", "en", "big" if i < 3200 else f"small{i % 2}") for i in range(4800)]
+    placed = corpus_pipeline.shards(spark, documents(spark, rows), SF).collect()
+    source = {i: s for i, _, _, s in rows}
+    weights = {r["source"]: r["weight"] for r in mixing.mix(documents(spark, rows)).select("source", "weight").distinct().collect()}
+    early = [source[r["doc_id"]] for r in placed if r["slot"] < 30]  # a quarter of each shard
+    for s, w in weights.items():
+        assert abs(early.count(s) / len(early) - w) < 0.05
+    assert weights["big"] < 0.6 < 3200 / 4800
