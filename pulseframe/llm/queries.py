@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import decontaminate, language, licenses, lm, mixing, near_dup, pii, resample, sharding, vectors
-from pulseframe.llm.common import table
+from pulseframe.llm import decontaminate, language, licenses, line_rules, lm, mixing, near_dup, pii, prefix_trie, repair, resample, sharding, vectors
+from pulseframe.llm.common import store, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,3 +105,31 @@ def op9_sharding(spark, sf):
 def op10_lm_scoring(spark, sf):
     """Every document's unigram and class-model probability."""
     return lm.score(table(spark, sf, "documents"))
+
+
+@query
+def op11_prefix_trie(spark, sf):
+    """Every node of the trie of branched conversations, with its subtree's totals."""
+    turns = prefix_trie.turns_in_order(table(spark, sf, "conversations"))
+    return prefix_trie.trie_totals(prefix_trie.branched(store(turns, "turns")))
+
+
+ORACLES["op11_prefix_trie"] = prefix_trie.oracle()
+
+
+@query
+def op12_structure_repair(spark, sf):
+    """Every damaged conversation's faults, cheapest edits and repaired digest."""
+    return repair.repair_report(table(spark, sf, "conversations"))
+
+
+ORACLES["op12_structure_repair"] = repair.oracle()
+
+
+@query
+def op13_line_rules(spark, sf):
+    """Every document's counts, the lines each rule removes, and the verdict."""
+    return line_rules.line_rules(table(spark, sf, "documents")).drop("cleaned")
+
+
+ORACLES["op13_line_rules"] = line_rules.oracle("documents")
