@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SALTS = 16  # join tasks a dominant subject is spread over
 DETAIL_BATCH_SIZE = 20  # fixed value: rows written per flush
+PAGE_SIZE = 100  # fixed value: entries of a full page of the feed
 
 
 def missing_keys(wanted: DataFrame, present: DataFrame, keys: Sequence[str] = ("natural_key",)) -> DataFrame:
@@ -46,18 +47,75 @@ def new_until_known_by(
     a dominant subject is spread over that many join tasks. They are few enough
     next to the feed that adaptive execution often broadcasts them instead.
     """
-    hits = feed.select(subject, key, newest_first).join(
-        known.select(subject, key).distinct(), [subject, key], "left_semi"
-    )
-    cuts = hits.groupBy(subject).agg(F.max(newest_first).alias("_cut"))
+    cuts = _known_cuts(feed, known, key, newest_first, subject)
+    return _up_to(feed, cuts, F.col(newest_first) <= F.col("_cut"), key, subject, salts)
+
+
+def _known_cuts(feed: DataFrame, known: DataFrame, key: str, newest_first: str, subject: str) -> DataFrame:
+    """The position of every subject's first known entry."""
+    hits = feed.select(subject, key, newest_first).join(known.select(subject, key).distinct(), [subject, key], "left_semi")
+    return hits.groupBy(subject).agg(F.max(newest_first).alias("_cut"))
+
+
+def _up_to(feed: DataFrame, cuts: DataFrame, behind: Column, key: str, subject: str, salts: int) -> DataFrame:
+    """``feed`` less the entries ``behind`` their subject's cuts, which are repeated for every salt."""
     slices = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
     salted = feed.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
-    behind = F.col(newest_first) <= F.col("_cut")
-    return (
-        salted.join(cuts.select("*", slices), [subject, "_salt"], "left")
-        .filter(~F.coalesce(behind, F.lit(False)))
-        .select(*feed.columns)
-    )
+    found = salted.join(cuts.select("*", slices), [subject, "_salt"], "left")
+    return found.filter(~F.coalesce(behind, F.lit(False))).select(*feed.columns)
+
+
+def last_pages(feed: DataFrame, page: str, subject: str, size: int = PAGE_SIZE) -> DataFrame:
+    """``subject, last_page``: the first page of every subject that is not full, which is the last one read.
+
+    An empty page has no entries at all, so it shows as a number that is not there. The first
+    number that is not a full page is 0 or follows a full page: candidates and full pages meet by
+    subject and number, and no task sees all pages of a subject. ``feed`` is reduced to a row a page before the shuffle.
+    """
+    full = feed.groupBy(subject, F.col(page).cast("bigint").alias("_page")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= size).drop("_n")
+    first = feed.select(subject).distinct().select(subject, F.lit(0).cast("bigint").alias("_page"))
+    following = full.select(subject, (F.col("_page") + 1).alias("_page"))
+    open_pages = first.unionByName(following).join(full, [subject, "_page"], "left_anti").filter("_page >= 0")
+    return open_pages.groupBy(subject).agg(F.min("_page").alias("last_page"))
+
+
+def new_until_stop(
+    feed: DataFrame,
+    known: DataFrame,
+    key: str,
+    newest_first: str,
+    page: str,
+    subject: str | None = None,
+    size: int = PAGE_SIZE,
+    salts: int = SALTS,
+) -> DataFrame:
+    """:func:`new_until_known_by` of a feed that is read page by page, from page 0.
+
+    Reading ends with the first page that is short or empty as well as at the first known entry;
+    what lies behind either is dropped. A null or negative page is never read. Without a ``subject`` there is one feed.
+    """
+    if subject is None:
+        one = "_one"
+        whole, have = feed.withColumn(one, F.lit(1)), known.select(key).withColumn(one, F.lit(1))
+        return new_until_stop(whole, have, key, newest_first, page, one, size, salts).select(*feed.columns)
+    cuts = last_pages(feed, page, subject, size).join(_known_cuts(feed, known, key, newest_first, subject), subject, "left")
+    unread = F.coalesce(F.col(page) > F.col("last_page"), F.lit(True)) | (F.col(page) < 0)
+    return _up_to(feed, cuts, unread | F.coalesce(F.col(newest_first) <= F.col("_cut"), F.lit(False)), key, subject, salts)
+
+
+def update_pending(pending: DataFrame, changes: DataFrame, keys: Sequence[str], wanted: str, answer: str) -> DataFrame:
+    """Keys of which only one of two landed tables has a row, after ``changes``; ``has_wanted`` and ``has_answer`` say which.
+
+    ``pending`` is the result for an earlier version of the table, or has no rows; ``changes`` is the
+    feed since then. Only keys inserted in one of the two tables count, and a key that both have
+    drops out for good: so neither table is read again, and what is kept has the size of
+    what is open. Each side is reduced by key before the shuffle.
+    """
+    keys = list(keys)
+    fresh = changes.filter((F.col("change") == "inserted") & F.col("collector_name").isin(wanted, answer))
+    fresh = fresh.select(*keys, (F.col("collector_name") == wanted).alias("has_wanted"), (F.col("collector_name") == answer).alias("has_answer"))
+    sides = [F.bool_or(c).alias(c) for c in ("has_wanted", "has_answer")]
+    return pending.select(*fresh.columns).unionByName(fresh).groupBy(*keys).agg(*sides).filter("not (has_wanted and has_answer)")
 
 
 def number_in_order(sorted_rows: DataFrame, path: str, name: str = "row_index") -> DataFrame:

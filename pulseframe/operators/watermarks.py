@@ -99,7 +99,7 @@ def advance(state: DataFrame, ran: DataFrame, run_date: str | Column, updated_at
 
 
 class StateLog:
-    """Stored watermarks: one folder of marks per run, the newest run of a collector counts."""
+    """Stored watermarks: a folder of marks per run and collector, the newest run of a collector counts."""
 
     def __init__(self, spark: SparkSession, path: str, subject: str | None = None):
         """``subject`` declares the subject column, e.g. ``"subject_id bigint"``."""
@@ -108,9 +108,10 @@ class StateLog:
         self.keys = [*([subject.split()[0]] if subject else []), "collector_name"]
 
     def append(self, ran: DataFrame, run_date: str | Column, updated_at: Column, run_seq: int) -> None:
-        """Advance the collectors in ``ran``; a retried run replaces its own marks."""
+        """Advance the collectors in ``ran``; a retried run replaces their marks, and no others of its number."""
         marks = _marks(ran, self.keys, run_date, updated_at)
-        marks.write.mode("overwrite").parquet(f"{self.path}/run_seq={int(run_seq)}")
+        writer = marks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("collector_name")
+        writer.parquet(f"{self.path}/run_seq={int(run_seq)}")
 
     def current(self, before: int | None = None) -> DataFrame:
         """Newest marks; a run plans from those ``before`` its own number, so that it can be repeated."""
@@ -118,4 +119,4 @@ class StateLog:
         stored = read_or_empty(self.spark, self.path, empty)
         if before is not None:
             stored = stored.filter(F.col("run_seq") < before)
-        return latest_by_key(stored, self.keys, ["run_seq"]).drop("run_seq")
+        return latest_by_key(stored, self.keys, ["run_seq"]).select(*[c for c in empty.names if c != "run_seq"])

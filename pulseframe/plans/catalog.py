@@ -8,22 +8,24 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.functions import keys, paths
 from pulseframe.functions.dates import day_sequence, today_in
-from pulseframe.operators import calendar, discovery, normalize, quality, samples, watermarks
+from pulseframe.operators import calendar, discovery, drift, intervals, normalize, quality, samples, watermarks
 from pulseframe.operators.upsert import LandedTable, existing_keys, latest_by_key, upsert
 from pulseframe.plans import project, staging
 from pulseframe.plans.models import import_models
+from pulseframe.plans.refresh import StoredModel
 from pulseframe.plans.runs import details_to_fetch, full_run as run_all, land_details, land_new_activities, land_run
 from pulseframe.session import shared_dir, shuffle_partitions
 from pulseframe.sources import payloads
 from pulseframe.sources.envelope import parse_rows, stage_rows, to_envelope
 from pulseframe.sources.registry import with_collectors
-from pulseframe.streaming.landing import land_stream, payload_stream
+from pulseframe.streaming.landing import land_stream, payload_stream, without_replays
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -263,6 +265,26 @@ def new_until_known_by_subject(spark, sf):
     return discovery.new_until_known_by(feed, known, "activity_id", "recency", "user_id")
 
 
+def _paged_feed(spark, sf, size: int) -> DataFrame:
+    """Each user's events newest first, on pages of ``size``; the service withholds some entries and one page in nine."""
+    feed, _ = _feed(spark, sf)
+    order = feed.withColumn("_age", -F.col("recency")).orderBy("user_id", "_age")
+    placed = discovery.number_in_order(order, shared_dir(spark, "paged-feed"))
+    first = placed.groupBy("user_id").agg(F.min("row_index").alias("_first"))
+    page = F.floor((F.col("row_index") - F.col("_first")) / size)
+    paged = placed.join(first, "user_id").withColumn("page", page)
+    held_back = (F.col("recency") % 97 == 0) | ((F.col("user_id") + F.col("page")) % 9 == 8)
+    return paged.filter(~held_back).select("activity_id", "user_id", "recency", "page")
+
+
+@query
+def new_until_short_page(spark, sf):
+    """Each user's newest activities, read page by page up to the first known one or the first page that is not full."""
+    _, known = _feed(spark, sf)
+    old = known.filter("cast(activity_id as bigint) % 4 = 0")
+    return discovery.new_until_stop(_paged_feed(spark, sf, 10), old, "activity_id", "recency", "page", "user_id", size=10)
+
+
 # Which collector each event type stands for; purchases have never run.
 _STATE_COLLECTORS = {"click": "STEPS", "view": "SLEEP", "signup": "HRV", "error": "BODY_BATTERY"}
 
@@ -470,47 +492,189 @@ def _days_of_subjects(spark, sf) -> DataFrame:
     return days.withColumn("payload", F.to_json(F.struct("sum_k")))
 
 
+def _answers(spark, sf, feed: DataFrame, since: str, broken: Column | None = None) -> dict:
+    """What requests of a whole run are answered with: every event day, ranges in chunks from ``since``."""
+    days = _days_of_subjects(spark, sf)
+    chunks = payloads.range_payloads(spark, sf, since).drop("source_method")
+    payload = F.col("payload") if broken is None else broken
+    return {
+        "activities": lambda: feed,
+        "details": lambda missing: missing.join(feed, list(SUBJECT_KEYS)).withColumn("payload", payload),
+        "range": lambda requests: requests.join(chunks, ["subject_id", "chunk_start"]),
+        "daily": lambda requests: requests.join(days, ["subject_id", "requested"]),
+    }
+
+
+def _event_days(spark, sf) -> tuple[str, str]:
+    """First and last day with an event."""
+    first, last = payloads.events(spark, sf).agg(F.min("day"), F.max("day")).first()
+    return first.isoformat(), last.isoformat()
+
+
 @query
 def mixed_writers(spark, sf):
-    """Collectors, activities and details landed under one run number, and the collectors once more."""
+    """Collectors, activities and details landed under one run number, some collectors apart, and all of it once more around a snapshot."""
     root = shared_dir(spark, "mixed-writers")
     table, feed = _subject_table(spark, root), _events_of_subjects(spark, sf)
     state = watermarks.StateLog(spark, f"{root}/state", "subject_id bigint")
-    days, at = _days_of_subjects(spark, sf), "2024-02-01T10:00:00Z"
+    since, today = _event_days(spark, sf)
+    answers, at = _answers(spark, sf, feed, since), f"{today}T10:00:00Z"
     subjects = feed.select("subject_id").distinct()
-    windows = watermarks.fetch_windows(subjects, state.current(before=1), TODAY, since="2023-12-01", only="sleep")
-    daily = watermarks.daily_requests(windows).join(days, ["subject_id", "requested"])
-    none = daily.limit(0).withColumnRenamed("requested", "chunk_start")
-    land_run(table, state, windows, none, daily, TODAY, at, 1)
+
+    def collect(only: str) -> None:
+        windows = watermarks.fetch_windows(subjects, state.current(before=1), today, since, only)
+        ranged, daily = answers["range"](watermarks.range_requests(windows)), answers["daily"](watermarks.daily_requests(windows))
+        land_run(table, state, windows, ranged, daily, today, at, 1)
+
+    collect("sleep,steps")
     land_new_activities(table, feed, "recency", at, 1)
+    table.compact(1)
+    table.retire(1)
+    collect("hrv,floors,weigh_ins")
     land_details(table, feed, at, 1)
-    land_run(table, state, windows, none, daily, TODAY, at, 1)
+    collect("sleep,steps")  # the snapshot has this batch already
     return _landed_counts(table)
 
 
 @query
 def full_run(spark, sf):
-    """A whole run for some tables since a day, then one for details alone."""
+    """A whole run of all tables over all days of the events, and one for the details that came empty."""
     root = shared_dir(spark, "full-run")
     table, feed = _subject_table(spark, root), _events_of_subjects(spark, sf)
     state = watermarks.StateLog(spark, f"{root}/state", "subject_id bigint")
-    days = _days_of_subjects(spark, sf)
+    since, today = _event_days(spark, sf)
     late = F.when(F.col("event_type") == "signup", F.lit("{}")).otherwise(F.col("payload"))
-
-    def fetch(answer):
-        return {
-            "activities": lambda: feed,
-            "details": lambda missing: missing.join(feed, list(SUBJECT_KEYS)).withColumn("payload", answer),
-            "range": lambda requests: requests.join(days, "subject_id").limit(0),
-            "daily": lambda requests: requests.join(days, ["subject_id", "requested"]),
-        }
-
     subjects = feed.select("subject_id").distinct()
-    run_all(table, state, subjects, fetch(late), TODAY, "2024-02-01T10:00:00Z", 1, only="Activities, activity_details,sleep", since="2024-01-10")
-    run_all(table, state, subjects, fetch(F.col("payload")), TODAY, "2024-02-01T11:00:00Z", 2, only="activity_details")
+    run_all(table, state, subjects, _answers(spark, sf, feed, since, late), today, f"{today}T10:00:00Z", 1, since=since)
+    run_all(table, state, subjects, _answers(spark, sf, feed, since), today, f"{today}T11:00:00Z", 2, only="activity_details")
     return _landed_counts(table)
 
 
+@query
+def staged_counts(spark, sf):
+    """Rows staged by table, as the writing jobs counted them: a whole run, its repetition for some tables, and an empty answer."""
+    root = shared_dir(spark, "staged-counts")
+    table, feed = _subject_table(spark, root), _events_of_subjects(spark, sf)
+    state = watermarks.StateLog(spark, f"{root}/state", "subject_id bigint")
+    since, today = _event_days(spark, sf)
+    broken = F.when(F.col("event_type") == "click", F.lit("{broken")).otherwise(F.col("payload"))
+    answers = _answers(spark, sf, feed, since, broken)
+    subjects, at = feed.select("subject_id").distinct(), f"{today}T10:00:00Z"
+    none = {"range": lambda r: answers["range"](r).filter("false"), "daily": lambda r: answers["daily"](r).filter("subject_id < 0")}
+    runs = [
+        run_all(table, state, subjects, answers, today, at, 1, since=since),
+        run_all(table, state, subjects, answers, today, at, 2, only="activities,sleep,steps", since=since),
+        run_all(table, state, subjects, none, today, at, 3, only="hrv,steps", since=since),
+    ]
+    counted = [(n, name, staged) for n, run in enumerate(runs, 1) for name, staged in run.items()]
+    return spark.createDataFrame(counted, "run int, collector_name string, rows_staged long").coalesce(1)
+
+
+@query
+def retired_snapshot(spark, sf):
+    """Batches land before, after and behind snapshots whose rows are retired, and one lands again: none is lost."""
+    rows = _event_payloads(spark, sf)
+    table = LandedTable(spark, f"{shared_dir(spark, 'retired-snapshot')}/events", SUBJECT_KEYS)
+
+    def part(condition: str, batch_seq: int, writer: str = "main") -> None:
+        table.append(_event_batch(rows.filter(condition), "2024-02-01T02:00:00Z", batch_seq), batch_seq, writer)
+
+    part("event_id % 4 = 0", 1)
+    table.compact(1)
+    table.retire(1)
+    part("event_id % 4 = 1", 5)
+    table.compact(5)
+    part("event_id % 4 = 2", 2)  # behind the snapshot by its number
+    part("event_id % 4 < 2", 5)  # again, with more
+    part("event_id % 4 = 3", 3, "other")
+    table.compact(6)
+    table.retire(6)
+    part("event_id % 4 = 2 and event_id % 3 = 0", 2)
+    raw = F.col("raw_data")
+    # At one extraction time the batch decides, then the row.
+    return table.current().select(*SUBJECT_KEYS, paths.as_float(raw, "$.value").alias("value"), "batch_seq", "row_seq")
+
+
+@query
+def bucket_upsert(spark, sf):
+    """Versions of a table in buckets by subject: each later batch has a few subjects, and rewrites their buckets alone."""
+    rows = _event_payloads(spark, sf)
+    root = shared_dir(spark, "bucket-upsert")
+    table = LandedTable(spark, f"{root}/events", SUBJECT_KEYS, bucket_by="pmod(subject_id, 16)")
+    early = "ts < timestamp_ntz'2024-01-16 00:00:00'"
+    table.append(_event_batch(rows.filter(early), "2024-01-16T02:00:00Z", 1), 1)
+    table.compact(1)
+    late = rows.filter(f"not ({early})")
+    for batch_seq, some in ((2, "pmod(subject_id, 16) < 3"), (3, "pmod(subject_id, 16) between 3 and 9"), (4, "pmod(subject_id, 16) > 9")):
+        table.append(_event_batch(late.filter(some), "2024-02-01T02:00:00Z", batch_seq), batch_seq)
+        if batch_seq < 4:
+            table.compact(batch_seq)
+    return _show_event(table.current())
+
+
+@query
+def change_feed(spark, sf):
+    """Keys that two versions of a table inserted and replaced, and those landed since."""
+    rows = _event_payloads(spark, sf)
+    table = LandedTable(spark, f"{shared_dir(spark, 'change-feed')}/events", SUBJECT_KEYS)
+    days = ["2024-01-08", "2024-01-16", "2024-01-24", "2100-01-01"]
+    for n, (start, end) in enumerate(zip(["1900-01-01", *days], days), 1):
+        within = rows.filter(f"ts >= timestamp_ntz'{start} 00:00:00' and ts < timestamp_ntz'{end} 00:00:00'")
+        table.append(_event_batch(within, f"{days[min(n, 3) - 1]}T02:00:00Z", n), n)
+        if n < 4:
+            table.compact(n)
+    table.retire(2)
+    label = lambda df, v: df.select(F.lit(v).alias("span"), *SUBJECT_KEYS, "change", F.col("row_seq").alias("event_id"))
+    return label(table.changes(1, 3), "between").unionByName(label(table.changes(3), "since"))
+
+
+@query
+def pending_details(spark, sf):
+    """As ``activity_runs_by_subject``, with what lacks details kept up to date from the changes of each version."""
+    root = shared_dir(spark, "pending-details")
+    table, feed = _subject_table(spark, root), _events_of_subjects(spark, sf)
+    first = feed.filter("event_type = 'error' and ts < timestamp_ntz'2024-01-28 00:00:00'")
+    # Details of some activities come before the feed does.
+    land_details(table, feed.filter("event_type = 'purchase' and recency % 2 = 0"), "2024-01-27T02:00:00Z", 1)
+    land_new_activities(table, first, "recency", "2024-01-28T02:00:00Z", 1)
+    table.compact(1)
+    land_new_activities(table, feed, "recency", "2024-02-01T02:00:00Z", 2)
+    table.compact(2)
+    answer = (
+        F.when(F.col("event_type") == "signup", F.lit("{}"))
+        .when(F.col("event_type") == "click", F.lit("{broken"))
+        .otherwise(F.col("payload"))
+    )
+    land_details(table, feed.withColumn("payload", answer), "2024-02-01T03:00:00Z", 3)
+    table.compact(3)
+    pending = spark.createDataFrame([], "subject_id bigint, natural_key string, has_wanted boolean, has_answer boolean")
+    for after, upto in ((None, 1), (1, 2), (2, 3)):
+        pending = discovery.update_pending(pending, table.changes(after, upto), SUBJECT_KEYS, "ACTIVITIES", "ACTIVITY_DETAILS")
+        path = f"{root}/pending/version={upto}"
+        pending.write.parquet(path)
+        pending = spark.read.parquet(path)
+    return pending.filter("has_wanted").select(*SUBJECT_KEYS)
+
+
+@query
+def cardio_refreshed(spark, sf):
+    """The stored cardio model after activities were added and replaced, refreshed for these alone."""
+    root = shared_dir(spark, "cardio-refreshed")
+    table = LandedTable(spark, f"{root}/details")
+    texts = payloads.activity_detail_payloads(spark, sf)
+    block = F.col("natural_key").cast("bigint")
+    stale = F.lit('{"metricDescriptors":[{"metricsIndex":0,"key":"directHeartRate"}],"activityDetailMetrics":[{"metrics":[1.0]}]}')
+    old = texts.filter(block % 3 != 1).withColumn("raw_text", F.when(block % 5 == 0, stale).otherwise(F.col("raw_text")))
+    table.append(parse_rows(old), 1)
+    table.compact(1)
+    table.append(parse_rows(texts.filter((block % 3 == 1) | (block % 5 == 0))), 2)
+    table.compact(2)
+    model = StoredModel(f"{root}/cardio", ["activity_id"], ["natural_key"], lambda rows: samples.cardio(samples.series_from_envelope(rows)))
+    model.refresh(table.changes(None, 1))
+    model.refresh(table.changes(1, 2))
+    return _utc(model.read(spark), "recorded_at")
+
+
 @query
 def import_models_join(spark, sf):
     """Two imported relations, joined in SQL under their aliases."""
@@ -561,6 +725,87 @@ def stream_land(spark, sf):
     return _show_event(table.current())
 
 
+@query
+def stream_dedupe(spark, sf):
+    """Events as a stream in which files come again, in one micro-batch and after a restart, and one comes late: rows landed by key."""
+    root = shared_dir(spark, "stream-dedupe")
+    table = LandedTable(spark, f"{root}/events", SUBJECT_KEYS)
+    events = payloads.table(spark, sf, "events")
+    inbox = f"{root}/inbox"
+
+    def put(*thirds: int) -> None:
+        for n in thirds:
+            events.filter(F.col("event_id") % 3 == n).write.mode("append").parquet(inbox)
+
+    def to_rows(batch: DataFrame, batch_seq: int) -> DataFrame:
+        staged = stage_rows(
+            batch.withColumn("subject_id", F.col("user_id")),
+            key=F.col("event_type"),
+            payload=F.struct("value", F.get_json_object("props", "$.k").cast("int").alias("k")),
+            source_method="get_events",
+            extracted_at=F.col("ts"),
+            batch_seq=batch_seq,
+            row_seq=F.col("event_id"),
+        )
+        return parse_rows(staged)
+
+    for thirds in ((0, 1, 0), (1, 2, 0)):
+        put(*thirds)
+        stream = without_replays(payload_stream(spark, inbox, events.schema, fmt="parquet"), events.columns)
+        land_stream(stream, to_rows, table, f"{root}/checkpoint").awaitTermination()
+    return table.log().groupBy(*SUBJECT_KEYS).agg(F.count(F.lit(1)).alias("rows_landed"), F.max("row_seq").alias("last_event"))
+
+
+@query
+def quarantine_redrive(spark, sf):
+    """Error events land broken, most can be mended later: they take their old place in time, and later events still win."""
+    rows = _event_payloads(spark, sf)
+    text = F.to_json("payload")
+    broken = (
+        F.when(F.col("event_type") != "error", text).when(F.col("event_id") % 5 == 0, F.substring(text, 1, 9)).otherwise(F.concat(F.lit("{"), text))
+    )
+    table = LandedTable(spark, f"{shared_dir(spark, 'quarantine-redrive')}/events", ("subject_id",))
+    for batch_seq, half in ((1, "event_id % 2 = 0"), (2, "event_id % 2 = 1")):
+        staged = stage_rows(
+            rows.filter(half), key=F.col("event_type"), payload=broken, source_method="get_events", extracted_at=payloads.EXTRACTED_AT,
+            batch_seq=batch_seq, row_seq=F.col("event_id"), payload_is_json=True,
+        )
+        table.append(parse_rows(staged, strict=False), batch_seq)
+    table.compact(2)
+    mended = F.regexp_replace("rejected_text", r"^\{\{", "{")
+    for run in (1, 1, 2):  # a run is repeated, and one finds nothing new
+        table.redrive(mended, run)
+    table.compact(3)
+    raw = F.col("raw_data")
+    last = table.current().select(
+        F.lit("current").alias("part"), "subject_id", "natural_key", paths.as_float(raw, "$.value").alias("value"), F.col("row_seq").alias("event_id")
+    )
+    left = table.still_rejected(["subject_id", "natural_key"])
+    left = left.select(F.lit("broken").alias("part"), "subject_id", "natural_key", F.lit(None).cast("double").alias("value"), F.col("row_seq").alias("event_id"))
+    return last.unionByName(left)
+
+
+@query
+def payload_drift(spark, sf):
+    """What the payloads of all staged collectors hold beside, or other than, what staging reads; steps change their format on 20 January."""
+    days = payloads.user_days(spark, sf)
+    changed = F.regexp_replace("payload", r'"totalSteps":(\d+)', r'"totalSteps":"$1","pushes":{"count":$1}')
+    landed = []
+    for name in ("STEPS", "BODY_BATTERY", "HRV", "RESTING_HEART_RATE", "SLEEP"):
+        fetched = payloads.day_payloads(spark, sf, name, days)
+        if name == "STEPS":
+            late = F.col("requested") >= F.lit("2024-01-20").cast("date")
+            fetched = fetched.withColumn("payload", F.when(late, changed).otherwise(F.col("payload")))
+        landed.append(normalize.normalize_daily(fetched).withColumn("collector_name", F.lit(name)))
+    for name in ("BODY_BATTERY_EVENTS", "TRAINING_READINESS"):
+        landed.append(normalize.normalize_daily(payloads.sync_payloads(spark, sf, name)).withColumn("collector_name", F.lit(name)))
+    landed += [payloads.activities(spark, sf).withColumn("collector_name", F.lit("ACTIVITIES"))]
+    landed += [payloads.activity_details(spark, sf).withColumn("collector_name", F.lit("ACTIVITY_DETAILS"))]
+    every = reduce(DataFrame.unionByName, [rows.select("collector_name", "raw_data") for rows in landed])
+    specs = {model.upper(): [(f.path, f.kind) for f in fields] for model, fields in staging.MODELS.items()}
+    return drift.payload_drift(every, specs)
+
+
 # Semi-structured projections
 
 
@@ -775,7 +1020,9 @@ def gps_capable(spark, sf):
 
 @query
 def gps_semi_join(spark, sf):
-    return samples.gps_samples_long(_long(spark, sf))
+    """The long rows that the GPS pivot is made of: its metrics, of GPS-capable activities."""
+    wanted = [samples.TIMESTAMP_KEY, *samples.GPS_METRICS.values()]
+    return samples.gps_samples_long(_long(spark, sf)).filter(F.col("metric_key").isin(wanted))
 
 
 @query
@@ -834,6 +1081,28 @@ def calendar_gap_days(spark, sf):
     )
 
 
+@query
+def coverage_islands(spark, sf):
+    """Each user's runs of days with events, and the gaps behind them."""
+    facts = payloads.events(spark, sf).select("user_id", "day")
+    return intervals.coverage_islands(facts, ["user_id"], "day")
+
+
+@query
+def open_intervals(spark, sf):
+    """What a backfill over all days still has to ask for, once the days that landed are taken out, and its range chunks."""
+    facts = payloads.events(spark, sf).select(F.col("user_id").alias("subject_id"), "day", "event_type")
+    since, today = _event_days(spark, sf)
+    # Errors landed as steps, and everything else as sleep.
+    name = F.when(F.col("event_type") == "error", "STEPS").otherwise("SLEEP").alias("collector_name")
+    keys = ["subject_id", "collector_name"]
+    answered = intervals.coverage_islands(facts.select("subject_id", "day", name), keys, "day")
+    none = facts.select("subject_id", name, F.lit(None).cast("date").alias("last_extracted_date")).filter("false")
+    windows = watermarks.fetch_windows(facts.select("subject_id").distinct(), none, today, since, "sleep,steps")
+    left = intervals.open_intervals(windows, answered, keys)
+    return watermarks.chunk_ranges(left).select(*keys, "chunk_start", "chunk_end")
+
+
 # Data tests
 
 

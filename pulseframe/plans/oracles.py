@@ -173,16 +173,112 @@ WHERE (c IS NULL OR event_id > c) AND event_type IN ('signup', 'click')
 """
 
 
-def _counts_by_table(days: str) -> str:
-    return f"""
-SELECT 'SLEEP' AS collector_name, count(DISTINCT (user_id, CAST(ts AS DATE))) AS num_rows, count(DISTINCT user_id) AS num_subjects
-FROM events WHERE {days} HAVING count(*) > 0
-UNION ALL SELECT name, count(*), count(DISTINCT user_id) FROM events, (VALUES ('ACTIVITIES'), ('ACTIVITY_DETAILS')) t(name) GROUP BY name
+_DAY_COUNTS = "SELECT count(*) AS num_rows, count(DISTINCT subject_id) AS num_subjects FROM ud"
+_KEYED_COUNTS = "SELECT name AS collector_name, count(*) AS num_rows, count(DISTINCT user_id) AS num_subjects FROM events, (VALUES ('ACTIVITIES'), ('ACTIVITY_DETAILS')) t(name) GROUP BY name"
+
+ORACLES["full_run"] = f"""
+WITH {_DAYS}, {_REG}
+SELECT collector_name, d.* FROM reg, ({_DAY_COUNTS}) d UNION ALL {_KEYED_COUNTS}
+"""
+ORACLES["mixed_writers"] = f"""
+WITH {_DAYS}, {_REG}
+SELECT collector_name, d.* FROM reg, ({_DAY_COUNTS}) d WHERE collector_name IN ('SLEEP', 'STEPS', 'HRV', 'FLOORS', 'WEIGH_INS')
+UNION ALL {_KEYED_COUNTS}
+"""
+
+# Empty lists are no rows, so a range payload that comes twice stages its days once.
+ORACLES["staged_counts"] = f"""
+WITH {_DAYS}, {_REG}
+SELECT CAST(1 AS INTEGER) AS run, collector_name, (SELECT count(*) FROM ud) AS rows_staged FROM reg
+UNION ALL SELECT 1, 'ACTIVITIES', count(*) FROM events
+UNION ALL SELECT 1, 'ACTIVITY_DETAILS', count(*) FILTER (event_type <> 'click') FROM events
+UNION ALL SELECT 2, collector_name, (SELECT count(*) FROM ud) FROM reg WHERE collector_name IN ('SLEEP', 'STEPS')
+UNION ALL SELECT 2, 'ACTIVITIES', 0
+UNION ALL SELECT 3, collector_name, 0 FROM reg WHERE collector_name IN ('HRV', 'STEPS')
+"""
+
+ORACLES["retired_snapshot"] = """
+WITH landed AS (
+  SELECT user_id AS subject_id, event_type AS natural_key, value, event_id AS row_seq,
+         CASE event_id % 4 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 5 END AS batch_seq,
+         event_id % 4 < 2 OR event_id % 4 = 2 AND event_id % 3 = 0 AS landed_again
+  FROM events
+)
+SELECT subject_id, natural_key, arg_max(value, (batch_seq, landed_again, row_seq)) AS value,
+       CAST(max(batch_seq) AS BIGINT) AS batch_seq, arg_max(row_seq, (batch_seq, landed_again, row_seq)) AS row_seq
+FROM landed GROUP BY subject_id, natural_key
+"""
+
+ORACLES["bucket_upsert"] = ORACLES["upsert_latest"]
+
+ORACLES["change_feed"] = """
+WITH part AS (
+  SELECT user_id AS subject_id, event_type AS natural_key, event_id,
+         CASE WHEN ts < TIMESTAMP '2024-01-08' THEN 1 WHEN ts < TIMESTAMP '2024-01-24' THEN 2 ELSE 3 END AS n
+  FROM events
+), latest AS (
+  SELECT subject_id, natural_key, n, max(event_id) AS event_id, min(n) OVER (PARTITION BY subject_id, natural_key) AS first_n
+  FROM part GROUP BY subject_id, natural_key, n
+)
+SELECT CASE n WHEN 2 THEN 'between' ELSE 'since' END AS span, subject_id, natural_key,
+       CASE WHEN first_n < n THEN 'replaced' ELSE 'inserted' END AS change, event_id
+FROM latest WHERE n > 1
 """
 
+ORACLES["pending_details"] = """
+WITH cut AS (SELECT user_id, max(event_id) AS c FROM events WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-28' GROUP BY user_id)
+SELECT e.user_id AS subject_id, CAST(event_id AS VARCHAR) AS natural_key
+FROM events e LEFT JOIN cut ON e.user_id = cut.user_id
+WHERE (c IS NULL OR event_id > c) AND event_type IN ('signup', 'click')
+"""
 
-ORACLES["mixed_writers"] = _counts_by_table("ts >= TIMESTAMP '2023-12-01' AND ts < TIMESTAMP '2024-02-02'")
-ORACLES["full_run"] = _counts_by_table("ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-02-02'")
+ORACLES["new_until_short_page"] = f"""
+WITH paged AS (
+  SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) - 1) // 10 AS page FROM events
+), shown AS (SELECT * FROM paged WHERE event_id % 97 <> 0 AND (user_id + page) % 9 <> 8),
+sizes AS (
+  SELECT u.user_id, p.page, count(s.event_id) AS n
+  FROM (SELECT user_id, max(page) AS pages FROM paged GROUP BY user_id) u
+  JOIN (SELECT unnest(range(0, 1 + (SELECT max(page) + 1 FROM paged))) AS page) p ON p.page <= u.pages + 1
+  LEFT JOIN shown s ON s.user_id = u.user_id AND s.page = p.page GROUP BY ALL
+), stop AS (SELECT user_id, min(page) AS last_page FROM sizes WHERE n < 10 GROUP BY user_id),
+cut AS (SELECT user_id, max(event_id) AS c FROM shown WHERE {_KNOWN} AND event_id % 4 = 0 GROUP BY user_id)
+SELECT CAST(event_id AS VARCHAR) AS activity_id, s.user_id, event_id AS recency, s.page
+FROM shown s JOIN stop USING (user_id) LEFT JOIN cut ON cut.user_id = s.user_id
+WHERE s.page <= last_page AND (c IS NULL OR event_id > c)
+"""
+
+ORACLES["stream_dedupe"] = """
+SELECT user_id AS subject_id, event_type AS natural_key, count(*) AS rows_landed, max(event_id) AS last_event FROM events GROUP BY user_id, event_type
+"""
+
+# Odd ids landed in the later batch.
+ORACLES["quarantine_redrive"] = """
+WITH good AS (SELECT * FROM events WHERE event_type <> 'error' OR event_id % 5 <> 0)
+SELECT 'current' AS part, user_id AS subject_id, arg_max(event_type, (event_id % 2, event_id)) AS natural_key,
+       arg_max(value, (event_id % 2, event_id)) AS value, arg_max(event_id, (event_id % 2, event_id)) AS event_id
+FROM good GROUP BY user_id
+UNION ALL
+SELECT 'broken', user_id, event_type, NULL, event_id FROM events WHERE event_type = 'error' AND event_id % 5 = 0
+"""
+
+# Which fields the payload recipes fill, and as what, beside what staging reads.
+ORACLES["payload_drift"] = """
+WITH found(collector_name, path, finding, expected, found, seen) AS (
+  VALUES ('ACTIVITIES', '$.deviceId', 'changed', 'string', 'number', (SELECT count(*) FROM orders)),
+         ('ACTIVITIES', '$.maxHR', 'changed', 'number', 'string', (SELECT count(*) FROM orders)),
+         ('SLEEP', '$.dailySleepDTO.sleepWindowConfirmed', 'changed', 'boolean', 'string', (SELECT count(*) FROM events)),
+         ('BODY_BATTERY', '$.date', 'unknown', NULL, 'string', (SELECT count(*) FROM events)),
+         ('STEPS', '$.calendarDate', 'unknown', NULL, 'string', (SELECT count(*) FROM events)),
+         ('STEPS', '$.pushes', 'unknown', NULL, 'object', (SELECT count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-20')),
+         ('STEPS', '$.totalSteps', 'changed', 'number',
+          CASE WHEN (SELECT min(ts) FROM events) < TIMESTAMP '2024-01-20' THEN 'mixed' ELSE 'string' END,
+          (SELECT count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-20')),
+         ('BODY_BATTERY_EVENTS', '$[*]', 'unknown', NULL, 'object', (SELECT count(*) FROM events)),
+         ('TRAINING_READINESS', '$[*].event_id', 'unknown', NULL, 'number', (SELECT count(*) FROM events))
+)
+SELECT collector_name, path, finding, expected, found FROM found WHERE seen > 0
+"""
 
 ORACLES["import_models_join"] = """
 SELECT c_nationkey, count(*) AS num_orders, min(o_orderkey) AS first_order
@@ -514,9 +610,12 @@ SELECT DISTINCT CAST(event_id // 100 AS VARCHAR) AS activity_id FROM events WHER
 
 ORACLES["gps_semi_join"] = f"""
 WITH {_LONG}
-SELECT * FROM long WHERE activity_id IN (SELECT activity_id FROM long WHERE metric_key = 'directLatitude')
+SELECT * FROM long WHERE CAST(activity_id AS BIGINT) % 3 <> 0 AND metric_key IN
+  ('directTimestamp', 'directLatitude', 'directLongitude', 'directElevation', 'directSpeed', 'directVerticalSpeed')
 """
 
+ORACLES["cardio_refreshed"] = ORACLES["cardio_pivot"]
+
 ORACLES["gps_pivot"] = ORACLES["gps_pivot_long"] = f"""
 WITH {_SAMPLES}
 SELECT {_SAMPLE_SK}, activity_id, sample_index, k - 50 AS latitude,
@@ -588,6 +687,32 @@ SELECT user_id, d AS date_day, strftime(d, '%a') AS day_of_week_name_short,
 FROM expected WHERE (user_id, d) NOT IN (SELECT user_id, day FROM ev)
 """
 
+_ISLANDS = """numbered AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY user_id ORDER BY day) AS INTEGER) AS run FROM (SELECT DISTINCT user_id, day FROM ev)),
+islands AS (SELECT user_id, min(day) AS start_date, max(day) AS end_date, count(*) AS num_days FROM numbered GROUP BY user_id, run)"""
+
+ORACLES["coverage_islands"] = f"""
+WITH {_EV}, {_ISLANDS}
+SELECT user_id, start_date, end_date, num_days,
+       CAST(lead(start_date) OVER (PARTITION BY user_id ORDER BY start_date) - end_date - 1 AS INTEGER) AS gap_days
+FROM islands
+"""
+
+ORACLES["open_intervals"] = f"""
+WITH {_EV}, bounds AS (SELECT min(day) AS lo, max(day) AS hi FROM ev),
+asked AS (
+  SELECT user_id, name, CAST(d AS DATE) AS day
+  FROM (SELECT DISTINCT user_id FROM ev), (VALUES ('STEPS'), ('SLEEP')) t(name),
+       (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM bounds)
+), left_over AS (
+  SELECT user_id, name, day FROM asked
+  EXCEPT SELECT user_id, CASE WHEN event_type = 'error' THEN 'STEPS' ELSE 'SLEEP' END, day FROM ev
+), runs AS (
+  SELECT *, day - CAST(row_number() OVER (PARTITION BY user_id, name ORDER BY day) AS INTEGER) AS run FROM left_over
+), spans AS (SELECT user_id, name, min(day) AS lo, max(day) AS hi FROM runs GROUP BY user_id, name, run),
+starts AS (SELECT *, CAST(unnest(generate_series(lo, hi, INTERVAL 27 DAY)) AS DATE) AS chunk_start FROM spans)
+SELECT user_id AS subject_id, name AS collector_name, chunk_start, CAST(least(chunk_start + 26, hi) AS DATE) AS chunk_end FROM starts
+"""
+
 # Data tests
 
 ORACLES["test_unique_failures"] = """

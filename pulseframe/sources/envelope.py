@@ -28,8 +28,10 @@ ENVELOPE_COLUMNS = ENVELOPE_SCHEMA.fieldNames()
 # Columns that may accompany the four fixed ones.
 CONTEXT_COLUMNS = ["subject_id", "collector_name"]
 BATCH_COLUMN, ROW_COLUMN = "batch_seq", "row_seq"
+# Of a batch that was landed again after a snapshot had taken it in.
+REVISION_COLUMN = "revision"
 # Together these place a row in time; later rows win.
-ORDER_COLUMNS = ["extracted_at", BATCH_COLUMN, ROW_COLUMN]
+ORDER_COLUMNS = ["extracted_at", BATCH_COLUMN, REVISION_COLUMN, ROW_COLUMN]
 
 
 def context_columns(df: DataFrame) -> list[str]:

@@ -8,7 +8,7 @@ the keyed upsert when the table is read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +38,18 @@ def payload_stream(
     return reader.load(path).select("*", F.col("_metadata.file_modification_time").alias("landed_at"))
 
 
+def without_replays(payloads: DataFrame, columns: Sequence[str], within: str = "7 days") -> DataFrame:
+    """``payloads`` less those that equal one that arrived before in all ``columns``, in whatever file and micro-batch.
+
+    What arrived is kept as state for ``within`` the time of arrival, and dropped after that; a replay that
+    comes later lands once more and is settled by the keyed upsert. Time is that of the micro-batch,
+    which is noted in the checkpoint: a payload about a long gone day, or in an old file, is
+    never late, so none is dropped for its age.
+    """
+    arrived = payloads.withColumn("_arrived_at", F.current_timestamp()).withWatermark("_arrived_at", within)
+    return arrived.dropDuplicatesWithinWatermark(list(columns)).drop("_arrived_at")
+
+
 def land_stream(
     payloads: DataFrame,
     to_rows: Callable[[DataFrame, int], DataFrame],
