@@ -5,7 +5,8 @@ item that occurs in a document with at most ``edits`` character edits shares at
 ``window + 1 - q * (edits + 1)`` of its q-grams with it, and all of these lie within ``edits``
 neighbouring diagonals (document place minus item place). Diagonals are counted in bands of twice
 that width that overlap by half, so one band holds them all; only windows of bands that reach the
-count are aligned, by banded edit distance, and kept if the distance is within ``edits``.
+count are aligned, by banded edit distance, and kept if the distance is within ``edits``. Every
+document has bands of its own, so what is found does not depend on which ones are scanned together.
 
 The benchmark is a stated query set: its items are dealt into blocks of a proven size, and each
 block's index goes to the tasks that scan the documents.
@@ -101,11 +102,11 @@ class Index:
         self.least = min([n for n in self.needs if n > 0], default=0)
         self.reach = max([w + e for w, e in zip(self.windows, self.edits)], default=0)
 
-    def copied(self, i: int, w: int, flat: np.ndarray, windows: np.ndarray, diagonals: np.ndarray) -> tuple[int, int] | None:
-        """The first window that stands unchanged on one of the diagonals, and where it ends."""
+    def copied(self, i: int, w: int, text: np.ndarray, windows: np.ndarray, diagonals: np.ndarray) -> tuple[int, int] | None:
+        """The first window that stands unchanged on one of the diagonals of a text, and where it ends."""
         for s in windows:
             for d in diagonals:
-                if d + s >= 0 and np.array_equal(flat[d + s : d + s + w], self.points[i][s : s + w]):
+                if d + s >= 0 and np.array_equal(text[d + s : d + s + w], self.points[i][s : s + w]):
                     return int(s), int(d + s + w)
         return None
 
@@ -137,11 +138,17 @@ class Index:
         item, place = self.item[post], self.place[post]
         half = self.half[item]
         where = np.repeat(at, counts)
+        text = np.repeat(np.searchsorted(begins, at, "right") - 1, counts)
+        where = where - begins[text]  # places within the text
         diagonal = (where - place) // half  # in half bands
+        # Item, text and band side by side in one number: a chunk of many texts is short, a long one is a text alone.
+        reach = max([len(p) for p in self.points], default=0) + 2
+        band_bits, text_bits = int(2 * (len(flat) + reach)).bit_length() + 1, len(texts).bit_length()
+        whose = (item.astype(np.int64) << (band_bits + text_bits)) + (text.astype(np.int64) << band_bits) + len(flat) + reach
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for shift in (0, 1):  # bands of twice the width, overlapping by half
             band = (diagonal + shift) // 2 * 2 - shift
-            key = (item.astype(np.int64) << 40) + band + (1 << 39)
+            key = whose + band
             # Few bands hold enough: count them in hashed bins first, and sort what is left.
             bins = ((key.astype(np.uint64) * _ODD) >> np.uint64(64 - _BITS)).astype(np.int64)
             left = np.flatnonzero(np.bincount(bins, minlength=1 << _BITS)[bins] >= self.need[item])
@@ -157,18 +164,16 @@ class Index:
                 windows = windows[shared >= self.need[i]]
                 if not len(windows):
                     continue
-                d = int(np.searchsorted(begins, where[own[0]], "right") - 1)
+                d = int(text[own[0]])
                 if best.get((d, i), (1,))[0] == 0 and best[d, i][1] <= windows[0]:
                     continue
-                if found := self.copied(i, w, flat, windows[shared[shared >= self.need[i]] == w + 1 - self.q], np.unique(where[own] - place[own])):
-                    found = (0, found[0], found[1] - int(begins[d]))
-                    best[d, i] = min(found, best.get((d, i), found))
+                if found := self.copied(i, w, points[d], windows[shared[shared >= self.need[i]] == w + 1 - self.q], np.unique(where[own] - place[own])):
+                    best[d, i] = min((0, *found), best.get((d, i), (0, *found)))
                     continue
                 width = int(self.half[i])
-                cost, end = banded(self.points[i], flat, windows, w, int(band[own[0]]) * width, 2 * width)
+                cost, end = banded(self.points[i], points[d], windows, w, int(band[own[0]]) * width, 2 * width)
                 for k in np.flatnonzero(cost <= e):
-                    d = int(np.searchsorted(begins, end[k] - 1, "right") - 1)
-                    found = (int(cost[k]), int(windows[k]), int(end[k] - begins[d]))
+                    found = (int(cost[k]), int(windows[k]), int(end[k]))
                     best[d, i] = min(found, best.get((d, i), found))
         for (d, i), (cost, start, end) in sorted(best.items()):
             yield d, self.ids[i], cost, start, end
@@ -234,7 +239,11 @@ def contamination(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", q: int = Q, window: int = WINDOW, edit_rate: float = EDIT_RATE) -> DataFrame:
-    """The rows of ``docs``, all their columns, whose text meets no item; nothing is shuffled."""
+    """The rows of ``docs``, all their columns, whose text meets no item; nothing is shuffled.
+
+    Null and empty texts meet nothing and stay, repeated rows all stay or go, and an empty benchmark
+    or empty table changes nothing. Texts of any length are scanned whole.
+    """
     at = docs.columns.index(text_col)
 
     def keep(items):

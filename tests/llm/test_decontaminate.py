@@ -4,7 +4,7 @@ import random
 
 import pytest
 from helpers_llm import AWKWARD, documents
-from pulseframe.llm.decontaminate import EDIT_RATE, Q, WINDOW, clean, contamination, normal
+from pulseframe.llm.decontaminate import EDIT_RATE, Index, Q, WINDOW, clean, contamination, normal
 
 ITEMS = "item_id long, text string"
 
@@ -94,3 +94,39 @@ def test_repeated_rows_and_passages_that_span_two_texts(spark):
     got = sorted(r["doc_id"] for r in contamination(documents(spark, docs), spark.createDataFrame([(1, item)], ITEMS)).collect())
     want = sorted(d for d, t in docs if brute(item, t) is not None)
     assert got == want and got[:2] == [1, 1]
+
+
+def scans(items, texts, group):
+    """What is found when ``group`` texts are scanned together."""
+    index = Index([(i, normal(t)) for i, t in items], Q, WINDOW, EDIT_RATE)
+    return sorted((begin + d, *rest) for begin in range(0, len(texts), group) for d, *rest in index.scan([normal(t) for t in texts[begin : begin + group]]))
+
+
+def test_a_passage_is_found_in_the_text_that_holds_it():
+    """A chance q-gram on the passage's diagonal in the text before it draws nothing to that text."""
+    rng = random.Random(11)
+    item = normal(words(rng, 120))
+    middle = len(item) // 2
+    passage = item[middle : middle + 90]
+    clean_text = "q" * 400
+    # The item's diagonal of the passage at the start of the second text runs through the first text.
+    gap = 1 + int(EDIT_RATE * WINDOW)
+    start = len(clean_text) + gap - middle
+    at = next(p for p in range(20, middle - 20) if 0 <= start + p < len(clean_text) - Q)
+    first = clean_text[: start + at] + item[at : at + Q] + clean_text[start + at + Q :]
+    texts = [first, passage + " zz" * 40, "nothing of it"]
+    found = scans([(1, item)], texts, 3)
+    assert [f[0] for f in found] == [1] and found == scans([(1, item)], texts, 1)
+
+
+def test_results_do_not_depend_on_the_batch():
+    rng = random.Random(12)
+    items = [(i, words(rng, rng.choice([14, 60, 200]))) for i in range(5)]
+    texts = []
+    for d in range(60):
+        _, item = items[rng.randrange(5)]
+        cut = rng.randrange(max(1, len(item) - 100))
+        part = changed(rng, item[cut : cut + rng.choice([70, 90, 140])], rng.randrange(9)) if d % 3 else ""
+        texts.append("" if d % 17 == 0 else part if d % 5 == 0 else words(rng, rng.randrange(8)) + " " + part + " " + words(rng, rng.randrange(8)))
+    one = scans(items, texts, 1)
+    assert one and all(scans(items, texts, n) == one for n in (2, 7, 60))
