@@ -12,9 +12,10 @@ order in both texts, within the diagonal band outside which the similarity canno
 
 Equal texts are one text from the start. The texts of one sketch bucket are not paired with each
 other but with a member picked by hash, and again within those that also agree in the next sketch: as many pairs as rows,
-whatever the size of the bucket. Buckets that are still not one group are then dealt with again:
-all pairs across their groups, in large ones block by block, where a block leaves out what its links
-already join. So no candidate pair is lost but those that other links make one group anyway.
+whatever the size of the bucket. Buckets that are still not one group are then dealt with again: all
+pairs across their groups in small ones; the texts of large ones, which often share a passage and nothing
+else, are paired where they share one of their rarest k-mers, as all pairs similar enough do.
+So no candidate pair is lost but those that other links make one group anyway.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from __future__ import annotations
 from bisect import bisect_left
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -34,9 +34,10 @@ K = 5
 ELL = 3
 SKETCHES = 16
 SIMILARITY = 0.8
-# A bucket of so few texts is finished by a join with itself, each larger one block by block.
+# A bucket of so few texts is finished by a join with itself, larger ones by their rarest k-mers.
 SMALL_BUCKET = 16
-BLOCK = 200
+# Classes of k-mers whose frequencies are counted.
+RARITY = 1 << 16
 _WORDS_KEPT = 200_000
 _U = np.uint64
 
@@ -185,69 +186,67 @@ def _linked(pairs: DataFrame, words: DataFrame, k: int, least: float) -> DataFra
     return store(sides.mapInArrow(_verified(k, least), "a binary, b binary"), "links")
 
 
-def _across(k: int, least: float):
-    """Links of one block of a bucket: ``outs`` against ``ins``, both with their group before."""
-
-    def run(outs: pd.DataFrame, ins: pd.DataFrame) -> pd.DataFrame:
-        a, b = [], []
-        if len(outs) and len(ins):
-            parent: dict[bytes, bytes] = {}
-
-            def find(x):
-                while parent.setdefault(x, x) != x:
-                    parent[x] = parent[parent[x]]
-                    x = parent[x]
-                return x
-
-            t = int(outs["t"].iloc[0])
-            drawn = np.array(ins["s"].tolist())
-            mers = [labelled(np.frombuffer(w, dtype="<u4"), k) for w in ins["words"]]
-            ids, groups = list(ins["g"]), list(ins["c"])
-            order = list(range(len(ids)))
-            for g, c, s, w in zip(outs["g"], outs["c"], outs["s"], outs["words"]):
-                # Two texts that agree in several sketches are compared in the bucket of the first one.
-                here = (drawn == np.array(s)).argmax(axis=1) == t
-                own = None
-                for i in [i for i in order if here[i]]:
-                    if find(c) == find(groups[i]):
-                        continue  # another link already joins them
-                    if own is None:
-                        own = labelled(np.frombuffer(w, dtype="<u4"), k)
-                    if similarity(own, mers[i], least):
-                        a.append(g), b.append(ids[i])
-                        parent[find(c)] = find(groups[i])
-                        order.remove(i)
-                        order.insert(0, i)  # a text that many link to comes first
-        return pd.DataFrame({"a": pd.Series(a, dtype=object), "b": pd.Series(b, dtype=object)})
+def _rare_counts(words: DataFrame, k: int) -> np.ndarray:
+    """How many texts' k-mers fall into each of ``RARITY`` classes of hashes: a table of fixed size."""
+
+    def count(batches):
+        total = np.zeros(RARITY, dtype=np.int64)
+        for batch in batches:
+            for w in batch.column(0):
+                mers = labelled(np.frombuffer(w.as_py(), dtype="<u4"), k)
+                total += np.bincount((mers % _U(RARITY)).astype(np.int64), minlength=RARITY)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "n"])
+
+    found = words.select("words").mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()  # RARITY rows at most
+    out = np.zeros(RARITY, dtype=np.int64)
+    for r in found:
+        out[r["at"]] = r["n"]
+    return out
+
+
+def _prefix_rows(k: int, least: float, counts: np.ndarray):
+    """The rarest k-mers of each text, so many that two texts of the least similarity must share one."""
+
+    def run(batches):
+        for batch in batches:
+            sizes, rarest = [], []
+            for w in batch.column(2):
+                mers = labelled(np.frombuffer(w.as_py(), dtype="<u4"), k)
+                n = len(mers)
+                order = np.lexsort((mers, counts[(mers % _U(RARITY)).astype(np.int64)]))  # one order for all texts
+                sizes.append(n)
+                rarest.append(mers[order[: n - int(np.ceil(least * n - 1e-9)) + 1]].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(rarest, pa.list_(pa.int64()))], names=["g", "c", "n", "rarest"]
+            )
 
     return run
 
 
-def _block_links(rows: DataFrame, words: DataFrame, k: int, least: float) -> DataFrame:
-    """Links across the groups of large buckets, ``rows(t, key, g, c, n, s)``.
+def rare_pairs(texts: DataFrame, k: int, least: float) -> DataFrame:
+    """Pairs ``a, b`` across the groups of ``texts(g, c, words)`` that may reach the similarity: no other pair can.
 
-    Those outside a bucket's largest group meet all of it, in blocks of ``BLOCK`` by ``BLOCK`` texts.
+    Such texts share ``least / (1 + least)`` of their k-mers, so in any order of all k-mers they
+    share one of the first few of each: of n k-mers ``n - ceil(least n) + 1`` of the longer text and
+    ``n - ceil(2 least / (1 + least) n) + 1`` of the shorter one. The order goes by rarity, so a passage that many
+    texts have comes last in all of them and brings no two together. What is left of both behind a shared k-mer must
+    be enough as well.
     """
-    sizes = rows.groupBy("t", "key", "c").agg(F.count("*").alias("n"))
-    most = sizes.groupBy("t", "key").agg(
-        F.max_by("c", F.struct("n", "c")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("largest")
-    )
-    most = most.select("t", "key", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("ins"), F.ceil((F.col("all") - F.col("largest")) / BLOCK).cast("int").alias("outs"))
-    rows = store(rows.select("t", "key", "g", "c", "s").join(most, ["t", "key"]).join(words, "g"), "members")
-
-    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
-        """Each row in one block of its own side and in every block of the other."""
-        at = {own: F.pmod(F.xxhash64("g"), F.col(own)).cast("int"), other: F.explode(F.sequence(F.lit(0), F.col(other) - 1))}
-        return side.select("t", "key", "g", "c", "s", "words", *[at[x].alias(f"{x}_block") for x in ("ins", "outs")])
-
-    outs = dealt(rows.filter("c <> main"), "outs", "ins")
-    ins = dealt(rows, "ins", "outs")
-    ins = ins.toDF(*ins.columns)  # columns of their own beside those of the other side
-    keys = ["t", "key", "outs_block", "ins_block"]
-    found = outs.groupBy(*keys).cogroup(ins.groupBy(*keys)).applyInPandas(_across(k, least), "a binary, b binary")
-    links = store(found, "links")
+    rows = texts.select("g", "c", "words").mapInArrow(_prefix_rows(k, least, _rare_counts(texts, k)), "g binary, c binary, n long, rarest array<long>")
+    rows = rows.select("g", "c", "n", F.posexplode("rarest").alias("i", "x"))
+    # Most of the rarest k-mers have one text alone, or texts of one group.
+    met = rows.groupBy("x").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("x")
+    rows = store(rows.join(met, "x"), "rarest")
+    share = least / (1 + least)
+    index = rows.filter(F.col("i") <= F.col("n") - F.ceil(2 * share * F.col("n") - 1e-9)).toDF("x", "a", "ca", "na", "ia")
+    probe = rows.toDF("x", "b", "cb", "nb", "ib")
+    shorter = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    enough = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= share * (F.col("na") + F.col("nb")) - 1e-9
+    pairs = index.join(probe, "x").filter((F.col("ca") != F.col("cb")) & shorter & (F.col("na") >= least * F.col("nb") - 1e-9) & enough)
+    found = store(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     drop_stored(rows)
-    return links
+    return found
 
 
 def text_key(text: Column) -> Column:
@@ -297,10 +296,14 @@ def near_duplicates(
     across = x.join(y, ["t", "key"]).filter("a < b and ca <> cb").select("a", "b")
     again = store(across.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
     more = _linked(again, words, k, least)
-    blocks = _block_links(many.join(sketched, "g"), words, k, least)
-    for done in (full, open_rows, words, sketched):
+    mixed_texts = store(many.select("g", "c").distinct().join(words, "g"), "mixed")
+    rare = rare_pairs(mixed_texts, k, least)
+    rest = _linked(rare.join(pairs, ["a", "b"], "left_anti").join(again, ["a", "b"], "left_anti"), mixed_texts.select("g", "words"), k, least)
+    every = store(links.union(more).union(rest), "links")
+    for done in (full, open_rows, words, sketched, pairs, again, mixed_texts, rare, links, more, rest):
         drop_stored(done)
-    groups = components(links.union(more).union(blocks))
+    groups = components(every)
+    drop_stored(every)
     named = classes.join(groups.withColumnRenamed("id", "g"), "g", "left").withColumn("c", F.coalesce("component", "g"))
     least_id = named.groupBy("c").agg(F.min("first").alias("cluster_id"))
     named = named.join(least_id, "c").select("g", F.col("first").alias("class_id"), "cluster_id")

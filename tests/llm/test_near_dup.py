@@ -126,3 +126,30 @@ def test_awkward_rows(spark):
 
 def test_empty_table(spark):
     assert near_dup.near_duplicates(documents(spark, [])).count() == 0
+
+
+def test_unrelated_texts_with_one_shared_passage(spark):
+    """They agree in many sketches; no pair of them shares a rare k-mer, so none is aligned."""
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(70))
+    texts = [f"{passage} " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(40)) for _ in range(5000)]
+    texts[4321] = texts[17][:-9] + " other"
+    got = by_id(near_dup.near_duplicates(documents(spark, list(enumerate(texts)))))
+    assert {d: r["cluster_id"] for d, r in got.items() if r["cluster_id"] != d} == {4321: 17}
+
+
+def test_rare_pairs_hold_every_pair_that_is_similar_enough(spark):
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 5000, 120).astype("<u4")
+    rows = []
+    for n in range(90):
+        w = base.copy()
+        at = rng.random(len(w)) < rng.choice([0.01, 0.03, 0.3])
+        w[at] = rng.integers(0, 5000, int(at.sum()))
+        w = np.delete(w, rng.integers(0, len(w), rng.integers(0, 15)))
+        rows.append((f"{n:03}".encode(), f"{n % 7}".encode(), w.astype("<u4").tobytes()))
+    found = {(bytes(r["a"]), bytes(r["b"])) for r in near_dup.rare_pairs(spark.createDataFrame(rows, "g binary, c binary, words binary"), 5, 0.8).collect()}
+    mers = {g: near_dup.labelled(np.frombuffer(w, dtype="<u4"), 5) for g, _, w in rows}
+    similar = {(a, b) for a, ca, _ in rows for b, cb, _ in rows if a < b and ca != cb and near_dup.similarity(mers[a], mers[b], 0.8)}
+    assert similar and similar <= found
+    assert len(found) < 90 * 89 / 2 / 2
