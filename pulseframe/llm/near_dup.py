@@ -21,6 +21,7 @@ So no candidate pair is lost but those that other links make one group anyway.
 from __future__ import annotations
 
 from bisect import bisect_left
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ SIMILARITY = 0.8
 SMALL_BUCKET = 16
 # Classes of k-mers whose frequencies are counted.
 RARITY = 1 << 16
+# Longs of a text's parity bits.
+PARITY = 16
 _WORDS_KEPT = 200_000
 _U = np.uint64
 
@@ -206,20 +209,21 @@ def _rare_counts(words: DataFrame, k: int) -> np.ndarray:
 
 
 def _prefix_rows(k: int, least: float, counts: np.ndarray):
-    """The rarest k-mers of each text, so many that two texts of the least similarity must share one."""
+    """The rarest k-mers of each text, so many that two texts of the least similarity must share one, and its parity bits."""
 
     def run(batches):
         for batch in batches:
-            sizes, rarest = [], []
+            sizes, rarest, parity = [], [], []
             for w in batch.column(2):
                 mers = labelled(np.frombuffer(w.as_py(), dtype="<u4"), k)
                 n = len(mers)
                 order = np.lexsort((mers, counts[(mers % _U(RARITY)).astype(np.int64)]))  # one order for all texts
                 sizes.append(n)
                 rarest.append(mers[order[: n - int(np.ceil(least * n - 1e-9)) + 1]].view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(rarest, pa.list_(pa.int64()))], names=["g", "c", "n", "rarest"]
-            )
+                odd = np.bincount((mers >> _U(32) & _U(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+                parity.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (rarest, parity)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), *lists], names=["g", "c", "n", "rarest", "parity"])
 
     return run
 
@@ -231,21 +235,27 @@ def rare_pairs(texts: DataFrame, k: int, least: float) -> DataFrame:
     share one of the first few of each: of n k-mers ``n - ceil(least n) + 1`` of the longer text and
     ``n - ceil(2 least / (1 + least) n) + 1`` of the shorter one. The order goes by rarity, so a passage that many
     texts have comes last in all of them and brings no two together. What is left of both behind a shared k-mer must
-    be enough as well.
+    be enough as well, and few k-mers may be in one of the two alone: there are at least as many as places
+    at which the texts' parity bits differ, the parities of the counts of k-mers by hash.
     """
-    rows = texts.select("g", "c", "words").mapInArrow(_prefix_rows(k, least, _rare_counts(texts, k)), "g binary, c binary, n long, rarest array<long>")
-    rows = rows.select("g", "c", "n", F.posexplode("rarest").alias("i", "x"))
+    prefixes = texts.select("g", "c", "words").mapInArrow(_prefix_rows(k, least, _rare_counts(texts, k)), "g binary, c binary, n long, rarest array<long>, parity array<long>")
+    prefixes = store(prefixes, "prefixes")
+    rows = prefixes.select("g", "c", "n", F.posexplode("rarest").alias("i", "x"))
     # Most of the rarest k-mers have one text alone, or texts of one group.
     met = rows.groupBy("x").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("x")
-    rows = store(rows.join(met, "x"), "rarest")
+    rows = store(rows.join(met, "x").join(prefixes.select("g", "parity"), "g").select("x", "g", "c", "n", "i", "parity"), "rarest")
     share = least / (1 + least)
-    index = rows.filter(F.col("i") <= F.col("n") - F.ceil(2 * share * F.col("n") - 1e-9)).toDF("x", "a", "ca", "na", "ia")
-    probe = rows.toDF("x", "b", "cb", "nb", "ib")
+    index = rows.filter(F.col("i") <= F.col("n") - F.ceil(2 * share * F.col("n") - 1e-9)).toDF("x", "a", "ca", "na", "ia", "pa")
+    probe = rows.toDF("x", "b", "cb", "nb", "ib", "pb")
     shorter = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     enough = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= share * (F.col("na") + F.col("nb")) - 1e-9
-    pairs = index.join(probe, "x").filter((F.col("ca") != F.col("cb")) & shorter & (F.col("na") >= least * F.col("nb") - 1e-9) & enough)
+    apart = reduce(lambda a, b: a + b, [F.bit_count(F.get("pa", F.lit(i)).bitwiseXOR(F.get("pb", F.lit(i)))) for i in range(PARITY)])
+    few_apart = apart <= (1 - 2 * share) * (F.col("na") + F.col("nb")) + 1e-9
+    may_be = (F.col("ca") != F.col("cb")) & shorter & (F.col("na") >= least * F.col("nb") - 1e-9) & enough & few_apart
+    pairs = index.join(probe, "x").filter(may_be)
     found = store(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     drop_stored(rows)
+    drop_stored(prefixes)
     return found
 
 
