@@ -9,9 +9,12 @@ as one, so a large group of near copies does not outvote the small ones; samplin
 ``PROBE_GROUPS`` linked ones are met. Where fewer are, vectors planted at the bound itself decide.
 Candidates are verified by the cosine in double precision.
 
-Equal vectors are one vector that counts several times. A cell's rows are dealt into blocks of a
-fixed size, and queries meet rows block by block as matrices, so a cell with a third of all vectors
-becomes many tasks of one size. A block returns counts and, for each of its local groups, one edge a
+Equal vectors are one vector that counts several times. Neighbouring cells with the same first code
+form a group of about ``BLOCK`` rows, and a vector is sent once to each group it looks into, with the list of
+its cells there: the codes it visits grow with the square root of its cells, and so do its copies. Of two
+vectors the one with the smaller id looks for the other, so every pair is met once. Both sides of a
+group are dealt into blocks of a fixed size, so a cell with a third of all vectors
+becomes many tasks of one size. A block returns counts and, for each cell's local groups, one edge a
 member, never its pairs.
 """
 
@@ -40,7 +43,11 @@ PROBE_GROUPS = 200
 DISTANCE_STEP = 1 / 4096
 PER_CELL = 50
 MOST_CODES = 1024
-BLOCK = 1500
+# A walk visits so many cells at least, where there are as many.
+LEAST_PROBES = 64
+# Rows of one side of a block, and of a group of cells, about.
+BLOCK = 2000
+_U = np.uint64
 
 
 @dataclass
@@ -93,12 +100,18 @@ def codebook(x: np.ndarray, codes: int, rounds: int = 12) -> np.ndarray:
     return centers
 
 
-def units(column: pa.Array) -> np.ndarray:
+def unit_rows(x: np.ndarray) -> np.ndarray:
     """Rows as unit vectors in double precision."""
-    x = np.array(column.to_pylist(), dtype=np.float64)
+    x = x.astype(np.float64)
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
+def units(column: pa.Array) -> np.ndarray:
+    """:func:`unit_rows` of a column of lists of one length."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return unit_rows(column.flatten().to_numpy().reshape(len(column), -1)) if len(column) else np.empty((0, 0))
+
+
 def usable(vectors: DataFrame, vec_col: str) -> DataFrame:
     """Rows whose vector has a direction: not null or empty, all components finite, not all zero."""
     v = F.col(vec_col)
@@ -202,7 +215,7 @@ def probes_of(grid: Grid, rows: DataFrame, count: int, ids: np.ndarray, x: np.nd
     if met < PROBE_GROUPS and len(taken) < count:  # too few links to go by
         planted = planted_steps(grid, x[taken], least)
         enough = max(enough, reached(planted, np.ones(len(planted))))
-    return int(min(len(grid.first) * len(grid.second), max(4, -(-enough * 3 // 2))))
+    return int(min(len(grid.first) * len(grid.second), max(LEAST_PROBES, -(-enough * 3 // 2))))
 
 
 def groups_of(links: np.ndarray) -> np.ndarray:
@@ -215,36 +228,89 @@ def groups_of(links: np.ndarray) -> np.ndarray:
         head = low
 
 
+@dataclass
+class Layout:
+    """Which group a cell belongs to, -1 without rows, and how many blocks its two sides have: arrays of a proven size."""
+
+    group: np.ndarray  # by cell, at most the square of ``MOST_CODES`` of them
+    row_blocks: np.ndarray  # by group
+    ask_blocks: np.ndarray | None = None
+
+
+def grouped_cells(grid: Grid, cells: np.ndarray, rows: np.ndarray) -> Layout:
+    """Groups of cells with one first code: neighbours by their second one, until ``BLOCK`` rows are reached."""
+    second = len(grid.second)
+    held = np.zeros((len(grid.first), second), dtype=np.int64)
+    held[cells // second, cells % second] = rows
+    spread = grid.second - grid.second.mean(0)
+    along = np.argsort(spread @ np.linalg.svd(spread, full_matrices=False)[2][0] if spread.size else np.zeros(second), kind="stable")
+    before = np.cumsum(held[:, along], axis=1) - held[:, along]
+    part = np.empty_like(held)
+    part[:, along] = before // BLOCK
+    named = np.arange(len(held))[:, None] * (part.max() + 1) + part
+    found, group = np.unique(np.where(held > 0, named, -1), return_inverse=True)
+    group = group.reshape(-1) - (found[0] < 0)
+    size = np.bincount(group[cells], rows, int(group.max()) + 1)
+    return Layout(group.astype(np.int32), np.ceil(size / BLOCK).astype(np.int64))
+
+
+def asked(probes: np.ndarray, layout: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each vector's groups as ``(vector, group, first, cells)``: the cells it looks into there begin at ``first`` of ``cells``."""
+    group = layout.group[probes]
+    order = np.argsort(group, axis=1, kind="stable")
+    group, cells = np.take_along_axis(group, order, 1).reshape(-1), np.take_along_axis(probes, order, 1).reshape(-1)
+    vector = np.repeat(np.arange(len(probes)), probes.shape[1])
+    vector, group, cells = (x[group >= 0] for x in (vector, group, cells))
+    first = np.flatnonzero(np.diff(vector, prepend=-1).astype(bool) | np.diff(group, prepend=-1).astype(bool))
+    return vector[first], group[first], first, cells
+
+
+def dealt(ids: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    """The block of each id among so many."""
+    x = ids.astype(np.int64).view(_U) * _U(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> _U(32))) * _U(0xD6E8FEB86659FD93)
+    return ((x >> _U(20)) % blocks.astype(_U)).astype(np.int64)
+
+
+def copies(times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's place so often, and the number of the copy."""
+    at = np.repeat(np.arange(len(times)), times)
+    return at, np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+
+
 def block_links(least: float):
-    """Counts and group edges of one block: queries ``q`` that look into a cell, rows ``r`` of that cell."""
+    """Counts and group edges of one block: queries ``q`` with the cells they look into, rows ``r`` of these cells."""
 
     def run(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"id": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64"), "head": pd.Series(dtype="int64")})
+        out = [pd.DataFrame({"id": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64"), "head": pd.Series(dtype="int64")})]
         if not len(q) or not len(r):
-            return out
-        x, y = np.array(q["v"].tolist()), np.array(r["v"].tolist())
-        qi, ri = q["id"].to_numpy(), r["id"].to_numpy()
-        hit = (x @ y.T >= least) & (qi[:, None] != ri[None, :])
-        if not hit.any():
-            return out
-        a, b = np.nonzero(hit)
-        n_q = np.bincount(a, r["times"].to_numpy(dtype=float)[b], len(q)).astype(np.int64)
-        # A row that does not look into the query's cell would not count this link itself.
-        cells = q["own"].to_numpy()
-        blind = ~np.stack([np.isin(cells, p) for p in r["probes"]], axis=1)
-        n_r = ((hit & blind) * q["times"].to_numpy()[:, None]).sum(0).astype(np.int64)
-        head_q, head_r = qi.copy(), ri.copy()
+            return out[0]
+        r = r.sort_values("own", kind="stable")
+        x, y = (unit_rows(np.stack(side["v"].to_numpy())) for side in (q, r))
+        qi, ri, q_times, r_times = q["id"].to_numpy(), r["id"].to_numpy(), q["times"].to_numpy(), r["times"].to_numpy()
+        lists = q["cells"].to_numpy()
+        wanted, who = np.concatenate(lists), np.repeat(np.arange(len(q)), [len(c) for c in lists])
+        order = np.argsort(wanted, kind="stable")
+        wanted, who = wanted[order], who[order]
+        cells, first = np.unique(r["own"].to_numpy(), return_index=True)
         big = np.iinfo(np.int64).max
-        while True:
-            to_q = np.minimum(head_q, np.where(hit, head_r[None, :], big).min(1))
-            to_r = np.minimum(head_r, np.where(hit, to_q[:, None], big).min(0))
-            if (to_q == head_q).all() and (to_r == head_r).all():
-                break
-            head_q, head_r = to_q, to_r
-        some_q, some_r = hit.any(1), hit.any(0)
-        return pd.DataFrame({
-            "id": np.concatenate([qi[some_q], ri[some_r]]), "n": np.concatenate([n_q[some_q], n_r[some_r]]), "head": np.concatenate([head_q[some_q], head_r[some_r]])
-        })
+        for cell, begin, end in zip(cells, first, [*first[1:], len(r)]):
+            a = who[np.searchsorted(wanted, cell, "left") : np.searchsorted(wanted, cell, "right")]
+            hit = (x[a] @ y[begin:end].T >= least) & (qi[a][:, None] < ri[None, begin:end])
+            some_q, some_r = hit.any(1), hit.any(0)
+            if not some_q.any():
+                continue
+            hit, a, b = hit[some_q][:, some_r], a[some_q], np.arange(begin, end)[some_r]
+            head_q, head_r = qi[a], ri[b]
+            while True:
+                to_q = np.minimum(head_q, np.where(hit, head_r[None, :], big).min(1))
+                to_r = np.minimum(head_r, np.where(hit, to_q[:, None], big).min(0))
+                if (to_q == head_q).all() and (to_r == head_r).all():
+                    break
+                head_q, head_r = to_q, to_r
+            for ids, n, head in ((qi[a], hit @ r_times[b], head_q), (ri[b], q_times[a] @ hit, head_r)):
+                out.append(pd.DataFrame({"id": ids, "n": n.astype(np.int64), "head": head}))
+        return pd.concat(out, ignore_index=True)
 
     return lambda key, q, r: run(q, r)
 
@@ -252,34 +318,66 @@ def block_links(least: float):
 def linked(rows: DataFrame, count: int, dim: int, least: float) -> DataFrame:
     """``id, n, head`` of blocks over ``rows(id, v, times)`` of ``dim`` components."""
     grid = fitted(rows, count, dim, least)
+    v_type = rows.schema["v"].dataType.simpleString()
 
     def placed(batches):
         g = grid
         for batch in batches:
-            x = units(batch.column(1))
-            probes = g.walks(x, g.probes)  # the vector's own cell comes first
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(list(x), pa.list_(pa.float64())), batch.column(2), pa.array(probes[:, 0]), pa.array(list(probes), pa.list_(pa.int64()))],
-                names=["id", "v", "times", "own", "probes"],
-            )
+            probes = g.walks(units(batch.column(1)), g.probes).astype(np.int32)  # the vector's own cell comes first
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(probes) + 1, dtype=np.int32) * probes.shape[1]), pa.array(probes.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(probes[:, 0] if len(probes) else [], pa.int32()), lists], names=["id", "v", "times", "own", "probes"])
 
-    items = store(rows.select("id", "v", "times").mapInArrow(placed, "id long, v array<double>, times long, own long, probes array<long>"), "vectors")
-    asks = items.select(F.explode("probes").alias("cell"), "id")
-    n_rows = items.groupBy(F.col("own").alias("cell")).agg(F.ceil(F.count("*") / BLOCK).alias("row_blocks"))
-    n_asks = asks.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("ask_blocks"))
-    cells = store(n_rows.join(n_asks, "cell"), "cells")
+    items = store(rows.select("id", "v", "times").mapInArrow(placed, f"id long, v {v_type}, times long, own int, probes array<int>"), "vectors")
+    held = items.groupBy("own").agg(F.count("*").alias("n")).collect()  # a row a cell
+    layout = grouped_cells(grid, np.array([r["own"] for r in held], dtype=np.int64), np.array([r["n"] for r in held], dtype=np.int64))
 
-    def dealt(df: DataFrame, own: str, other: str, mine: str, theirs: str) -> DataFrame:
-        """Each row in one block of its own side and in every block of the other."""
-        return df.withColumn(mine, F.pmod(F.xxhash64("id"), F.col(own)).cast("int")).withColumn(theirs, F.explode(F.sequence(F.lit(0), (F.col(other) - 1).cast("int"))))
+    def matrix(column) -> np.ndarray:
+        return column.flatten().to_numpy().reshape(len(column), -1)
+
+    def asking(batches):
+        total = np.zeros(len(layout.row_blocks), dtype=np.int64)
+        for batch in batches:
+            if len(batch):
+                total += np.bincount(asked(matrix(batch.column(0)), layout)[1], minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["grp", "n"])
+
+    asks = items.select("probes").mapInArrow(asking, "grp long, n long").groupBy("grp").agg(F.sum("n").alias("n")).collect()  # a row a group
+    layout.ask_blocks = np.ones(len(layout.row_blocks), dtype=np.int64)
+    for r in asks:
+        layout.ask_blocks[r["grp"]] = -(-r["n"] // BLOCK)
+
+    def queries(batches):
+        for whole in batches:
+            for at in range(0, len(whole), 1000):
+                batch = whole.slice(at, 1000)
+                vector, group, first, cells = asked(matrix(batch.column(4)), layout)
+                ids = batch.column(0).to_numpy()[vector]
+                size = np.diff(np.append(first, len(cells)))
+                row, rb = copies(layout.row_blocks[group])  # to every block of the group's rows
+                _, place = copies(size[row])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size[row])).astype(np.int32)), pa.array(cells[np.repeat(first[row], size[row]) + place]))
+                qb = dealt(ids, layout.ask_blocks[group])[row]
+                picked = pa.array(vector[row])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(group[row].astype(np.int64)), pa.array(qb), pa.array(rb), *[batch.column(i).take(picked) for i in (0, 1, 2)], lists], names=["grp", "qb", "rb", "id", "v", "times", "cells"]
+                )
+
+    def members(batches):
+        for batch in batches:
+            group = layout.group[batch.column(3).to_numpy()]
+            row, qb = copies(layout.ask_blocks[group])  # to every block of those who ask
+            rb = dealt(batch.column(0).to_numpy(), layout.row_blocks[group])[row]
+            picked = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(group[row].astype(np.int64)), pa.array(qb), pa.array(rb), *[batch.column(i).take(picked) for i in (0, 1, 2, 3)]], names=["grp", "qb", "rb", "id", "v", "times", "own"]
+            )
 
-    wide = items.select(F.explode("probes").alias("cell"), "id", "v", "times", "own")
-    queries = dealt(wide.join(cells, "cell"), "ask_blocks", "row_blocks", "qb", "rb").select("cell", "qb", "rb", "id", "v", "times", "own")
-    members = items.withColumn("cell", F.col("own")).join(cells, "cell")
-    members = dealt(members, "row_blocks", "ask_blocks", "rb", "qb").select("cell", "qb", "rb", "id", "v", "times", "probes")
-    members = members.toDF(*members.columns)  # columns of their own beside those of the queries
-    keys = ["cell", "qb", "rb"]
-    return queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(block_links(least), "id long, n long, head long")
+    keys = ["grp", "qb", "rb"]
+    place = "grp long, qb long, rb long, id long"
+    ask_rows = items.mapInArrow(queries, f"{place}, v {v_type}, times long, cells array<int>")
+    member_rows = items.select("id", "v", "times", "own").mapInArrow(members, f"{place}, v {v_type}, times long, own int")
+    return ask_rows.groupBy(*keys).cogroup(member_rows.groupBy(*keys)).applyInPandas(block_links(least), "id long, n long, head long")
 
 
 def near_vectors(vectors: DataFrame, least: float = SIMILARITY, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -292,7 +390,8 @@ def near_vectors(vectors: DataFrame, least: float = SIMILARITY, id_col: str = "v
     vectors, each row stands for itself under that id. A null id stays null and is nobody's component.
     An empty table gives an empty result.
     """
-    every = vectors.select(F.col(id_col).cast("long").alias("vec"), F.col(vec_col).cast("array<double>").alias("v")).distinct()
+    kind = "array<float>" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "array<double>"  # floats travel as floats
+    every = vectors.select(F.col(id_col).cast("long").alias("vec"), F.col(vec_col).cast(kind).alias("v")).distinct()
     every = store(every, "rows")
     good = usable(every, "v")
     kinds = store(good.groupBy("v").agg(F.min("vec").alias("id"), F.count("*").alias("times")).filter("id is not null"), "kinds")
