@@ -32,11 +32,11 @@ def op2_license_scan(spark, sf):
     docs = table(spark, sf, "documents")
     path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string"))
     found = licenses.scan(docs.filter("doc_id is not null").select(path.alias("path"), "text"))
-    return found.select(F.regexp_extract("path", r"([^/]*)$", 1).cast("long").alias("doc_id"), "path", "licence", "origin", "cosine", "n_notices")
+    return found.select(F.regexp_extract("path", r"([^/]*)$", 1).cast("long").alias("doc_id"), "path", "licence", "origin", "cosine", "n_notices", "unit")
 
 
 ORACLES["op2_license_scan"] = f"""
-SELECT CAST(regexp_extract(path, '([^/]*)$', 1) AS BIGINT) AS doc_id, path, licence, origin, cosine, n_notices
+SELECT CAST(regexp_extract(path, '([^/]*)$', 1) AS BIGINT) AS doc_id, path, licence, origin, cosine, n_notices, unit
 FROM ({licenses.oracle("documents", "concat_ws('/', coalesce(source, ''), coalesce(lang, ''), CAST(doc_id AS VARCHAR))")})
 """
 
