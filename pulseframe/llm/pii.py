@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone")
 # At most so many documents, smallest hash first among those with a digit group or an address, fit the trees.
 SAMPLE_DOCS = 3000
+# Of their labelled candidates, at most so many, smallest hash first.
+SAMPLE_CANDIDATES = 200_000
 PRECISION = 0.995
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -37,6 +39,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
 _RUN = re.compile(r"(?<![0-9])[+(]?[0-9](?:[ ().\-/]{0,2}[0-9])+")
 _SPELLED = re.compile(r"(?<![\w.%+-])[\w.%+-]{1,64} ?(?:\(at\)|\[at\]|@| at ) ?[\w-]{1,64}(?: ?(?:\(dot\)|\[dot\]|\.| dot ) ?[\w-]{1,64}){1,5}")
+_AT_SIGNS = ("@", "(at)", "[at]", " at ")  # every spelled-out address has one
 # Words that announce a kind, in the languages at hand; fixed values.
 _WORDS = {
     "email": re.compile(r"mail|contact|correo|courriel|kontakt", re.I),
@@ -114,7 +117,7 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
         seen.add((kind, start, end))
         return fresh
 
-    if "@" in text or "(at)" in text or "[at]" in text or " dot " in text:
+    if any(sign in text for sign in _AT_SIGNS):
         for m in _SPELLED.finditer(text):
             if new("email", *m.span()):
                 yield "email", *m.span()
@@ -125,7 +128,7 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
             continue
         pieces = [(m.start() + p.start(), m.start() + p.end()) for p in re.finditer(r"[^ ]+", m.group())]
         for i in range(len(pieces)):
-            for j in range(i, min(i + 5, len(pieces))):
+            for j in range(i, len(pieces)):  # every piece has a digit
                 start, end = pieces[i][0], pieces[j][1]
                 part = text[start:end]
                 n = len(_DIGITS.findall(part))
@@ -300,7 +303,7 @@ class Redactor:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE_DOCS) -> Redactor:
-    """A redactor fitted on ``most`` documents at the most; without examples of a kind none is added."""
+    """A redactor fitted on ``most`` documents, and ``SAMPLE_CANDIDATES`` of their candidates, at the most; without examples of a kind none is added."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     likely = rows.filter(F.col("text").rlike(r"@|[0-9][0-9 ().+-]{5}")).select("id", F.xxhash64(F.lit("pii"), "id").alias("h"))
     ids = likely.distinct().orderBy("h", "id").limit(most)
@@ -313,9 +316,11 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most:
                     kinds.append(k), labels.append(y), folds.append(h % 2), xs.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(labels, pa.float64()), pa.array(folds, pa.int32()), pa.array(xs, pa.list_(pa.float64()))], names=["kind", "label", "fold", "x"])
 
-    # A sampled document counts with the span surroundings only, a few hundred numbers each.
+    # Equal candidates count once; a long list of numbers has more than the model needs.
     sample = rows.join(F.broadcast(ids), "id").select("h", "text").mapInArrow(run, "kind string, label double, fold int, x array<double>")
-    frame = sample.groupBy("kind", "label", "fold", "x").count().toPandas().sort_values(["kind", "label", "fold", "x"], key=lambda c: c.map(str))
+    own = ["kind", "label", "fold", "x"]
+    some = sample.groupBy(*own).count().orderBy(F.xxhash64(*own), *own).limit(SAMPLE_CANDIDATES)
+    frame = some.toPandas().sort_values(own, key=lambda c: c.map(str))
     if frame.empty:
         return Redactor(Trees().fit(np.empty((0, 1)), np.empty(0)), {})
     x, y = np.array(frame["x"].tolist()), frame["label"].to_numpy()

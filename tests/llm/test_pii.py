@@ -94,3 +94,25 @@ def test_awkward_rows(spark):
     assert got[1]["base_sha256"] == empty and got[1]["redacted"] is None and got[2]["redacted"] == ""
     assert got[20]["redacted"] == "mail [email] now" and got[20]["spans"] == "email:5:10"
     assert pii.find(documents(spark, [])).count() == 0
+
+
+def test_numbers_of_many_groups_are_proposed():
+    for number in ("0033 6 12 34 56 78", "00 33 6 12 34 56 78", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1"):
+        text = f"call {number} now"
+        kinds = {k for k, s, e in pii.proposals(text) if text[s:e] == number}
+        assert kinds and kinds <= {"phone", "card"}
+
+
+def test_spelled_out_addresses_are_proposed_whatever_else_is_there():
+    for address in ("jane7 at example (dot) com", "jane7 at example.com", "jane7(at)example dot com"):
+        for more in ("", " and me@there.org"):
+            text = f"write to {address}{more}"
+            assert address in {text[s:e] for k, s, e in pii.proposals(text) if k == "email"}
+
+
+def test_long_lists_of_numbers_stay_a_bounded_sample(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE_CANDIDATES", 300)
+    text = " ".join(f"call +1 202 555 {i:04} or 10.0.{i % 250}.{i % 7}" for i in range(2000))
+    rows = [(i, text + f" note {i}", "en", "a") for i in range(6)]
+    got = pii.find(documents(spark, rows)).collect()
+    assert {(r["n_phone"], r["n_ip"]) for r in got} == {(2000, 2000)}
