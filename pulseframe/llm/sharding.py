@@ -9,7 +9,7 @@ Documents without links have no preference; they fill the quotas at the end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.llm.common import drop_stored, ranked, store, unit_hash
@@ -143,10 +143,8 @@ def even_out(nodes: DataFrame, n_shards: int) -> DataFrame:
     )
 
 
-def in_order(placed: DataFrame, places: DataFrame, n_shards: int) -> DataFrame:
-    """``placed(id, size, text_crc32, shard)`` with ``slot``s by the position of ``places(id, position)`` within each shard."""
-    first = places.select("id", "position").groupBy(F.col("id").alias("_id")).agg(F.min("position").alias("position"))
-    rows = placed.join(first.hint("merge"), F.col("id").eqNullSafe(F.col("_id")), "left").drop("_id")
+def in_order(placed: DataFrame, n_shards: int) -> DataFrame:
+    """``placed(id, size, text_crc32, shard, position)`` with ``slot``s by the position within each shard."""
     rows = ranked(rows, [F.col("shard"), F.col("position").asc_nulls_last(), F.xxhash64("id"), F.col("id"), F.col("text_crc32"), F.col("size")], "ordered")
     counts = rows.groupBy("shard").agg(F.count("*").alias("n")).collect()  # n_shards rows
     starts = [sum(r["n"] for r in counts if r["shard"] < s) for s in range(n_shards)]
@@ -154,12 +152,24 @@ def in_order(placed: DataFrame, places: DataFrame, n_shards: int) -> DataFrame:
     return rows.withColumn("slot", F.col("rank") - start).drop("rank", "position")
 
 
-def shard(docs: DataFrame, n_shards: int = 40, rounds: int = 8, id_col: str = "doc_id", text_col: str = "text", places: DataFrame | None = None) -> DataFrame:
+def file_place() -> Column:
+    """Where a row of a Parquet table stands: number of its file and place in it.
+
+    A table that was written from sorted ranges has its rows in order of this.
+    """
+    name = F.col("_metadata.file_name")
+    part, piece = (F.coalesce(F.try_to_number(F.regexp_extract(name, p, 1), F.lit("9" * 18)).cast("long"), F.lit(0)) for p in (r"part-(\d+)", r"-c(\d+)"))
+    return F.struct(part.alias("part"), piece.alias("piece"), F.col("_metadata.row_index").alias("row"))
+
+
+def shard(
+    docs: DataFrame, n_shards: int = 40, rounds: int = 8, id_col: str = "doc_id", text_col: str = "text", places: DataFrame | None = None, place: Column | None = None
+) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, size, text_crc32, shard, slot``; equal texts are linked.
 
     Null texts have size 16 and the checksum of nothing, and link with nothing. Repeated rows are
-    rows of their own; a null id is never linked. With ``places(id, position)``, a shard's slots are in
-    the order of the position. An empty table gives an empty result.
+    rows of their own; a null id is never linked. With ``place``, a value of each row of ``docs``, or
+    with ``places(id, position)``, a shard's slots are in that order. An empty table gives an empty result.
     """
     raw = F.encode(F.col(text_col), "UTF-8")
     slim = store(
@@ -168,6 +178,7 @@ def shard(docs: DataFrame, n_shards: int = 40, rounds: int = 8, id_col: str = "d
             (F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 16).alias("size"),
             F.coalesce(F.crc32(raw), F.lit(0)).cast("long").alias("text_crc32"),
             F.unhex(F.md5(raw)).alias("group"),
+            *([] if place is None else [place.alias("position")]),
         ),
         "slim",
     )
@@ -177,5 +188,8 @@ def shard(docs: DataFrame, n_shards: int = 40, rounds: int = 8, id_col: str = "d
     nodes = slim.drop("group").join(labels, "id", "left")
     placed = even_out(nodes, n_shards)
     if places is not None:
-        placed = in_order(placed.select("id", "size", "text_crc32", "shard"), places, n_shards)
+        first = places.select("id", "position").groupBy(F.col("id").alias("_id")).agg(F.min("position").alias("position"))
+        placed = placed.join(first.hint("merge"), F.col("id").eqNullSafe(F.col("_id")), "left")
+    if places is not None or place is not None:
+        placed = in_order(placed.select("id", "size", "text_crc32", "shard", "position"), n_shards)
     return placed.select(F.col("id").alias(id_col), "size", "text_crc32", "shard", "slot")
