@@ -6,14 +6,15 @@ the result is dealt into shards that keep linked documents together. Each stage
 predecessor kept, written as Parquet and read again.
 
 The mix keeps every document: its decision is the order, so the stage's files hold the documents
-in the order of the mix, and so do the slots of each shard. A table read again has no order, so the
-last stage works the positions out anew; they depend on ids and sources alone.
+in the order of the mix, and so do the slots of each shard. The last stage reads that order from the
+files it gets: a row's place is the number of its file and its place in the file.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from pulseframe.llm import decontaminate, mixing, near_dup, resample, sharding
 from pulseframe.llm.common import store, table
@@ -42,11 +43,27 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's shard and slot; the slots of a shard are in the order of the mix."""
+    """Every document's shard and slot; the slots of a shard are in the order of the mix.
+
+    That is the order of the stored table. Documents that are not rows of stored files are mixed here.
+    """
+    if _stored(docs):
+        return sharding.shard(docs, N_SHARDS, place=sharding.file_place())
     places = mixing.mix(docs).select(F.col("doc_id").alias("id"), "position")
     return sharding.shard(docs, N_SHARDS, places=places)
 
 
+def _stored(docs: DataFrame) -> bool:
+    """Whether the rows of ``docs`` know their files."""
+    try:
+        docs.select(sharding.file_place())
+    except AnalysisException as unknown:
+        if unknown.getCondition() != "UNRESOLVED_COLUMN.WITH_SUGGESTION":
+            raise
+        return False
+    return True
+
+
 STAGES = [
     ("quality", quality),
     ("near_duplicates", near_duplicates),
