@@ -145,7 +145,7 @@ def even_out(nodes: DataFrame, n_shards: int) -> DataFrame:
 
 def in_order(placed: DataFrame, n_shards: int) -> DataFrame:
     """``placed(id, size, text_crc32, shard, position)`` with ``slot``s by the position within each shard."""
-    rows = ranked(rows, [F.col("shard"), F.col("position").asc_nulls_last(), F.xxhash64("id"), F.col("id"), F.col("text_crc32"), F.col("size")], "ordered")
+    rows = ranked(placed, [F.col("shard"), F.col("position").asc_nulls_last(), F.xxhash64("id"), F.col("id"), F.col("text_crc32"), F.col("size")], "ordered")
     counts = rows.groupBy("shard").agg(F.count("*").alias("n")).collect()  # n_shards rows
     starts = [sum(r["n"] for r in counts if r["shard"] < s) for s in range(n_shards)]
     start = F.element_at(F.array(*[F.lit(v).cast("long") for v in starts]), F.col("shard") + 1)
@@ -158,7 +158,7 @@ def file_place() -> Column:
     A table that was written from sorted ranges has its rows in order of this.
     """
     name = F.col("_metadata.file_name")
-    part, piece = (F.coalesce(F.try_to_number(F.regexp_extract(name, p, 1), F.lit("9" * 18)).cast("long"), F.lit(0)) for p in (r"part-(\d+)", r"-c(\d+)"))
+    part, piece = (F.coalesce(F.regexp_extract(name, p, 1).try_cast("long"), F.lit(0)) for p in (r"part-(\d+)", r"-c(\d+)"))
     return F.struct(part.alias("part"), piece.alias("piece"), F.col("_metadata.row_index").alias("row"))
 
 

@@ -5,7 +5,7 @@ from collections import Counter
 import corpus_pipeline
 from helpers_llm import AWKWARD, documents
 from pulseframe.llm import decontaminate, mixing, near_dup, resample
-from pulseframe.llm.common import table
+from pulseframe.llm.common import store, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -65,3 +65,18 @@ def test_every_shard_is_interleaved_at_the_target_weights(spark):
     for s, w in weights.items():
         assert abs(early.count(s) / len(early) - w) < 0.05
     assert weights["big"] < 0.6 < 3200 / 4800
+
+
+def test_the_last_stage_reads_the_mix_from_its_files_without_python(spark, monkeypatch):
+    rows = [(i, f"clean text number {i}", "en", "big" if i < 400 else f"small{i % 2}") for i in range(600)]
+    docs = documents(spark, rows)
+    position = {r["doc_id"]: r["position"] for r in mixing.mix(docs).collect()}
+    stored = store(corpus_pipeline.mix(spark, docs, SF), "mixed")
+    monkeypatch.setattr(mixing, "mix", None)  # it is not worked out again
+    placed = corpus_pipeline.shards(spark, stored, SF)
+    plan = placed._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+    shards = {}
+    for r in sorted(placed.collect(), key=lambda r: (r["shard"], r["slot"])):
+        shards.setdefault(r["shard"], []).append(position[r["doc_id"]])
+    assert sum(map(len, shards.values())) == 600 and all(p == sorted(p) for p in shards.values())
