@@ -8,8 +8,9 @@ source is ever a whole block ahead of or behind its target, however long the inp
 runs out, the others go on with a new phase at their own weights, so every document gets a position
 and none is dropped or repeated.
 
-One place walks the timetable and keeps only where it stood every ``SEGMENT`` slots; tasks walk the
-segments from there and make the blocks' slots a table. Ranks within sources are a distributed sort,
+The driver finds where sources end, and nothing in between: where the timetable stands at a slot follows from
+the weights (:func:`standing`). So tasks walk segments of ``SEGMENT`` slots, each from where it
+begins, and make the blocks' slots a table. Ranks within sources are a distributed sort,
 and documents meet their block's slot in a join by source and block.
 """
 
@@ -18,8 +19,8 @@ from __future__ import annotations
 import heapq
 import json
 import math
-from collections.abc import Iterator
-from dataclasses import dataclass
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,21 +29,8 @@ from pyspark.sql import functions as F
 
 from pulseframe.llm.common import ranked
 
-# Slots between two states that are kept of the timetable.
-SEGMENT = 20_000
-
-
-@dataclass
-class Phase:
-    """``repeats`` periods of the sources that still have blocks, or the cut start of one period."""
-
-    first_slot: int
-    slots: int  # of one period
-    repeats: int
-    first_block: dict[str, int]
-    places: dict[str, np.ndarray]  # slots of the source's blocks within a period
-    releases: dict[str, np.ndarray]
-    deadlines: dict[str, np.ndarray]
+# Slots of the timetable that a task walks at a time.
+SEGMENT = 100_000
 
 
 def parts_of(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -58,59 +46,6 @@ def parts_of(weights: dict[str, float], period: int) -> dict[str, int]:
     return parts
 
 
-def period_of(parts: dict[str, int]) -> list[tuple[str, int, int]]:
-    """``(source, release, deadline)`` of every slot of a period."""
-    total = sum(parts.values())
-    waiting: list[list[tuple[int, int, str]]] = [[] for _ in range(total)]
-    for s, a in parts.items():
-        for i in range(a):
-            waiting[i * total // a].append((-(-(i + 1) * total // a), i * total // a, s))
-    ready: list[tuple[int, int, str]] = []
-    out = []
-    for slot in range(total):
-        for block in waiting[slot]:
-            heapq.heappush(ready, block)
-        deadline, release, s = heapq.heappop(ready)
-        out.append((s, release, deadline))
-    return out
-
-
-def phases_of(parts: dict[str, int], blocks: dict[str, int]) -> list[Phase]:
-    """The whole timetable: at most two entries for each source that runs out."""
-    left = {s: n for s, n in blocks.items() if n}
-    done = dict.fromkeys(left, 0)
-    slot, out = 0, []
-
-    def add(order: list[tuple[str, int, int]], repeats: int) -> None:
-        nonlocal slot
-        places = {s: np.array([i for i, x in enumerate(order) if x[0] == s]) for s in {x[0] for x in order}}
-        out.append(
-            Phase(
-                slot, len(order), repeats, {s: done[s] for s in places}, places,
-                {s: np.array([order[i][1] for i in p]) for s, p in places.items()},
-                {s: np.array([order[i][2] for i in p]) for s, p in places.items()},
-            )
-        )
-        for s, p in places.items():
-            done[s] += repeats * len(p)
-            left[s] -= repeats * len(p)
-        slot += repeats * len(order)
-
-    while left:
-        order = period_of({s: parts[s] for s in left})
-        repeats = min((n - 1) // parts[s] for s, n in left.items())
-        if repeats:
-            add(order, repeats)
-        rest = dict(left)  # one source ends within the next period, and the phase with it
-        for end, (s, _, _) in enumerate(order, 1):
-            rest[s] -= 1
-            if not rest[s]:
-                add(order[:end], 1)
-                break
-        left = {s: n for s, n in left.items() if n}
-    return out
-
-
 def exact(weights: dict[str, float]) -> dict[str, int]:
     """The weights as whole numbers in exactly the same proportions."""
     ratios = {s: w.as_integer_ratio() for s, w in weights.items()}
@@ -156,6 +91,58 @@ class Timetable:
             self.first, self.before = slot, dict(done)
 
 
+def standing(parts: dict[str, int], live: Iterable[str], slot: int) -> dict[str, int]:
+    """How many blocks of each source were given the slots before ``slot`` of a phase, without walking there.
+
+    A source of weight w has done ``floor(slot w)`` blocks or the next one as well, if that was
+    released. Which ones are still waiting follows from earliest deadline first, under which blocks due by a
+    deadline are served as if the later ones were not there: those that wait are as many as were released since some
+    earlier slot beyond the slots there were, for the slot that makes it most. Only slots since the
+    earliest release of a waiting block can make a difference, so this looks back one window of the rarest source.
+    """
+    live = sorted(live)
+    total = sum(parts[s] for s in live)
+    due = {s: slot * parts[s] // total for s in live}
+    released = {s: -(-slot * parts[s] // total) for s in live}
+    # Blocks that may be done or not, most urgent first: (deadline, release, source).
+    may = sorted((-(-(due[s] + 1) * total // parts[s]), due[s] * total // parts[s], s) for s in live if released[s] > due[s])
+    if not may:
+        return due
+    begin = min(r for _, r, _ in may) + 1
+    came = np.zeros(slot - begin + 1, dtype=np.int64)  # blocks released in each slot from there on
+    for s in live:
+        first = -(-begin * parts[s] // total)
+        places = [i * total // parts[s] - begin for i in range(first, released[s])]
+        came += np.bincount(np.array(places, dtype=np.int64), minlength=len(came))[: len(came)]
+    waits = sum(-(-begin * parts[s] // total) for s in live) - begin + np.concatenate([[0], np.cumsum(came[:-1] - 1)])
+    later = np.zeros(len(waits), dtype=np.int64)  # less urgent blocks not yet released
+    every = sum(released.values()) - slot
+    done = dict(due)
+    upto = every  # waiting blocks as urgent as this one or more
+    for n, (_, release, s) in enumerate(reversed(may), 1):
+        later[: max(0, release - begin + 1)] += 1
+        more = every - min(n, int((waits + later).min()))  # those more urgent than it
+        done[s] += upto == more  # else it is the one that waits
+        upto = more
+    return done
+
+
+def phases(parts: dict[str, int], blocks: dict[str, int]) -> list[tuple[int, dict[str, int]]]:
+    """``(first slot, blocks done before it)`` of every phase: up to the next end of a source."""
+    done, slot, out = dict.fromkeys(blocks, 0), 0, []
+    while live := [s for s, n in blocks.items() if done[s] < n]:
+        out.append((slot, dict(done)))
+        total = sum(parts[s] for s in live)
+        start = min((blocks[s] - done[s] - 1) * total // parts[s] for s in live)  # no last block is released earlier
+        way = Timetable(parts, blocks, (slot, dict(done), {**done, **{s: done[s] + n for s, n in standing(parts, live, start).items()}}))
+        for slot, s, block, _, _ in way:
+            if block + 1 == blocks[s]:
+                break
+        done, slot = way.done, slot + 1
+        done[s] += 1
+    return out
+
+
 def mix(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
@@ -186,17 +173,20 @@ def mix(
     blocks = {s: -(-rows[s] // block_rows) for s in names}
     # A source's last block may be short; later positions move up by what it lacks.
     lacks = {s: -rows[s] % block_rows for s in names}
-    way = Timetable(parts, blocks)
-    marks = [json.dumps(way.state()) for slot, *_ in way if slot % SEGMENT == 0]
+    known = phases(parts, blocks)
+    begins, whole, length = [first for first, _ in known], sum(blocks.values()), SEGMENT
+    marks = [(at, json.dumps(known[bisect_right(begins, at) - 1])) for at in range(0, whole, length)]
 
     def slots(batches):
         for frame in batches:
-            for mark in frame["state"]:
-                first, before, done = json.loads(mark)
+            for at, mark in zip(frame["slot"].tolist(), frame["phase"]):
+                first, before = json.loads(mark)
+                live = [s for s, n in before.items() if n < blocks[s]]
+                done = {**before, **{s: before[s] + n for s, n in standing(parts, live, at - first).items()}}
                 moved = sum(lacks[s] for s, n in done.items() if n == blocks[s])
                 out = []
                 for slot, s, block, release, deadline in Timetable(parts, blocks, (first, before, done)):
-                    if out and slot % SEGMENT == 0:
+                    if slot == at + length:
                         break
                     out.append((s, block, slot, release, deadline, slot * block_rows - moved))
                     if block + 1 == blocks[s]:
@@ -204,8 +194,8 @@ def mix(
                 yield pd.DataFrame(out, columns=["source", "block", "slot", "release", "deadline", "base"])
 
     spark = docs.sparkSession
-    states = spark.createDataFrame([(i, m) for i, m in enumerate(marks)], "segment long, state string").repartition(max(1, len(marks)))
-    timetable = states.mapInPandas(slots, "source string, block long, slot long, release long, deadline long, base long")
+    segments = spark.createDataFrame(marks, "slot long, phase string").repartition(max(1, len(marks)))
+    timetable = segments.mapInPandas(slots, "source string, block long, slot long, release long, deadline long, base long")
     total = sum(parts.values())
     starts = np.cumsum([0, *[rows[s] for s in names]]).tolist()
     sources = spark.createDataFrame([(s, i, parts[s] / total) for s, i in zip(names, starts)], "source string, start long, weight double")

@@ -326,6 +326,11 @@ def near_duplicates(
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all their columns, of which one document of each group stays."""
+    """The rows of ``docs``, all their columns, of which one document of each group stays: the one with the smallest id.
+
+    Null texts are groups of their own; texts without a word are grouped only with equal ones. Of repeated
+    rows (one id and text) one stays; of rows with one id and other texts, those of the kept id stay. Rows
+    without an id stay as well. An empty table stays empty. Texts are read whole.
+    """
     gone = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).filter("not kept").select(id_col).distinct()
     return docs.join(gone.hint("merge"), id_col, "left_anti").select(*docs.columns).dropDuplicates([id_col, text_col])

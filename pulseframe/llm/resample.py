@@ -157,7 +157,11 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, id_col: s
 
 
 def selected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all their columns, that reach the threshold; nothing is shuffled."""
+    """The rows of ``docs``, all their columns, that reach the threshold; nothing is shuffled.
+
+    Null, empty and blank texts have no n-grams and go; repeated rows all stay or go. Without labels
+    of both kinds all texts with n-grams stay, and an empty table stays empty. Texts are counted whole.
+    """
     sample = labelled_sample(labels, id_col=id_col)
     ratio = fit(docs, sample, id_col, text_col)
     cut = threshold(docs, sample, ratio, id_col, text_col)

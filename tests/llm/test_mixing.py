@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from helpers_llm import AWKWARD, documents
@@ -10,36 +11,6 @@ from pulseframe.llm.common import table
 SF = "/root/testdata/sf0.01"
 
 
-@pytest.mark.parametrize("seed", range(12))
-def test_a_period_keeps_every_window_and_is_less_than_one_block_off(seed):
-    rng = random.Random(seed)
-    parts = {f"s{i}": rng.choice([1, 1, 2, 3, 7, 40]) for i in range(rng.randrange(1, 15))}
-    order = mixing.period_of(parts)
-    total = sum(parts.values())
-    done = dict.fromkeys(parts, 0)
-    for slot, (s, release, deadline) in enumerate(order):
-        assert release <= slot < deadline
-        done[s] += 1
-        for x, a in parts.items():
-            assert abs(done[x] - (slot + 1) * a / total) < 1
-    assert done == parts
-
-
-@pytest.mark.parametrize("seed", range(8))
-def test_phases_use_every_block_once(seed):
-    rng = random.Random(seed)
-    blocks = {f"s{i}": rng.choice([0, 1, 2, 9, 50, 400]) for i in range(6)}
-    parts = {s: rng.randrange(1, 9) for s in blocks}
-    phases = mixing.phases_of(parts, blocks)
-    slots, used = [], dict.fromkeys(blocks, 0)
-    for p in phases:
-        for s, places in p.places.items():
-            assert p.first_block[s] == used[s]
-            used[s] += p.repeats * len(places)
-            slots += [p.first_slot + r * p.slots + int(i) for r in range(p.repeats) for i in places]
-    assert used == blocks and sorted(slots) == list(range(sum(blocks.values())))
-
-
 def test_shares_follow_the_weights_until_a_source_ends(spark):
     docs = table(spark, SF, "documents")
     weights = {f"src{i}": 1 + i % 4 for i in range(20)}
@@ -129,3 +100,35 @@ def test_segments_go_on_where_the_timetable_stood():
 def test_more_than_a_thousand_sources(spark):
     docs = spark.range(2400).selectExpr("id AS doc_id", "concat('s', id % 1200) AS source")
     assert sorted(r["position"] for r in mixing.mix(docs).collect()) == list(range(2400))
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_standing_equals_the_walk(seed):
+    rng = random.Random(seed)
+    parts = mixing.exact({f"s{i}": rng.choice([rng.random() + 0.001, rng.random() ** 4 + 1e-3, 1.0, 0.5]) for i in range(rng.randrange(1, 9))})
+    done = dict.fromkeys(parts, 0)
+    for slot, s, *_ in mixing.Timetable(parts, dict.fromkeys(parts, 10**9)):
+        assert slot % 7 or mixing.standing(parts, parts, slot) == done
+        done[s] += 1
+        if slot > 400:
+            break
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_phases_begin_where_sources_end(seed):
+    rng = random.Random(seed)
+    blocks = {f"s{i}": rng.choice([0, 1, 2, 9, 50, 400]) for i in range(7)}
+    parts = mixing.exact({s: rng.random() + 0.001 for s in blocks})
+    want, done = [(0, dict.fromkeys(blocks, 0))] if any(blocks.values()) else [], dict.fromkeys(blocks, 0)
+    for slot, s, *_ in mixing.Timetable(parts, blocks):
+        done[s] += 1
+        if done[s] == blocks[s] and slot + 1 < sum(blocks.values()):
+            want.append((slot + 1, dict(done)))
+    assert mixing.phases(parts, blocks) == want
+
+
+def test_the_driver_does_not_walk_the_blocks():
+    parts = mixing.exact({f"s{i}": (10.0 ** (i % 7)) ** 0.5 for i in range(30)})
+    began = time.process_time()
+    assert len(mixing.phases(parts, dict.fromkeys(parts, 10**8))) >= 7
+    assert time.process_time() - began < 20
