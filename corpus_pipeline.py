@@ -23,22 +23,22 @@ N_SHARDS = 40
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the importance-resampling classifier selects."""
+    """Documents the importance-resampling classifier selects; null, empty and blank texts go, repeated rows all stay or go."""
     return resample.selected(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id."""
+    """One document of each near-duplicate group, the one with the smallest id; of repeated rows one, of null texts all."""
     return near_dup.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; null and empty texts have none, repeated rows all stay or go."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mix."""
+    """All documents, null and repeated ones too, in the order of the mix; a null source is one of its own."""
     return mixing.mixed(docs)
 
 
@@ -46,6 +46,7 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's shard and slot; the slots of a shard are in the order of the mix.
 
     That is the order of the stored table. Documents that are not rows of stored files are mixed here.
+    Null texts weigh 16 bytes and are linked with nothing; repeated rows are rows of their own; no documents give no rows.
     """
     if _stored(docs):
         return sharding.shard(docs, N_SHARDS, place=sharding.file_place())
