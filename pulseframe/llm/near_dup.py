@@ -228,35 +228,70 @@ def _prefix_rows(k: int, least: float, counts: np.ndarray):
     return run
 
 
-def rare_pairs(texts: DataFrame, k: int, least: float) -> DataFrame:
-    """Pairs ``a, b`` across the groups of ``texts(g, c, words)`` that may reach the similarity: no other pair can.
+def rare_rows(texts: DataFrame, k: int, least: float) -> DataFrame:
+    """``x, g, c, n, i, parity``, stored: the rarest k-mers of ``texts(g, c, words)`` that texts of several groups have.
+
+    Of n k-mers a text has ``n - ceil(least n) + 1`` rows, numbered from 0 by rarity.
+    """
+    prefixes = texts.select("g", "c", "words").mapInArrow(_prefix_rows(k, least, _rare_counts(texts, k)), "g binary, c binary, n long, rarest array<long>, parity array<long>")
+    prefixes = store(prefixes, "prefixes")
+    rows = prefixes.select("g", "c", "n", F.posexplode("rarest").alias("i", "x"))
+    out = store(_met(rows).join(prefixes.select("g", "parity"), "g").select("x", "g", "c", "n", "i", "parity"), "rarest")
+    drop_stored(prefixes)
+    return out
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """Most of the rarest k-mers have one text alone, or texts of one group; the rows of the others."""
+    return rows.join(rows.groupBy("x").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("x"), "x")
+
+
+def _may_reach(least: float) -> Column:
+    """Whether texts of ``na`` and ``nb`` k-mers with parity bits ``pa`` and ``pb`` can reach the similarity.
+
+    Few k-mers may be in one of the two alone: there are at least as many as places at which the
+    bits differ, the parities of the counts of k-mers by hash.
+    """
+    both = F.col("na") + F.col("nb")
+    apart = reduce(lambda a, b: a + b, [F.bit_count(F.get("pa", F.lit(i)).bitwiseXOR(F.get("pb", F.lit(i)))) for i in range(PARITY)])
+    long_enough = F.least("na", "nb") >= least * F.greatest("na", "nb") - 1e-9
+    return (F.col("ca") != F.col("cb")) & long_enough & (apart <= (1 - 2 * least / (1 + least)) * both + 1e-9)
+
+
+def star_pairs(rows: DataFrame, least: float) -> DataFrame:
+    """Pairs of each text with one of the texts that have its rare k-mer: as many at most as rows.
+
+    It is the text with the fewest rarer k-mers, which among copies of one text is the one least changed.
+    """
+    picks = rows.groupBy("x").agg(F.min_by(F.struct("g", "c", "n", "parity"), F.struct("i", F.xxhash64("g"))).alias("p"))
+    sides = rows.join(picks, "x").select(
+        F.col("g").alias("a"), F.col("p.g").alias("b"), F.col("c").alias("ca"), F.col("p.c").alias("cb"), F.col("n").alias("na"), F.col("p.n").alias("nb"), F.col("parity").alias("pa"), F.col("p.parity").alias("pb")
+    )
+    return sides.filter(_may_reach(least)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def across_pairs(rows: DataFrame, least: float) -> DataFrame:
+    """All pairs across the groups of ``rows`` that may reach the similarity: no other pair can.
 
     Such texts share ``least / (1 + least)`` of their k-mers, so in any order of all k-mers they
     share one of the first few of each: of n k-mers ``n - ceil(least n) + 1`` of the longer text and
     ``n - ceil(2 least / (1 + least) n) + 1`` of the shorter one. The order goes by rarity, so a passage that many
     texts have comes last in all of them and brings no two together. What is left of both behind a shared k-mer must
-    be enough as well, and few k-mers may be in one of the two alone: there are at least as many as places
-    at which the texts' parity bits differ, the parities of the counts of k-mers by hash.
+    be enough as well.
     """
-    prefixes = texts.select("g", "c", "words").mapInArrow(_prefix_rows(k, least, _rare_counts(texts, k)), "g binary, c binary, n long, rarest array<long>, parity array<long>")
-    prefixes = store(prefixes, "prefixes")
-    rows = prefixes.select("g", "c", "n", F.posexplode("rarest").alias("i", "x"))
-    # Most of the rarest k-mers have one text alone, or texts of one group.
-    met = rows.groupBy("x").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("x")
-    rows = store(rows.join(met, "x").join(prefixes.select("g", "parity"), "g").select("x", "g", "c", "n", "i", "parity"), "rarest")
     share = least / (1 + least)
-    index = rows.filter(F.col("i") <= F.col("n") - F.ceil(2 * share * F.col("n") - 1e-9)).toDF("x", "a", "ca", "na", "ia", "pa")
-    probe = rows.toDF("x", "b", "cb", "nb", "ib", "pb")
+    index = rows.filter(F.col("i") <= F.col("n") - F.ceil(2 * share * F.col("n") - 1e-9)).select("x", "g", "c", "n", "i", "parity").toDF("x", "a", "ca", "na", "ia", "pa")
+    probe = rows.select("x", "g", "c", "n", "i", "parity").toDF("x", "b", "cb", "nb", "ib", "pb")
     shorter = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     enough = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= share * (F.col("na") + F.col("nb")) - 1e-9
-    apart = reduce(lambda a, b: a + b, [F.bit_count(F.get("pa", F.lit(i)).bitwiseXOR(F.get("pb", F.lit(i)))) for i in range(PARITY)])
-    few_apart = apart <= (1 - 2 * share) * (F.col("na") + F.col("nb")) + 1e-9
-    may_be = (F.col("ca") != F.col("cb")) & shorter & (F.col("na") >= least * F.col("nb") - 1e-9) & enough & few_apart
-    pairs = index.join(probe, "x").filter(may_be)
-    found = store(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    drop_stored(rows)
-    drop_stored(prefixes)
-    return found
+    pairs = index.join(probe, "x").filter(shorter & enough & _may_reach(least))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _grouped(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with the group ``c`` that ``links`` give each text ``g``; a text without links is its own."""
+    groups = components(links).select(F.col("id").alias("g"), F.col("component").alias("_c"))
+    return rows.drop("c").join(groups, "g", "left").withColumn("c", F.coalesce("_c", "g")).drop("_c")
 
 
 def text_key(text: Column) -> Column:
@@ -306,14 +341,20 @@ def near_duplicates(
     across = x.join(y, ["t", "key"]).filter("a < b and ca <> cb").select("a", "b")
     again = store(across.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
     more = _linked(again, words, k, least)
+    # In large ones, by their rarest k-mers: first with one text each, then, where that left several groups, all across.
+    links = store(links.union(more), "links")
     mixed_texts = store(many.select("g", "c").distinct().join(words, "g"), "mixed")
-    rare = rare_pairs(mixed_texts, k, least)
-    rest = _linked(rare.join(pairs, ["a", "b"], "left_anti").join(again, ["a", "b"], "left_anti"), mixed_texts.select("g", "words"), k, least)
-    every = store(links.union(more).union(rest), "links")
-    for done in (full, open_rows, words, sketched, pairs, again, mixed_texts, rare, links, more, rest):
+    rare = rare_rows(mixed_texts, k, least)
+    near = mixed_texts.select("g", "words")
+    stars = store(star_pairs(rare, least).join(pairs, ["a", "b"], "left_anti").join(again, ["a", "b"], "left_anti"), "pairs")
+    links = store(links.union(_linked(stars, near, k, least)), "links")
+    left = store(_met(_grouped(rare, links)), "rarest")
+    rest = across_pairs(left, least).join(pairs, ["a", "b"], "left_anti").join(again, ["a", "b"], "left_anti").join(stars, ["a", "b"], "left_anti")
+    links = store(links.union(_linked(rest, near, k, least)), "links")
+    for done in (full, open_rows, words, sketched, pairs, again, mixed_texts, rare, stars, left):
         drop_stored(done)
-    groups = components(every)
-    drop_stored(every)
+    groups = components(links)
+    drop_stored(links)
     named = classes.join(groups.withColumnRenamed("id", "g"), "g", "left").withColumn("c", F.coalesce("component", "g"))
     least_id = named.groupBy("c").agg(F.min("first").alias("cluster_id"))
     named = named.join(least_id, "c").select("g", F.col("first").alias("class_id"), "cluster_id")

@@ -138,7 +138,7 @@ def test_unrelated_texts_with_one_shared_passage(spark):
     assert {d: r["cluster_id"] for d, r in got.items() if r["cluster_id"] != d} == {4321: 17}
 
 
-def test_rare_pairs_hold_every_pair_that_is_similar_enough(spark):
+def test_pairs_of_rare_words_hold_every_pair_that_is_similar_enough(spark):
     rng = np.random.default_rng(8)
     base = rng.integers(0, 5000, 120).astype("<u4")
     rows = []
@@ -148,8 +148,11 @@ def test_rare_pairs_hold_every_pair_that_is_similar_enough(spark):
         w[at] = rng.integers(0, 5000, int(at.sum()))
         w = np.delete(w, rng.integers(0, len(w), rng.integers(0, 15)))
         rows.append((f"{n:03}".encode(), f"{n % 7}".encode(), w.astype("<u4").tobytes()))
-    found = {(bytes(r["a"]), bytes(r["b"])) for r in near_dup.rare_pairs(spark.createDataFrame(rows, "g binary, c binary, words binary"), 5, 0.8).collect()}
+    rare = near_dup.rare_rows(spark.createDataFrame(rows, "g binary, c binary, words binary"), 5, 0.8)
+    found = {(bytes(r["a"]), bytes(r["b"])) for r in near_dup.across_pairs(rare, 0.8).collect()}
     mers = {g: near_dup.labelled(np.frombuffer(w, dtype="<u4"), 5) for g, _, w in rows}
     similar = {(a, b) for a, ca, _ in rows for b, cb, _ in rows if a < b and ca != cb and near_dup.similarity(mers[a], mers[b], 0.8)}
     assert similar and similar <= found
     assert len(found) < 90 * 89 / 2 / 2
+    stars = near_dup.star_pairs(rare, 0.8)
+    assert 0 < stars.count() <= rare.count()
