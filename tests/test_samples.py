@@ -140,7 +140,7 @@ ACTIVITY = st.fixed_dictionaries(
             st.builds(d, st.integers(0, 4), st.sampled_from(KEYS)), max_size=5
         ),
         "activityDetailMetrics": st.lists(
-            st.lists(st.one_of(st.none(), st.integers(-50, 50), st.floats(-1, 1).map(lambda x: round(x, 3))), max_size=4).map(
+            st.lists(st.one_of(st.none(), st.integers(-50, 50), st.floats(-1, 1).map(lambda x: round(x, 3) + 0.0)), max_size=4).map(
                 lambda v: s(*v)
             ),
             max_size=4,
