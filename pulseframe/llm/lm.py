@@ -2,11 +2,11 @@
 
     P(text) = product of P(class of w | class of the word before) * P(w | its class)
 
-Units are clustered, not all words: a word above a relative count is a unit; the rarer ones, and
+Units are clustered: every word that goes to the tasks is one; the rarer ones, and
 words never seen, count with those that end in the same two bytes, or with all others where these
 are too rare as well. So the number of units has a proven bound while every word has a class.
 Exchange starts from classes by frequency and, round by round, moves units to the class that raises
-the likelihood of the class bigrams most. A unit's neighbours are one row, its gains for all classes
+the likelihood of the class bigrams most, until rounds hardly raise it any more. A unit's neighbours are one row, its gains for all classes
 are computed in the task that reads the row, and half of the units may move in a round, because
 their gains hold while the rest stand still.
 
@@ -20,7 +20,6 @@ a chunk it is in.
 
 from __future__ import annotations
 
-import itertools
 from collections import Counter
 from dataclasses import dataclass
 
@@ -32,10 +31,11 @@ from pyspark.sql import functions as F
 from pulseframe.llm.common import drop_stored, store
 
 CLASSES = 48
-# Relative counts: words that go to every task (200,000 at most) and units that are clustered.
-HEAD_SHARE = 5e-6
-UNIT_SHARE = 5e-5
-ROUNDS = 10
+# Relative count of the words that go to every task, 250,000 at most; they and groups of rarer words above it are clustered.
+HEAD_SHARE = 4e-6
+# Exchange ends when two rounds raise the likelihood by less than this many nats a token, or after so many.
+LEAST_GAIN = 0.01
+ROUNDS = 30
 PRIOR = 20.0
 END = b""  # no word is empty
 _CHUNK_TOKENS = 2_000_000
@@ -113,18 +113,18 @@ def unit_rows(docs: DataFrame, units: Units) -> DataFrame:
             if len(keys):
                 yield pa.RecordBatch.from_arrays([pa.array((keys // many).astype(np.int32)), pa.array((keys % many).astype(np.int32)), pa.array(n.astype(np.int64))], names=["p", "q", "n"])
 
+        get = units.known.get
         for batch in batches:
             for text in batch.column(0):
-                row = [0]
-                for w in tokens(text.as_py()):
+                words = tokens(text.as_py())
+                row = [0, *[get(w, -1) for w in words], 0]
+                row = np.array(row, dtype=np.int64)
+                for i in np.flatnonzero(row < 0).tolist():  # words without a unit of their own
+                    w = words[i - 1][-2:]
                     u = cache.get(w)
                     if u is None:
-                        if len(cache) > 200_000:
-                            cache.clear()
-                        u = cache[w] = units.of(w)
-                    row.append(u)
-                row.append(0)
-                row = np.array(row, dtype=np.int64)
+                        u = cache[w] = get(_OTHER + w, 1)
+                    row[i] = u
                 parts.append(row[:-1] * many + row[1:])
                 size += len(row)
                 if size > _CHUNK_TOKENS:
@@ -146,13 +146,16 @@ def unit_rows(docs: DataFrame, units: Units) -> DataFrame:
 
 
 def _row_vectors(batch, classes, many):
-    for unit, after, n_after, before, n_before, itself in zip(*[c.to_pylist() for c in batch.columns]):
-        s, p = np.zeros(many), np.zeros(many)
-        if after:
-            np.add.at(s, classes[np.array(after)], np.array(n_after, dtype=float))
-        if before:
-            np.add.at(p, classes[np.array(before)], np.array(n_before, dtype=float))
-        yield unit, s, p, float(itself)
+    """Each unit of a batch with how often each class stands after and before it, and how often it follows itself."""
+    rows = np.arange(batch.num_rows)
+
+    def sums(others, counts) -> np.ndarray:
+        at = np.repeat(rows, others.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        cells = at * many + classes[others.flatten().to_numpy()]
+        return np.bincount(cells, counts.flatten().to_numpy().astype(float), batch.num_rows * many).reshape(-1, many)
+
+    after, before = sums(batch.column(1), batch.column(2)), sums(batch.column(3), batch.column(4))
+    yield from zip(batch.column(0).to_pylist(), after, before, map(float, batch.column(5).to_pylist()))
 
 
 def class_pairs(rows: DataFrame, classes: np.ndarray, many: int) -> np.ndarray:
@@ -177,22 +180,24 @@ def _xlogx(x):
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def best_class(matrix: np.ndarray, own: int, s: np.ndarray, p: np.ndarray, itself: float) -> tuple[int, float]:
+def best_class(matrix: np.ndarray, own: int, s: np.ndarray, p: np.ndarray, itself: float, logs: np.ndarray | None = None) -> tuple[int, float]:
     """The class a unit should be in, and the gain in log likelihood over where it is.
 
     ``s`` and ``p`` count the classes after and before the unit, without itself; ``matrix`` has it in ``own``.
+    ``logs`` may be ``matrix`` times its logarithm.
     """
     m = matrix.copy()
     m[own] -= s
     m[:, own] -= p
     m[own, own] -= itself
-    m = np.maximum(m, 0)
-    now = _xlogx(m)
-    rows = _xlogx(m + s[None, :]) - now
-    cols = _xlogx(m + p[:, None]) - now
-    d = np.diag(m)
-    corner = _xlogx(d + s + p + itself) - _xlogx(d)
-    gain = rows.sum(axis=1) - np.diag(rows) + cols.sum(axis=0) - np.diag(cols) + corner
+    m[own], m[:, own] = np.maximum(m[own], 0), np.maximum(m[:, own], 0)
+    now = _xlogx(matrix) if logs is None else logs.copy()
+    now[own], now[:, own] = _xlogx(m[own]), _xlogx(m[:, own])
+    after, before = np.flatnonzero(s), np.flatnonzero(p)  # a rare unit has few neighbours
+    d, d_now = np.diag(m), np.diag(now)
+    gain = (_xlogx(m[:, after] + s[after]) - now[:, after]).sum(axis=1) - (_xlogx(d + s) - d_now)
+    gain += (_xlogx(m[before] + p[before, None]) - now[before]).sum(axis=0) - (_xlogx(d + p) - d_now)
+    gain += _xlogx(d + s + p + itself) - d_now
     out, inn = m.sum(axis=1) + p, m.sum(axis=0) + s  # the neighbours stay before and after the unit wherever it goes
     gain -= _xlogx(out + s.sum() + itself) - _xlogx(out) + _xlogx(inn + p.sum() + itself) - _xlogx(inn)
     gain[FIXED] = -np.inf
@@ -205,16 +210,18 @@ def exchange(rows: DataFrame, sizes: np.ndarray, many: int = CLASSES, rounds: in
     classes = np.zeros(len(sizes), dtype=np.int64)
     order = np.argsort(-sizes[1:], kind="stable") + 1
     classes[order] = 1 + np.arange(len(order)) % (many - 1)
+    gained = []
     for turn in range(rounds):
         matrix = class_pairs(rows, classes, many)
         now = classes.copy()
 
         def run(batches, now=now, matrix=matrix, turn=turn):
+            logs = _xlogx(matrix)
             for batch in batches:
                 units, to, gains = [], [], []
                 for unit, s, p, itself in _row_vectors(batch, now, many):
                     if unit and (unit * 2654435761 >> (8 + turn)) & 1:
-                        best, gain = best_class(matrix, int(now[unit]), s, p, itself)
+                        best, gain = best_class(matrix, int(now[unit]), s, p, itself, logs)
                         if gain > 1e-6:
                             units.append(unit), to.append(best), gains.append(gain)
                 yield pa.RecordBatch.from_arrays([pa.array(units, pa.int32()), pa.array(to, pa.int32()), pa.array(gains, pa.float64())], names=["unit", "c", "gain"])
@@ -222,26 +229,27 @@ def exchange(rows: DataFrame, sizes: np.ndarray, many: int = CLASSES, rounds: in
         moves = rows.mapInArrow(run, "unit int, c int, gain double").collect()  # a row a unit at most
         for r in moves:
             classes[r["unit"]] = r["c"]
-        if not moves and turn:
+        gained.append(sum(r["gain"] for r in moves))
+        if turn and sum(gained[-2:]) <= LEAST_GAIN * sizes.sum():
             break
     return classes
 
 
-def fit(docs: DataFrame, words: DataFrame, many: int = CLASSES, rounds: int = ROUNDS, head_share: float = HEAD_SHARE, unit_share: float = UNIT_SHARE) -> Model:
+def fit(docs: DataFrame, words: DataFrame, many: int = CLASSES, rounds: int = ROUNDS, head_share: float = HEAD_SHARE) -> Model:
     """The model of the training texts ``docs(text)``, whose words are counted in ``words(word, n)``."""
     total, types = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     head = words.filter(F.col("n") >= F.lit(total * head_share)).toPandas()
     head = dict(zip(map(bytes, head["word"]), head["n"].tolist()))
     known, sizes, kinds = {END: 0}, [float(head.get(END, words.filter(F.length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])), 0.0], [1.0, 0.0]
-    for w in sorted((w for w, n in head.items() if w != END and n >= total * unit_share), key=lambda w: (-head[w], w)):
+    for w in sorted((w for w in head if w != END), key=lambda w: (-head[w], w)):
         known[w] = len(sizes)
         sizes.append(float(head[w]))
         kinds.append(1.0)
     # The other words by their last two bytes: 65,792 groups at most.
-    rare = words.filter((F.length("word") > 0) & (F.col("n") < F.lit(total * unit_share)))
+    rare = words.filter((F.length("word") > 0) & (F.col("n") < F.lit(total * head_share)))
     ends = rare.groupBy(F.expr("substring(word, greatest(length(word) - 1, 1), 2)").alias("e")).agg(F.sum("n").alias("n"), F.count("*").alias("types"))
     for r in sorted(ends.collect(), key=lambda r: bytes(r["e"])):
-        if r["n"] >= total * unit_share:
+        if r["n"] >= total * head_share:
             known[_OTHER + bytes(r["e"])] = len(sizes)
             sizes.append(float(r["n"]))
             kinds.append(float(r["types"]))
@@ -276,8 +284,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", many:
 
     def run(batches):
         m = model
-        head = {w: (int(m.classes[m.units.of(w)]), float(np.log10(n + 1))) for w, n in m.head.items()}
-        tails: dict[bytes, int] = {}  # class of a word that is not in the head
+        place = {w: i for i, w in enumerate(m.head)}.get
+        head_class = np.array([*[m.classes[m.units.of(w)] for w in m.head], 0])
+        head_log = np.log10(np.array([*m.head.values(), 0], dtype=float) + 1)
+        tails: dict[bytes, int] = {}  # class of the words of an ending that are not in the head
         held: dict[bytes, list[int]] = {}
         size = 0
 
@@ -294,33 +304,25 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", many:
             ids = batch.schema.field(1).type
             out = [[], [], [], []]
             for row, text in zip(batch.column(0).to_pylist(), batch.column(2)):
-                text = tokens(text.as_py())
-                base, known = 0.0, 0
-                path = [FIXED]
-                gone = 0.0
-                for w in itertools.chain(text, (END,)):
-                    h = head.get(w)
-                    if h is not None:
-                        path.append(h[0])
-                        base += h[1]
-                        known += 1
+                words_ = [*tokens(text.as_py()), END]
+                at = np.array([place(w, -1) for w in words_])
+                path = head_class[at]
+                others = np.flatnonzero(at < 0).tolist()
+                for i in others:
+                    w = words_[i]
+                    c = tails.get(w[-2:])
+                    if c is None:
+                        c = tails[w[-2:]] = int(m.classes[m.units.known.get(_OTHER + w[-2:], 1)]) if w else FIXED
+                    path[i] = c
+                    own = held.get(w)
+                    if own is None:
+                        held[w] = [row]
                     else:
-                        c = tails.get(w)
-                        if c is None:
-                            if len(tails) > 200_000:
-                                tails.clear()
-                            c = tails[w] = int(m.classes[m.units.of(w)])
-                        path.append(c)
-                        own = held.get(w)
-                        if own is None:
-                            held[w] = [row]
-                        else:
-                            own.append(row)
-                at = np.array(path)
-                gone = float(m.step[at[:-1], at[1:]].sum() - m.room[at[1:]].sum())
-                for column, value in zip(out, (len(path) - 1, known, base, gone)):
+                        own.append(row)
+                gone = float(m.step[np.append(FIXED, path[:-1]), path].sum() - m.room[path].sum())
+                for column, value in zip(out, (len(at), len(at) - len(others), float(head_log[at].sum()), gone)):
                     column.append(value)
-                size += len(path)
+                size += len(at)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), batch.column(0), batch.column(1), batch.column(3), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.float64())],

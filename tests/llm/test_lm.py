@@ -112,3 +112,11 @@ def test_empty_table_and_no_training_text(spark):
     only = next(i for i in range(100) if held(i))
     row = lm.score(documents(spark, [(only, "a b")])).first()
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (3, 0, 0, 0.0)
+
+
+def test_most_tokens_have_a_clustered_word(spark):
+    docs = table(spark, SF, "documents").selectExpr("text AS _text")
+    counts = docs.mapInArrow(lm._word_counts, "word binary, n long").groupBy("word").sum("n").toDF("word", "n")
+    model = lm.fit(docs, counts, rounds=1)
+    assert set(model.head) - {b""} <= set(model.units.known)  # every word that travels is a unit of its own
+    assert sum(model.head.values()) >= 0.75 * model.total
