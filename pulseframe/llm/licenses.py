@@ -3,7 +3,7 @@
 Templates are one-line notices, headers of source files, and whole licences. A file is compared with them
 as single lines, as blocks (lines up to one without a word, such as the paragraphs of a header) and as a whole; a long
 line is also compared in windows as long as a short template, laid where one of the template's heavy words stands.
-A vector has a weight for each of its words: how often it stands there, times how rare it is
+A vector has a weight for each of its words: one and the logarithm of how often it stands there, times how rare it is
 among the templates. What reaches the cosine ``least`` with a template is a notice of the most similar one.
 Only texts that can reach it are looked at word by word: without one of a template's
 heaviest words the rest of its weights is too short, so a pattern of these words finds all of them.
@@ -26,6 +26,7 @@ from pulseframe.llm.common import drop_stored, store
 LEAST = 0.6
 # Templates of so many words are looked for within longer lines; longer ones are headers and texts.
 WINDOW_WORDS = 30
+IDENTIFIER = "SPDX-License-Identifier"
 RESERVED = "Proprietary"  # counts where there is no other notice
 # A file that is so similar to a longer template is a licence file, whatever its name.
 WHOLE = 0.9
@@ -152,10 +153,13 @@ _BREAK = "[^a-z0-9]+"
 _BLANK = r"\n(?:[^A-Za-z0-9\n]*\n)+"  # lines without a word
 # Words of any sentence, which say little about a licence; fixed values.
 ORDINARY = frozenset(
-    "a all an and any are as at be by following for form from has have in is it its not of on or other person some such"
-    " that the their this to under use used was which will with without work".split()
+    "a above all also an and any anyone appear are as at be but by c can do even everyone except following for form from has have if in into is it"
+    " its may must neither no non nor not of on one or other our person prior shall so some such that the their these this to under use used v was"
+    " we whether which whatsoever will with without work you your".split()
 )
 ORDINARY_RARITY = 0.3
+# Words that many other texts have as well: a pattern takes them last; fixed values.
+PLAIN = frozenset("binary cc code file files forms free general http https language later library list met mit name names only org program sa see source subject version way www".split())
 
 
 def words_of(text: str) -> list[str]:
@@ -168,8 +172,11 @@ def words(line: Column) -> Column:
 
 def rarity(templates: tuple[tuple[str, str], ...]) -> tuple[dict[str, float], float]:
     """Inverse document frequency of the templates' words, and of any other word; ordinary words have a low one."""
-    seen = Counter(w for _, t in templates for w in set(words_of(t)))
-    n = len(templates)
+    families: dict[int, set[str]] = {}  # identifiers are one text, written out for each licence
+    for i, (_, t) in enumerate(templates):
+        families.setdefault(-1 if t.startswith(IDENTIFIER) else i, set()).update(words_of(t))
+    seen = Counter(w for said in families.values() for w in said)
+    n = len(families)
     return {w: math.log((1 + n) / (1 + c)) + 1 for w, c in seen.items()} | dict.fromkeys(ORDINARY, ORDINARY_RARITY), math.log(1 + n) + 1
 
 
@@ -178,18 +185,18 @@ def weights(templates: tuple[tuple[str, str], ...]) -> list[tuple[int, str, str,
     idf, _ = rarity(templates)
     out = []
     for i, (name, text) in enumerate(templates):
-        raw = {w: n * idf[w] for w, n in Counter(words_of(text)).items()}
+        raw = {w: (1 + math.log(n)) * idf[w] for w, n in Counter(words_of(text)).items()}
         norm = math.sqrt(sum(x * x for x in raw.values()))
         out += [(i, name, w, x / norm) for w, x in sorted(raw.items())]
     return out
 
 
 def _anchors_of(template: int, templates: tuple[tuple[str, str], ...], least: float) -> list[str]:
-    """Words of a template of which any text of cosine ``least`` to it has one: the heaviest, until the rest is too short."""
+    """Words of a template of which any text of cosine ``least`` to it has one: the heaviest, plain ones last, until the rest is too short."""
     out = []
     rows = [(x, w) for i, _, w, x in weights(templates) if i == template]
     rest = sum(x * x for x, _ in rows)
-    for x, w in sorted(rows, key=lambda r: (-r[0], r[1])):
+    for x, w in sorted(rows, key=lambda r: (r[1] in ORDINARY, r[1] in PLAIN or r[1].isdigit(), -r[0], r[1])):
         if math.sqrt(max(0.0, rest)) < least - 1e-9:
             break
         out.append(w)
@@ -255,7 +262,7 @@ def _dots(said: DataFrame, keys: list[str], templates, by: str | None = None) ->
     rare = spark.createDataFrame(sorted(idf.items()), "word string, idf double")
     table = spark.createDataFrame([(i, w, x) for i, _, w, x in weights(templates)], "template int, word string, w double")
     counted = said.groupBy(*keys, "word").agg(F.count("*").alias("n"))
-    weighed = counted.join(F.broadcast(rare), "word", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(other)))
+    weighed = counted.join(F.broadcast(rare), "word", "left").withColumn("x", (F.log("n") + 1) * F.coalesce("idf", F.lit(other)))
     dot, norm = F.sum(F.col("x") * F.coalesce("w", F.lit(0.0))), F.sqrt(F.sum(F.col("x") * F.col("x")))
     if by:
         one = weighed.join(F.broadcast(table.withColumnRenamed("template", by)), ["word", by], "left")  # the templates' words, some thousand rows
@@ -280,10 +287,12 @@ def _whole_units(files: DataFrame, templates, least: float) -> DataFrame:
     said = words(F.col("content"))
     n_heavy = F.size(F.filter(said, lambda w: w.isin(*heavy)))
     n_ordinary = F.size(F.filter(said, lambda w: w.isin(*ORDINARY)))
-    others = F.size(said) - n_heavy - n_ordinary
+    others = F.size(F.array_distinct(F.filter(said, lambda w: ~w.isin(*heavy, *ORDINARY))))
     units = units.filter(n_heavy * reach[False] + n_ordinary * reach[True] >= F.sqrt(others) * (least * other) - 1e-9).distinct()
     keys = ["path", "unit", "no", "c"]
-    return _dots(units.select("path", "unit", "no", F.xxhash64("content").alias("c"), F.explode(words(F.col("content"))).alias("word")), keys, templates)
+    # What is worked out beside an explode is worked out for every row it makes; so first, and then explode.
+    bags = units.select("path", "unit", "no", F.xxhash64("content").alias("c"), said.alias("said"))
+    return _dots(bags.select(*keys, F.explode("said").alias("word")), keys, templates)
 
 
 def _windows(files: DataFrame, templates, least: float) -> DataFrame:
@@ -294,8 +303,9 @@ def _windows(files: DataFrame, templates, least: float) -> DataFrame:
     lines = files.filter(F.col("text").rlike(pattern)).select("path", F.posexplode(F.split("text", "\n")).alias("no", "content")).filter(F.col("content").rlike(pattern)).distinct()
     said = words(F.col("content"))
     own = ["path", "no", "c"]
-    rows = lines.select("path", "no", F.xxhash64("content").alias("c"), F.size(said).alias("size"), F.posexplode(said).alias("pos", "word"))
-    rows = store(rows.filter(F.col("size") > min([n for _, _, _, n in places], default=0)), "said")
+    bags = lines.select("path", "no", F.xxhash64("content").alias("c"), F.size(said).alias("size"), said.alias("said"))
+    bags = bags.filter(F.col("size") > min([n for _, _, _, n in places], default=0))
+    rows = store(bags.select(*own, "size", F.posexplode("said").alias("pos", "word")), "said")
     heavy = spark.createDataFrame(places, "word string, t int, offset int, words int")
     hits = rows.join(F.broadcast(heavy), "word").filter("size > words").select(*own, "t", (F.col("pos") - F.col("offset")).alias("start"), "words").distinct()
     at = F.explode(F.sequence(F.greatest("start", F.lit(0)), F.col("start") + F.col("words") - 1)).alias("pos")
@@ -367,14 +377,15 @@ def oracle(table: str, path: str, templates=TEMPLATES, least: float = LEAST) ->
     rows = ", ".join(f"({i}, {quoted(n)}, {quoted(t)})" for i, (n, t) in enumerate(templates))
     heavy = ", ".join(f"('{w}', {t}, {o}, {n})" for w, t, o, n in short_anchors(templates, least))
     ordinary = ", ".join(f"'{w}'" for w in sorted(ORDINARY))
+    families = len({-1 if t.startswith(IDENTIFIER) else i for i, (_, t) in enumerate(templates)})
     longer = ", ".join(map(str, [-1, *_long(templates)]))
-    other = f"ln(1.0 + {len(templates)}) + 1"
+    other = f"ln(1.0 + {families}) + 1"
     return f"""
     WITH template(t, licence, body) AS (VALUES {rows}),
     heavy(w, t, o, size) AS (VALUES {heavy}),
-    tw AS (SELECT t, w, count(*) AS n FROM (SELECT t, unnest(regexp_split_to_array(lower(body), '{_BREAK}')) AS w FROM template) WHERE w <> '' GROUP BY ALL),
-    idf AS (SELECT w, CASE WHEN w IN ({ordinary}) THEN {ORDINARY_RARITY} ELSE ln((1.0 + {len(templates)}) / (1 + count(DISTINCT t))) + 1 END AS idf FROM tw GROUP BY w),
-    tx AS (SELECT t, w, n * idf AS x FROM tw JOIN idf USING (w)),
+    tw AS (SELECT t, f, w, count(*) AS n FROM (SELECT t, CASE WHEN starts_with(body, '{IDENTIFIER}') THEN -1 ELSE t END AS f, unnest(regexp_split_to_array(lower(body), '{_BREAK}')) AS w FROM template) WHERE w <> '' GROUP BY ALL),
+    idf AS (SELECT w, CASE WHEN w IN ({ordinary}) THEN {ORDINARY_RARITY} ELSE ln((1.0 + {families}) / (1 + count(DISTINCT f))) + 1 END AS idf FROM tw GROUP BY w),
+    tx AS (SELECT t, w, (1 + ln(n)) * idf AS x FROM tw JOIN idf USING (w)),
     tn AS (SELECT t, sqrt(sum(x * x)) AS norm FROM tx GROUP BY t),
     file AS (SELECT {path} AS path, coalesce(text, '') AS text FROM {table}),
     blocks AS (SELECT path, text, regexp_split_to_array(text, '{_BLANK}') AS b FROM file),
@@ -386,14 +397,14 @@ def oracle(table: str, path: str, templates=TEMPLATES, least: float = LEAST) ->
     split AS (SELECT path, unit, no, list_filter(regexp_split_to_array(lower(content), '{_BREAK}'), lambda w: w <> '') AS words FROM unit),
     said AS (SELECT path, unit, no, len(words) AS size, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS pos FROM split),
     word AS (SELECT path, unit, no, w, count(*) AS n FROM said GROUP BY ALL),
-    weighed AS (SELECT path, unit, no, w, n * CASE WHEN w IN ({ordinary}) THEN {ORDINARY_RARITY} ELSE coalesce(idf, {other}) END AS x FROM word LEFT JOIN idf USING (w)),
+    weighed AS (SELECT path, unit, no, w, (1 + ln(n)) * CASE WHEN w IN ({ordinary}) THEN {ORDINARY_RARITY} ELSE coalesce(idf, {other}) END AS x FROM word LEFT JOIN idf USING (w)),
     norm AS (SELECT path, unit, no, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY ALL),
     hit AS (SELECT path, unit, no, t, round(sum(weighed.x * tx.x / tn.norm) / any_value(norm.norm), 6) AS cosine
             FROM weighed JOIN tx USING (w) JOIN tn USING (t) JOIN norm USING (path, unit, no) GROUP BY path, unit, no, t),
     start AS (SELECT DISTINCT path, no, t, pos - o AS start, heavy.size FROM said JOIN heavy USING (w) WHERE unit = 'line' AND said.size > heavy.size),
     bag AS (SELECT path, s.no, s.t, s.start, a.w, count(*) AS n FROM start s JOIN said a USING (path)
             WHERE a.unit = 'line' AND a.no = s.no AND a.pos BETWEEN s.start AND s.start + s.size - 1 GROUP BY ALL),
-    heaped AS (SELECT path, no, t, start, w, n * CASE WHEN w IN ({ordinary}) THEN {ORDINARY_RARITY} ELSE coalesce(idf, {other}) END AS x FROM bag LEFT JOIN idf USING (w)),
+    heaped AS (SELECT path, no, t, start, w, (1 + ln(n)) * CASE WHEN w IN ({ordinary}) THEN {ORDINARY_RARITY} ELSE coalesce(idf, {other}) END AS x FROM bag LEFT JOIN idf USING (w)),
     seen AS (SELECT path, 'line' AS unit, h.no, h.t, round(sum(h.x * coalesce(tx.x, 0) / tn.norm) / sqrt(sum(h.x * h.x)), 6) AS cosine
              FROM heaped h JOIN tn ON tn.t = h.t LEFT JOIN tx ON tx.t = h.t AND tx.w = h.w GROUP BY path, h.no, h.t, h.start),
     notice AS (SELECT path, unit, no, max((cosine, -t)) AS k FROM (SELECT * FROM hit UNION ALL SELECT * FROM seen) WHERE cosine >= {least} GROUP BY path, unit, no),
