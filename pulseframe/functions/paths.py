@@ -125,7 +125,8 @@ def truthy_text(v: Column, path: str) -> Column:
     text = F.try_variant_get(v, path, "string")
     kind = F.schema_of_variant(value)
     return (
-        F.when(kind == "STRING", F.when(text != "", text))
+        F.when(value.isNull(), F.lit(None).cast("string"))  # a field that is missing is looked up once
+        .when(kind == "STRING", F.when(text != "", text))
         .when(kind == "BOOLEAN", F.when(F.try_variant_get(v, path, "boolean"), F.lit("True")))
         .when(kind.rlike("^(OBJECT|ARRAY)<"), F.when(~text.isin("{}", "[]"), text))
         .otherwise(F.when(F.try_variant_get(v, path, "double") != 0, text))

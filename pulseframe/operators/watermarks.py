@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.functions.dates import day_sequence
 from pulseframe.operators.upsert import latest_by_key, upsert
+from pulseframe.session import shuffle_partitions
 from pulseframe.sources.envelope import read_or_empty
 from pulseframe.sources.registry import with_collectors
 
@@ -53,10 +54,15 @@ def fetch_windows(
 
 
 def daily_requests(windows: DataFrame) -> DataFrame:
-    """One row per day of every daily collector's window, both ends included."""
+    """One row per day of every daily collector's window, both ends included.
+
+    A window is a few bytes and its days are many rows, so windows are spread by their number first:
+    adaptive execution, which merges by bytes, would give them all to one task.
+    """
     days = day_sequence(F.col("start_date"), F.col("end_date"))
     return (
         windows.filter(F.col("kind") == "daily")
+        .repartition(shuffle_partitions(windows.sparkSession))
         .withColumn("requested", F.explode(days))
         .drop("kind", "start_date", "end_date")
     )

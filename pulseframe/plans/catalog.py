@@ -447,8 +447,17 @@ def activity_runs(spark, sf):
     return discovery.fetch_batches(details_to_fetch(table), f"{root}/batches")
 
 
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` by key over the whole shuffle width: a payload's bytes say little of its work, and adaptive execution merges by bytes."""
+    return rows.repartition(shuffle_partitions(rows.sparkSession), *keys)
+
+
+def _subjects_of_events(spark, sf) -> DataFrame:
+    return payloads.table(spark, sf, "events").select(F.col("user_id").alias("subject_id")).distinct()
+
+
 def _events_of_subjects(spark, sf) -> DataFrame:
-    return payloads.table(spark, sf, "events").repartition(shuffle_partitions(spark)).select(
+    return _spread(payloads.table(spark, sf, "events"), "event_id").select(
         F.col("user_id").alias("subject_id"),
         F.col("event_id").cast("string").alias("natural_key"),
         F.col("event_id").alias("recency"),
@@ -493,15 +502,19 @@ def _days_of_subjects(spark, sf) -> DataFrame:
 
 
 def _answers(spark, sf, feed: DataFrame, since: str, broken: Column | None = None) -> dict:
-    """What requests of a whole run are answered with: every event day, ranges in chunks from ``since``."""
+    """What requests of a whole run are answered with: every event day, ranges in chunks from ``since``.
+
+    A chunk's payload makes up to 27 rows for each collector that asks for it, so answers are spread by their
+    number. Days are unique and far fewer than the requests, which are looked up in them unsorted.
+    """
     days = _days_of_subjects(spark, sf)
     chunks = payloads.range_payloads(spark, sf, since).drop("source_method")
     payload = F.col("payload") if broken is None else broken
     return {
         "activities": lambda: feed,
         "details": lambda missing: missing.join(feed, list(SUBJECT_KEYS)).withColumn("payload", payload),
-        "range": lambda requests: requests.join(chunks, ["subject_id", "chunk_start"]),
-        "daily": lambda requests: requests.join(days, ["subject_id", "requested"]),
+        "range": lambda requests: _spread(requests, "subject_id", "chunk_start").join(chunks, ["subject_id", "chunk_start"]),
+        "daily": lambda requests: _spread(requests, "subject_id", "requested").join(days.hint("shuffle_hash"), ["subject_id", "requested"]),
     }
 
 
@@ -519,7 +532,7 @@ def mixed_writers(spark, sf):
     state = watermarks.StateLog(spark, f"{root}/state", "subject_id bigint")
     since, today = _event_days(spark, sf)
     answers, at = _answers(spark, sf, feed, since), f"{today}T10:00:00Z"
-    subjects = feed.select("subject_id").distinct()
+    subjects = _subjects_of_events(spark, sf)
 
     def collect(only: str) -> None:
         windows = watermarks.fetch_windows(subjects, state.current(before=1), today, since, only)
@@ -544,7 +557,7 @@ def full_run(spark, sf):
     state = watermarks.StateLog(spark, f"{root}/state", "subject_id bigint")
     since, today = _event_days(spark, sf)
     late = F.when(F.col("event_type") == "signup", F.lit("{}")).otherwise(F.col("payload"))
-    subjects = feed.select("subject_id").distinct()
+    subjects = _subjects_of_events(spark, sf)
     run_all(table, state, subjects, _answers(spark, sf, feed, since, late), today, f"{today}T10:00:00Z", 1, since=since)
     run_all(table, state, subjects, _answers(spark, sf, feed, since), today, f"{today}T11:00:00Z", 2, only="activity_details")
     return _landed_counts(table)
@@ -559,7 +572,7 @@ def staged_counts(spark, sf):
     since, today = _event_days(spark, sf)
     broken = F.when(F.col("event_type") == "click", F.lit("{broken")).otherwise(F.col("payload"))
     answers = _answers(spark, sf, feed, since, broken)
-    subjects, at = feed.select("subject_id").distinct(), f"{today}T10:00:00Z"
+    subjects, at = _subjects_of_events(spark, sf), f"{today}T10:00:00Z"
     none = {"range": lambda r: answers["range"](r).filter("false"), "daily": lambda r: answers["daily"](r).filter("subject_id < 0")}
     runs = [
         run_all(table, state, subjects, answers, today, at, 1, since=since),

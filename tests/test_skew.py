@@ -81,3 +81,21 @@ def test_reductions_run_before_the_shuffle(spark, plain_joins):
         assert partial in plan(df).split("Exchange hashpartitioning")[1]
     assert rows(latest.filter("natural_key = 'hot'")) == [("hot", HOT - 1, "x")]
     assert rows(repeated) == [("hot", HOT)]
+
+
+def test_requests_and_answers_are_spread_by_their_number(spark):
+    """A few bytes of windows and payloads make many rows: they are not merged into one task."""
+    from pulseframe.operators import watermarks
+    from pulseframe.plans import catalog
+
+    def tasks(df) -> int:
+        return df.select(F.spark_partition_id()).distinct().count()
+
+    root = "/root/testdata/sf0.001"
+    subjects = spark.range(400).select((F.col("id") % 40).alias("subject_id")).distinct()
+    state = spark.createDataFrame([], "subject_id bigint, collector_name string, last_extracted_date date")
+    windows = watermarks.fetch_windows(subjects, state, "2024-01-30", "2024-01-01")
+    daily, ranged = watermarks.daily_requests(windows), watermarks.range_requests(windows)
+    assert tasks(daily) > 1 and daily.count() == 40 * 14 * 30
+    answers = catalog._answers(spark, root, catalog._events_of_subjects(spark, root), "2024-01-01")
+    assert tasks(answers["range"](ranged)) > 1 and tasks(answers["daily"](daily)) > 1
