@@ -20,11 +20,11 @@ a chunk it is in.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +39,7 @@ ROUNDS = 30
 PRIOR = 20.0
 END = b""  # no word is empty
 _CHUNK_TOKENS = 2_000_000
+_CHUNK_BYTES = 3_000_000  # of text whose words are looked up at once
 _OTHER = b"\x00"
 FIXED = 0  # the class of the end alone
 
@@ -52,26 +53,62 @@ def training(id_col: str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(7)) != 2, F.lit(True))
 
 
+def _chunks(batches, column: int = 0):
+    """The batches in pieces of about ``_CHUNK_BYTES`` of text: small ones are put together, large ones cut between rows."""
+    held, size = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64) + 1)
+        start = done = 0
+        while start < batch.num_rows:
+            stop = min(int(np.searchsorted(ends, done + _CHUNK_BYTES - size)) + 1, batch.num_rows)
+            held.append(batch.slice(start, stop - start))
+            size += int(ends[stop - 1]) - done
+            start, done = stop, int(ends[stop - 1])
+            if size >= _CHUNK_BYTES:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _encoded(texts) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """:func:`tokens` of many texts at once: the distinct words, each word's number among these, and its text's."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    coded = lists.flatten().dictionary_encode()
+    codes, owners = coded.indices.to_numpy(), pc.list_parent_indices(lists).to_numpy()
+    blank = pc.index(coded.dictionary, "").as_py()  # before and after outer white space
+    if blank >= 0:
+        codes, owners = codes[codes != blank], owners[codes != blank]
+    return coded.dictionary.cast(pa.binary()), codes, owners
+
+
+def _one_coding(parts: list[pa.Array]) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words of some lists, and the number of each entry's word among these."""
+    coded = pa.concat_arrays(parts).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy()
+
+
 def _word_counts(batches):
-    counts: Counter[bytes] = Counter()
-    size = 0
+    parts: list[tuple[pa.Array, np.ndarray]] = []
+    size = texts = 0
 
     def flush():
-        words = list(counts)
-        for i in range(0, len(words), 100_000):
-            part = words[i : i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([counts[w] for w in part], pa.int64())], names=["word", "n"])
-        counts.clear()
-
-    for batch in batches:
-        for text in batch.column(0):
-            words = tokens(text.as_py())
-            counts.update(words)
-            counts[END] += 1
-            size += len(words) + 1
-            if size > _CHUNK_TOKENS:
-                yield from flush()
-                size = 0
+        parts.append((pa.array([END], pa.binary()), np.array([texts])))
+        words, codes = _one_coding([w for w, _ in parts])
+        n = np.bincount(codes, np.concatenate([n for _, n in parts]), len(words)).astype(np.int64)
+        parts.clear()
+        whole = pa.RecordBatch.from_arrays([words, pa.array(n)], names=["word", "n"]).filter(pa.array(n > 0))
+        for i in range(0, whole.num_rows, 100_000):
+            yield whole.slice(i, 100_000)
+
+    for batch in _chunks(batches):
+        words, codes, _ = _encoded(batch.column(0))
+        parts.append((words, np.bincount(codes, minlength=len(words))))
+        texts += batch.num_rows
+        size += len(codes) + batch.num_rows
+        if size > _CHUNK_TOKENS:
+            yield from flush()
+            size = texts = 0
     yield from flush()
 
 
@@ -114,22 +151,23 @@ def unit_rows(docs: DataFrame, units: Units) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array((keys // many).astype(np.int32)), pa.array((keys % many).astype(np.int32)), pa.array(n.astype(np.int64))], names=["p", "q", "n"])
 
         get = units.known.get
-        for batch in batches:
-            for text in batch.column(0):
-                words = tokens(text.as_py())
-                row = [0, *[get(w, -1) for w in words], 0]
-                row = np.array(row, dtype=np.int64)
-                for i in np.flatnonzero(row < 0).tolist():  # words without a unit of their own
-                    w = words[i - 1][-2:]
-                    u = cache.get(w)
-                    if u is None:
-                        u = cache[w] = get(_OTHER + w, 1)
-                    row[i] = u
-                parts.append(row[:-1] * many + row[1:])
-                size += len(row)
-                if size > _CHUNK_TOKENS:
-                    yield from flush()
-                    size = 0
+        for batch in _chunks(batches):
+            words, codes, owners = _encoded(batch.column(0))
+            own = words.to_pylist()
+            found = [get(w, -1) for w in own]
+            for i in [i for i, u in enumerate(found) if u < 0]:  # words without a unit of their own
+                w = own[i][-2:]
+                u = cache.get(w)
+                if u is None:
+                    u = cache[w] = get(_OTHER + w, 1)
+                found[i] = u
+            row = np.zeros(len(codes) + batch.num_rows + 1, dtype=np.int64)  # the end stands around each text
+            row[np.arange(1, len(codes) + 1) + owners] = np.array(found, dtype=np.int64)[codes]
+            parts.append(row[:-1] * many + row[1:])
+            size += len(row)
+            if size > _CHUNK_TOKENS:
+                yield from flush()
+                size = 0
         yield from flush()
 
     table = store(docs.mapInArrow(pairs, "p int, q int, n long").groupBy("p", "q").agg(F.sum("n").alias("n")), "pairs")
@@ -288,50 +326,66 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", many:
         head_class = np.array([*[m.classes[m.units.of(w)] for w in m.head], 0])
         head_log = np.log10(np.array([*m.head.values(), 0], dtype=float) + 1)
         tails: dict[bytes, int] = {}  # class of the words of an ending that are not in the head
-        held: dict[bytes, list[int]] = {}
+        last = place(END, -1)
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         size = 0
 
-        def flush():
-            found = list(held)
-            for i in range(0, len(found), 50_000):
-                part = found[i : i + 50_000]
-                n = len(part)
-                empty = [pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([held[w] for w in part], pa.list_(pa.int64())), pa.nulls(n, pa.int64()), pa.nulls(n, ids), pa.nulls(n, pa.bool_()), *empty], names=names)
+        def flush(ids):
+            """The other words, each with the texts it is in, a text as often as it has the word."""
+            words, codes = _one_coding([w for w, _, _ in held])
+            first = np.cumsum([0, *[len(w) for w, _, _ in held]])
+            which = np.concatenate([codes[k + c] for k, (_, c, _) in zip(first.tolist(), held)])
+            texts = np.concatenate([t for _, _, t in held])
             held.clear()
-
-        for batch in batches:
-            ids = batch.schema.field(1).type
-            out = [[], [], [], []]
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(2)):
-                words_ = [*tokens(text.as_py()), END]
-                at = np.array([place(w, -1) for w in words_])
-                path = head_class[at]
-                others = np.flatnonzero(at < 0).tolist()
-                for i in others:
-                    w = words_[i]
-                    c = tails.get(w[-2:])
-                    if c is None:
-                        c = tails[w[-2:]] = int(m.classes[m.units.known.get(_OTHER + w[-2:], 1)]) if w else FIXED
-                    path[i] = c
-                    own = held.get(w)
-                    if own is None:
-                        held[w] = [row]
-                    else:
-                        own.append(row)
-                gone = float(m.step[np.append(FIXED, path[:-1]), path].sum() - m.room[path].sum())
-                for column, value in zip(out, (len(at), len(at) - len(others), float(head_log[at].sum()), gone)):
-                    column.append(value)
-                size += len(at)
-            n = batch.num_rows
+            order = np.argsort(which, kind="stable")
+            rows_ = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(which, minlength=len(words)))).astype(np.int32)), pa.array(texts[order]))
+            some = np.flatnonzero(rows_.value_lengths().to_numpy())
+            for i in range(0, len(some), 50_000):
+                part = pa.array(some[i : i + 50_000])
+                empty = [pa.nulls(len(part), t) for t in (pa.int64(), ids, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+                yield pa.RecordBatch.from_arrays([words.take(part), rows_.take(part), *empty], names=names)
+
+        for batch in _chunks(batches, 2):
+            ids, n = batch.schema.field(1).type, batch.num_rows
+            words_, codes, owners = _encoded(batch.column(2))
+            own = words_.to_pylist()
+            places = np.array([place(w, -1) for w in own], dtype=np.int32)
+            kinds = head_class[places]
+            for i in np.flatnonzero(places < 0).tolist():
+                w = own[i][-2:]
+                c = tails.get(w)
+                if c is None:
+                    c = tails[w] = int(m.classes[m.units.known.get(_OTHER + w, 1)])
+                kinds[i] = c
+            # Texts one after the other, each with its end.
+            sizes = np.bincount(owners, minlength=n) + 1
+            stops = np.cumsum(sizes)
+            slots = np.arange(len(codes)) + owners
+            at, path = np.full(len(codes) + n, last, dtype=np.int32), np.full(len(codes) + n, FIXED, dtype=np.int32)
+            at[slots], path[slots] = places[codes], kinds[codes]
+            logs, moves, rooms = head_log[at], m.step[np.append(FIXED, path[:-1]), path], m.room[path]
+            spans = list(zip((stops - sizes).tolist(), stops.tolist()))
+            base = [float(logs[i:j].sum()) for i, j in spans]
+            gone = [float(moves[i:j].sum() - rooms[i:j].sum()) for i, j in spans]
+            known = np.add.reduceat(at >= 0, stops - sizes, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), batch.column(0), batch.column(1), batch.column(3), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.float64())],
+                [pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), batch.column(0), batch.column(1), batch.column(3), pa.array(sizes.astype(np.int64)), pa.array(known), pa.array(base, pa.float64()), pa.array(gone, pa.float64())],
                 names=names,
             )
+            rows_ = batch.column(0).to_numpy()
+            rare = np.flatnonzero(places < 0).astype(np.int32)
+            number = np.zeros(len(own), dtype=np.int32)
+            number[rare] = np.arange(len(rare))
+            others = places[codes] < 0
+            held.append((words_.take(pa.array(rare)), number[codes[others]], rows_[owners[others]]))
+            if last < 0:
+                held.append((pa.array([END], pa.binary()), np.zeros(n, dtype=np.int32), rows_))
+            size += len(at)
             if size > _CHUNK_TOKENS:
-                yield from flush()
+                yield from flush(ids)
                 size = 0
-        yield from flush()
+        if held:
+            yield from flush(ids)
 
     names = ["word", "rows", "row", "id", "train", "n_tokens", "known", "base", "path"]
     kind = rows.schema[0].dataType.simpleString()

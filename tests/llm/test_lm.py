@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from helpers_llm import AWKWARD, documents
 from pulseframe.llm import lm
 from pulseframe.llm.common import table
@@ -120,3 +121,29 @@ def test_most_tokens_have_a_clustered_word(spark):
     model = lm.fit(docs, counts, rounds=1)
     assert set(model.head) - {b""} <= set(model.units.known)  # every word that travels is a unit of its own
     assert sum(model.head.values()) >= 0.75 * model.total
+
+
+def test_texts_are_cut_into_words_many_at_once(monkeypatch):
+    """No text is split alone, however batches are cut, and the words are those of ``tokens``."""
+    import pyarrow as pa
+
+    texts = ["a B a", " \tx\x0by\x0c\r\nz ", "", None, "   ", "\x1c \x85 É é\xa0É", "\x00ab b", "one"] * 3
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 5], pa.string())], names=["t"]) for i in range(0, len(texts), 5)]
+    want = Counter(w for t in texts for w in [*lm.tokens(t), lm.END])
+    split = lm.tokens
+    monkeypatch.setattr(lm, "tokens", lambda text: pytest.fail("a text was split alone"))
+    for limit in (1, 10, 1000):
+        monkeypatch.setattr(lm, "_CHUNK_BYTES", limit)
+        chunks = list(lm._chunks(batches))
+        assert [t for c in chunks for t in c.column(0).to_pylist()] == texts
+        assert len(chunks) == (len(texts) if limit == 1 else len(chunks)) and (limit < 1000 or len(chunks) == 1)
+        for c in chunks:
+            words, codes, owners = lm._encoded(c.column(0))
+            found = [[] for _ in range(c.num_rows)]
+            for code, owner in zip(codes.tolist(), owners.tolist()):
+                found[owner].append(words[code].as_py())
+            assert found == [split(t) for t in c.column(0).to_pylist()]
+        counted = Counter()
+        for b in lm._word_counts(batches):
+            counted.update(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
+        assert counted == want
