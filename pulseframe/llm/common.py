@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,21 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """What runs meanwhile hands Python batches of about ``size`` bytes, of one row at least, instead of 10,000 rows.
+
+    An executor keeps buffers outside its heap as large as the batches that went through them.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def unit_hash(*cols: Column) -> Column:
     """A number in [0, 1) decided by the values alone."""
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 52)) / F.lit(float(1 << 52))

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.llm.common import drop_stored, store
+from pulseframe.llm.common import batches_of, drop_stored, store
 
 CLASSES = 48
 # Relative count of the words that go to every task, 250,000 at most; they and groups of rarer words above it are clustered.
@@ -40,6 +40,8 @@ PRIOR = 20.0
 END = b""  # no word is empty
 _CHUNK_TOKENS = 2_000_000
 _CHUNK_BYTES = 3_000_000  # of text whose words are looked up at once
+_BATCH_BYTES = 1_000_000  # that go to Python at once
+_BATCH_ENTRIES = 100_000  # that come back at once
 _OTHER = b"\x00"
 FIXED = 0  # the class of the end alone
 
@@ -88,6 +90,16 @@ def _one_coding(parts: list[pa.Array]) -> tuple[pa.Array, np.ndarray]:
     return coded.dictionary, coded.indices.to_numpy()
 
 
+def _pieces(batch: pa.RecordBatch, sizes: np.ndarray | None = None):
+    """The batch cut between rows, into pieces of ``_BATCH_ENTRIES`` rows or as many entries of rows of these sizes."""
+    ends = np.cumsum(sizes) if sizes is not None else np.arange(1, batch.num_rows + 1)
+    start = done = 0
+    while start < batch.num_rows:
+        stop = max(int(np.searchsorted(ends, done + _BATCH_ENTRIES, side="right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start, done = stop, int(ends[stop - 1])
+
+
 def _word_counts(batches):
     parts: list[tuple[pa.Array, np.ndarray]] = []
     size = texts = 0
@@ -98,8 +110,7 @@ def _word_counts(batches):
         n = np.bincount(codes, np.concatenate([n for _, n in parts]), len(words)).astype(np.int64)
         parts.clear()
         whole = pa.RecordBatch.from_arrays([words, pa.array(n)], names=["word", "n"]).filter(pa.array(n > 0))
-        for i in range(0, whole.num_rows, 100_000):
-            yield whole.slice(i, 100_000)
+        yield from _pieces(whole)
 
     for batch in _chunks(batches):
         words, codes, _ = _encoded(batch.column(0))
@@ -148,7 +159,7 @@ def unit_rows(docs: DataFrame, units: Units) -> DataFrame:
             keys, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.int64),) * 2
             parts.clear()
             if len(keys):
-                yield pa.RecordBatch.from_arrays([pa.array((keys // many).astype(np.int32)), pa.array((keys % many).astype(np.int32)), pa.array(n.astype(np.int64))], names=["p", "q", "n"])
+                yield from _pieces(pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pq", "n"]))
 
         get = units.known.get
         for batch in _chunks(batches):
@@ -170,7 +181,8 @@ def unit_rows(docs: DataFrame, units: Units) -> DataFrame:
                 size = 0
         yield from flush()
 
-    table = store(docs.mapInArrow(pairs, "p int, q int, n long").groupBy("p", "q").agg(F.sum("n").alias("n")), "pairs")
+    found = docs.mapInArrow(pairs, "pq long, n long").groupBy("pq").agg(F.sum("n").alias("n"))  # one number is a smaller key than two
+    table = store(found.selectExpr(f"int(pq div {many}) AS p", f"int(pq % {many}) AS q", "n"), "pairs")
     itself = table.filter("p = q").select(F.col("p").alias("unit"), F.col("n").alias("itself"))
     other = table.filter("p <> q")
     after = other.groupBy(F.col("p").alias("unit")).agg(F.collect_list(F.struct("q", "n")).alias("a"))  # at most one entry a unit
@@ -315,6 +327,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", many:
     both log10 of the whole text's probability. Repeated rows are rows of their own and are counted
     each. An empty table gives an empty result, and without training texts every word is unseen.
     """
+    with batches_of(docs.sparkSession, _BATCH_BYTES):  # what is left to run afterwards has no Python
+        return _score(docs, id_col, text_col, many, rounds)
+
+
+def _score(docs: DataFrame, id_col: str, text_col: str, many: int, rounds: int) -> DataFrame:
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"), training(id_col).alias("_train"))
     train = rows.filter("_train").select("_text")
     words = store(train.mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
@@ -339,11 +356,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", many:
             held.clear()
             order = np.argsort(which, kind="stable")
             rows_ = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(which, minlength=len(words)))).astype(np.int32)), pa.array(texts[order]))
-            some = np.flatnonzero(rows_.value_lengths().to_numpy())
-            for i in range(0, len(some), 50_000):
-                part = pa.array(some[i : i + 50_000])
-                empty = [pa.nulls(len(part), t) for t in (pa.int64(), ids, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                yield pa.RecordBatch.from_arrays([words.take(part), rows_.take(part), *empty], names=names)
+            lengths = rows_.value_lengths().to_numpy()
+            some = pa.array(lengths > 0)
+            for part in _pieces(pa.RecordBatch.from_arrays([words, rows_], names=names[:2]).filter(some), lengths[lengths > 0]):
+                empty = [pa.nulls(part.num_rows, t) for t in (pa.int64(), ids, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *empty], names=names)
 
         for batch in _chunks(batches, 2):
             ids, n = batch.schema.field(1).type, batch.num_rows

@@ -147,3 +147,38 @@ def test_texts_are_cut_into_words_many_at_once(monkeypatch):
         for b in lm._word_counts(batches):
             counted.update(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
         assert counted == want
+
+
+def test_batches_to_and_from_python_stay_small(spark, monkeypatch, tmp_path):
+    """Whole tables of long texts and words cross in small pieces: buffers as large as a batch stay with an executor."""
+    import pyarrow as pa
+
+    count, key = lm._word_counts, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+
+    def noted(batches):
+        def each():
+            for b in batches:
+                with open(tmp_path / "sizes", "a") as f:
+                    f.write(f"{b.num_rows} {b.nbytes}\n")
+                yield b
+
+        yield from count(each())
+
+    monkeypatch.setattr(lm, "_word_counts", noted)
+    docs = documents(spark, [(i, f"word{i} same " * 500) for i in range(900)] + [(900, "x " * 1_500_000)]).coalesce(1)
+    rows = lm.score(docs, rounds=1).collect()
+    assert len(rows) == 901 and spark.conf.get(key) == before
+    sizes = [tuple(map(int, x.split())) for x in (tmp_path / "sizes").read_text().splitlines()]
+    assert sum(n for n, _ in sizes) == sum(not held(i) for i in range(901))
+    assert max(b for n, b in sizes if n > 1) < 1.5 * lm._BATCH_BYTES  # a longer text goes alone
+
+    table = pa.RecordBatch.from_arrays([pa.array(range(250_000))], names=["n"])
+    for sizes in (None, np.full(250_000, 3), np.append(np.ones(249_999, int), 500_000)):
+        parts = list(lm._pieces(table, sizes))
+        assert pa.Table.from_batches(parts) == pa.Table.from_batches([table])
+        ends = np.cumsum([p.num_rows for p in parts])
+        entries = [int((np.ones(250_000, int) if sizes is None else sizes)[e - p.num_rows : e].sum()) for p, e in zip(parts, ends)]
+        assert all(n <= lm._BATCH_ENTRIES or p.num_rows == 1 for p, n in zip(parts, entries))
+    pairs = [b for b in count([pa.RecordBatch.from_arrays([pa.array([" ".join(map(str, range(250_000)))])], names=["t"])])]
+    assert max(b.num_rows for b in pairs) <= lm._BATCH_ENTRIES
